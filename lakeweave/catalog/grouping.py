@@ -123,9 +123,7 @@ SELECT string_agg(event_type || ': ' || format('{:,.2f}', top), ' | ' ORDER BY e
 FROM (SELECT event_type, max(value) AS top FROM events GROUP BY 1)
 """)
 def max_per_group_text(t):
-    events = t("events")
-    tops = aggregates.max_per_group_text(events, "event_type", "value", "max_by_type")
-    return tops.withColumn("types", aggregates.distinct_text(events, "event_type", "types").scalar())
+    return aggregates.group_texts(t("events"), "event_type", "value", "types", "max_by_type")
 
 
 @query("""

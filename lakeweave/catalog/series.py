@@ -85,14 +85,16 @@ SELECT strftime(o_orderdate + to_hours(i), '%Y-%m-%d %H:%M:%S.%f') AS date, o_or
 FROM orders, (SELECT unnest(range(4)) AS i)
 """)
 def series_explode(t):
-    start = F.unix_micros(F.col("o_orderdate").cast("timestamp")) / 1_000_000
-    price = F.col("o_totalprice")
+    """Four hours per order from parallel arrays; times are shown in UTC."""
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    start, price = F.timestamp_diff("SECOND", epoch, F.col("o_orderdate")), F.col("o_totalprice")
     packed = t("orders").select(
-        F.col("o_orderkey").alias("series"), start.cast("bigint").alias("from"),
-        (start + 4 * 3600).cast("bigint").alias("until"), F.lit(3600).alias("step"),
+        F.col("o_orderkey").alias("series"), start.alias("from"), (start + 4 * 3600).alias("until"),
+        F.lit(3600).alias("step"),
         F.array(*[price + i for i in range(4)]).alias("a"), F.array(*[price * i for i in range(4)]).alias("b"))
     rows = nested.explode_series(packed, "from", "until", "step", ["a", "b"])
-    return rows.withColumn("utc_hour", F.hour("date"))
+    utc = epoch + F.make_dt_interval(secs=F.unix_seconds("date"))
+    return rows.withColumn("date", utc).withColumn("utc_hour", F.hour("date"))
 
 
 @query("""

@@ -145,7 +145,7 @@ def air_model(t):
 @query(f"""
 WITH {staging.TRIPS}, {FACT_TAXI}, {staging.DIM_FX}
 SELECT f.zone AS pickup_zone, CAST(sum(CAST(revenue AS DECIMAL(18,2)) * CAST(rate AS DECIMAL(18,4))) AS DOUBLE) AS "Total Revenue EUR"
-FROM fact_taxi f LEFT JOIN dim_fx USING (day) GROUP BY 1
+FROM fact_taxi f LEFT JOIN dim_fx USING (day) GROUP BY 1 HAVING sum(revenue * rate) IS NOT NULL
 """)
 def measure_sumx(t):
     return taxi_model(t).evaluate("Total Revenue EUR", by=["FactTaxiDaily.pickup_zone"])
@@ -158,7 +158,7 @@ SELECT CASE WHEN d.day IS NULL THEN NULL ELSE strftime(f.day, '%A') END AS "DayN
 FROM fact_taxi f LEFT JOIN dim_fx USING (day)
 LEFT JOIN (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events) d ON d.day = f.day
 WHERE f.zone IN ('BUILDING', 'MACHINERY') AND d.day >= DATE '2024-01-10'
-GROUP BY 1
+GROUP BY 1 HAVING sum(revenue * rate) IS NOT NULL
 """)
 def measure_filtered(t):
     return taxi_model(t).evaluate("Total Revenue EUR", by=["DimDate.DayName"], filters={

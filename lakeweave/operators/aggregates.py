@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -62,21 +64,24 @@ def profile(df: DataFrame, predicates: Mapping[str, Column], day: str | None = N
 
 
 def percentiles(df: DataFrame, column: str, probabilities: Sequence[float],
-                buckets: int = 256) -> DataFrame:
+                margin: float = 1 / 256) -> DataFrame:
     """Exact percentiles with linear interpolation: rows ``(p, value)``.
 
-    Values are reduced to ``(value, count)`` first, then cut into buckets at
-    approximate quantiles. Bucket totals tell which buckets hold the wanted
-    ranks, and only those are sorted, each in its own task.
+    Values are reduced to ``(value, count)``, then cut a little below and above
+    each wanted percentile at approximate quantiles. The totals of the slices
+    tell which of them hold the wanted ranks, and only those are sorted, each in
+    its own task and about ``2 * margin`` of the values. The cuts only decide
+    how much is sorted; the ranks are exact wherever they lie.
     """
+    cut_points = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)})
     numbers = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
     counted = numbers.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    cuts = numbers.agg(F.percentile_approx("v", [i / buckets for i in range(1, buckets)], 10_000))
-    placed = (counted.withColumn("__cuts", cuts.scalar())
-              .select("v", "n", F.size(F.filter("__cuts", lambda cut: cut < F.col("v"))).alias("b")))
+    cuts = numbers.agg(F.percentile_approx("v", cut_points, 10_000)).scalar()
+    below = [(F.element_at(cuts, i + 1) < F.col("v")).cast("int") for i in range(len(cut_points))]
+    placed = counted.select("v", "n", reduce(add, below).alias("b"))
 
     totals = placed.groupBy("b").agg(F.sum("n").alias("bn"))
-    everything = W.partitionBy(F.lit(0))  # at most `buckets` rows
+    everything = W.partitionBy(F.lit(0))  # one row per slice
     before = F.sum("bn").over(everything.orderBy("b").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("bn")
     located = totals.select("b", "bn", before.alias("before"), F.sum("bn").over(everything).alias("total"))
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p")
@@ -92,8 +97,8 @@ def percentiles(df: DataFrame, column: str, probabilities: Sequence[float],
               .select("v", "n", "targets", (F.col("before") + running).alias("upto"))
               .select("v", "n", "upto", F.explode("targets").alias("t"))
               .filter((F.col("t.rank") < F.col("upto")) & (F.col("t.rank") >= F.col("upto") - F.col("n"))))
-    low, high = F.min("v"), F.max("v")
-    return (ranked.groupBy(F.col("t.p").alias("p"), F.col("t.at").alias("at")).agg(low.alias("lo"), high.alias("hi"))
+    return (ranked.groupBy(F.col("t.p").alias("p"), F.col("t.at").alias("at"))
+            .agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
             .select("p", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))).alias("value")))
 
 
@@ -108,30 +113,36 @@ def numeric_summary(df: DataFrame, column: str) -> DataFrame:
     return rows.unionByName(quartiles)
 
 
-def one_text(rows: DataFrame, order: str, text: Column, sep: str, name: str,
+def one_text(rows: DataFrame, order: str, texts: Mapping[str, tuple[Column, str]],
              max_entries: int = 10_000) -> DataFrame:
-    """One row with the texts of all rows, ordered and joined.
+    """One row; each of ``texts`` is ``(entry, separator)`` joined over all rows.
 
     For short lists, such as one entry per group. Reading stops one entry past
     ``max_entries`` and the query then fails: a longer list belongs in rows.
     """
-    bounded = rows.select(F.col(order).alias("o"), text.alias("t")).orderBy("o").limit(max_entries + 1)
-    entries = F.sort_array(F.collect_list(F.struct("o", "t")))
-    joined = F.concat_ws(sep, F.transform(entries, lambda e: e["t"]))
-    return bounded.agg(F.when(F.count(F.lit(1)) <= max_entries, joined).otherwise(
-        F.raise_error(F.lit(f"{name}: more than {max_entries} entries, use the rows instead"))).alias(name))
+    names = list(texts)
+    bounded = (rows.select(F.col(order).alias("__order"), *[texts[n][0].alias(n) for n in names])
+               .orderBy("__order").limit(max_entries + 1))
+    entries = bounded.agg(F.sort_array(F.collect_list(F.struct("__order", *names))).alias("l"))
+    too_long = F.raise_error(F.lit(f"{', '.join(names)}: more than {max_entries} entries, use the rows instead"))
+    return entries.select([
+        F.when(F.size("l") <= max_entries, F.concat_ws(texts[n][1], F.col("l")[n])).otherwise(too_long).alias(n)
+        for n in names
+    ])
 
 
-def distinct_text(df: DataFrame, column: str, name: str = "text") -> DataFrame:
-    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    return one_text(values, column, F.col(column).cast("string"), ", ", name)
+def group_texts(df: DataFrame, group: str, value: str, groups_name: str = "groups",
+                tops_name: str = "tops") -> DataFrame:
+    """One row with two texts from one grouping: the groups, ``a, b``, and the
+    largest value of each, ``a: 1.00 | b: 2.00``."""
+    tops = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.max(value).alias("__top"))
+    top = F.concat(F.col(group), F.lit(": "), F.format_number("__top", 2))
+    return one_text(tops, group, {groups_name: (F.col(group).cast("string"), ", "), tops_name: (top, " | ")})
 
 
-def max_per_group_text(df: DataFrame, group: str, value: str, name: str = "text") -> DataFrame:
-    """``a: 1.00 | b: 2.00``, ordered by group."""
-    tops = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.max(value).alias("__top"))
-    text = F.concat(F.col(group), F.lit(": "), F.format_number("__top", 2))
-    return one_text(tops, group, text, " | ", name)
+def distinct_text(df: DataFrame, column: str, name: str = "text") -> DataFrame:
+    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    return one_text(values, column, {name: (F.col(column).cast("string"), ", ")})
 
 
 def group_spread(df: DataFrame, group: str) -> DataFrame:

@@ -76,9 +76,10 @@ class Stat:
 
 @dataclass(frozen=True)
 class TextStat:
-    """A statistic that needs a grouping of its own: one row, one text column."""
+    """Statistics that need a grouping of their own. ``build`` gives one row with
+    a text column per name."""
 
-    name: str
+    names: tuple[str, ...]
     columns: tuple[str, ...]
     build: Callable[[DataFrame], DataFrame]
     otherwise: str = "N/A"
@@ -197,10 +198,12 @@ class Suite:
     def _text(self, df: DataFrame, seq: int, stat: TextStat) -> DataFrame:
         if set(stat.columns) <= set(df.columns):
             built = stat.build(df)
-            value = F.col(built.columns[0])
+            values = [F.col(quoted(c)) for c in built.columns]
         else:
-            built, value = df.limit(0).agg(F.count(F.lit(1)).alias("n")), F.lit(stat.otherwise)
-        return built.select(F.inline(F.array(_stat_line(seq, stat.name, value))))
+            built = df.limit(0).agg(F.count(F.lit(1)).alias("n"))
+            values = [F.lit(stat.otherwise)] * len(stat.names)
+        lines = [_stat_line(seq, name, value) for name, value in zip(stat.names, values)]
+        return built.select(F.inline(F.array(*lines)))
 
     def _with_examples(self, rows: DataFrame, df: DataFrame, sampled: list) -> DataFrame:
         """Up to five distinct offending values per check, smallest first.

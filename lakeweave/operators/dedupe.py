@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -50,23 +50,16 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def require_unique(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
     """The same rows; the query fails where a key occurs twice.
 
-    The check is part of the plan, so it costs no extra job and sees the very
-    rows that are joined. Rows with a null key are left out: they join nothing.
+    The check is a scalar subquery in a filter, so it costs no job of its own
+    and leaves the rows as they were scanned: a small side keeps its size
+    estimate and is broadcast, and AQE can still split a skewed join on it.
+    Null keys may repeat, as they join nothing.
     """
-    rest = [c for c in df.columns if c not in keys]
-    present = [F.col(k).isNotNull() for k in keys]
-    keyed = df
-    for test in present:
-        keyed = keyed.filter(test)
-    message = F.concat(F.lit(f"{label}: key occurs more than once: "),
-                       F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
-
-    def checked(column: Column) -> Column:
-        return F.when(F.col("__n") == 1, column).otherwise(
-            F.raise_error(message).cast(df.schema[keys[0]].dataType))
-
-    return (keyed.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("__n"),
-                 *[F.any_value(c).alias(c) for c in rest])
-            .select(checked(F.col(keys[0])).alias(keys[0]), *keys[1:], *rest)
-            .select(df.columns))
+    keyed = df.select(*keys)
+    for key in keys:
+        keyed = keyed.filter(F.col(key).isNotNull())
+    shown = F.any_value(F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    failure = F.raise_error(F.concat(F.lit(f"{label}: key occurs more than once: "), F.col("shown")))
+    verdict = (repeated_keys(keyed, keys).agg(shown.alias("shown"))
+               .select(F.when(F.col("shown").isNull(), F.lit(True)).otherwise(failure.cast("boolean"))))
+    return df.filter(verdict.scalar())

@@ -43,7 +43,12 @@ def attach(readings: DataFrame, metadata: DataFrame, key: str) -> DataFrame:
 
 
 def missing_keys(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(existing.select(*keys), list(keys), "left_anti")
+    """Rows whose key does not exist yet. Null keys match nothing, so those of
+    ``existing`` are left out before they all meet in one shuffle partition."""
+    present = existing.select(*keys)
+    for key in keys:
+        present = present.filter(F.col(quoted(key)).isNotNull())
+    return df.join(present, list(keys), "left_anti")
 
 
 def drill_across(parts: Sequence[DataFrame], by: Sequence[str]) -> DataFrame:

@@ -70,19 +70,21 @@ def forward_fill(df: DataFrame, keys: Sequence[str], date: str, value: str,
     filled = (daily.select(*keys, "__day", "__gaps", carried.alias("__value"), following.alias("__next"))
               .filter(F.col("__value").isNotNull()))
 
+    # Days until the next observed one, each once, and the day itself as often as
+    # it has null observations. Those are equal rows, so they travel as a count.
     until = F.coalesce(F.date_sub("__next", 1), last)
-    between = filled.select(
-        F.explode(day_sequence(F.date_add("__day", 1), until)).alias("__day"), *keys, "__value")
-
+    later = F.coalesce(day_sequence(F.date_add("__day", 1), until), F.array().cast("array<date>"))
+    days = F.concat(
+        F.transform(later, lambda d: F.struct(d.alias("day"), F.lit(1).cast("bigint").alias("copies"))),
+        F.when(F.col("__gaps") > 0, F.array(F.struct(F.col("__day").alias("day"), F.col("__gaps").alias("copies"))))
+        .otherwise(F.array().cast("array<struct<day:date,copies:bigint>>")))
     size = COPIES_PER_CHUNK
-    chunks = filled.filter(F.col("__gaps") > 0).select(
-        "__day", *keys, "__value", "__gaps",
-        F.explode(F.sequence(F.lit(0), F.floor((F.col("__gaps") - 1) / size))).alias("__chunk"))
-    copies = F.least(F.lit(size), F.col("__gaps") - F.col("__chunk") * size)
-    unvalued = chunks.select(
-        F.explode(F.sequence(F.lit(1), copies)).alias("__copy"), "__day", *keys, "__value",
-    ).drop("__copy")
+    rows = (filled.select(*keys, "__value", F.explode(days).alias("d"))
+            .select(*keys, "__value", "d", F.explode(
+                F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("d.copies") - 1) / size))).alias("chunk"))
+            .select(*keys, "__value", "d.day", F.explode(
+                F.sequence(F.lit(1).cast("bigint"), F.least(F.lit(size), F.col("d.copies") - F.col("chunk") * size)))))
 
     known = observed.filter(F.col("__value").isNotNull())
-    layout = [F.col("__day").alias(date), *keys, F.col("__value").alias(value)]
-    return known.select(layout).unionByName(between.select(layout)).unionByName(unvalued.select(layout))
+    return (known.select(F.col("__day").alias(date), *keys, F.col("__value").alias(value))
+            .unionByName(rows.select(F.col("day").alias(date), *keys, F.col("__value").alias(value))))

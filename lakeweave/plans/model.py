@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.group import GroupedData
 
 from lakeweave.operators import joins
+from lakeweave.operators.shape import quoted
 
 
 @dataclass(frozen=True)
@@ -28,7 +31,8 @@ class Relationship:
 
 @dataclass(frozen=True)
 class Measure:
-    """``aggregate`` gets a function from ``Table.Column`` to a Spark column.
+    """``aggregate`` gets a function from ``Table.Column`` to a Spark column and
+    must skip nulls, as sums and means do.
 
     ``overrides`` maps ``Table.Column`` to the one value the measure looks at;
     it replaces whatever filter or group the query puts on that column.
@@ -93,46 +97,65 @@ class Model:
         return df
 
     def evaluate(self, measures: str | Sequence[str], by: Sequence[str] = (),
-                 filters: Mapping[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+                 filters: Mapping[str, Callable[[Column], Column]] | None = None,
+                 keep_blank: bool = False) -> DataFrame:
         """Measures per group. Columns are ``Table.Column``; the result has the
         plain column names. Filters flow from the one side to the many side: a
         filter reaches a measure only if its table has a path to the filtered one.
+        Groups in which every measure is null are left out unless ``keep_blank``.
+
+        Measures of one table share a scan and a grouping, unless they override
+        a column that is grouped or filtered.
         """
         names = [measures] if isinstance(measures, str) else list(measures)
-        parts = [self._one(self.measures[n], list(by), dict(filters or {})) for n in names]
+        by, filters = list(by), dict(filters or {})
+        shared: dict[str, list[Measure]] = {}
+        parts = []
+        for measure in (self.measures[n] for n in names):
+            if set(measure.overrides) & {*by, *filters}:
+                parts.append(self._overriding(measure, by, filters))
+            else:
+                shared.setdefault(measure.table, []).append(measure)
+        parts += [self._shared(table, members, by, filters) for table, members in shared.items()]
         keys = [_plain(c) for c in by]
-        return parts[0] if len(parts) == 1 else joins.drill_across(parts, keys)
-
-    def _one(self, measure: Measure, by: list[str], filters: dict) -> DataFrame:
-        active = {c: f for c, f in filters.items() if self.reaches(measure.table, c.split(".")[0])}
-        columns = list(dict.fromkeys([*by, *active, *measure.uses, *measure.overrides]))
-        df = self.wide(measure.table, columns)
-        replaced = [c for c in by if c in measure.overrides]
-        for column, test in active.items():
-            if column not in measure.overrides:
-                df = df.filter(test(_named(column)))
-        own = df
-        for column, value in measure.overrides.items():
-            own = own.filter(_named(column) == F.lit(value))
-        kept = [c for c in by if c not in replaced]
-        aggregate = measure.aggregate(_named).alias(measure.name)
-        grouped = [_named(c).alias(_plain(c)) for c in kept]
-        result = own.groupBy(*grouped).agg(aggregate) if grouped else own.agg(aggregate)
-        if not replaced:
+        result = parts[0] if len(parts) == 1 else joins.drill_across(parts, keys)
+        if by and not keep_blank:
+            filled = [F.col(quoted(n)).isNotNull() for n in names]
+            result = result.filter(reduce(lambda a, b: a | b, filled))
+        return result.select(*keys, *[F.col(quoted(n)) for n in names])
+
+    def _reaching(self, table: str, filters: dict) -> dict:
+        return {c: f for c, f in filters.items() if self.reaches(table, c.split(".")[0])}
+
+    def _filtered(self, table: str, columns: Sequence[str], filters: dict) -> DataFrame:
+        df = self.wide(table, list(dict.fromkeys([*columns, *filters])))
+        for column, test in filters.items():
+            df = df.filter(test(_named(column)))
+        return df
+
+    def _shared(self, table: str, measures: list[Measure], by: list[str], filters: dict) -> DataFrame:
+        columns = [*by, *[c for m in measures for c in (*m.uses, *m.overrides)]]
+        df = self._filtered(table, columns, self._reaching(table, filters))
+        return _grouped(df, by).agg(*[_aggregate(m) for m in measures])
+
+    def _overriding(self, measure: Measure, by: list[str], filters: dict) -> DataFrame:
+        """A group on an overridden column shows the value of the override."""
+        active = self._reaching(measure.table, filters)
+        columns = [*by, *active, *measure.uses, *measure.overrides]
+        free = {c: f for c, f in active.items() if c not in measure.overrides}
+        df = self._filtered(measure.table, columns, free)
+        kept = [c for c in by if c not in measure.overrides]
+        result = _grouped(df, kept).agg(_aggregate(measure))
+        if kept == by:
             return result
-        # A group on the overridden column gets the value of the override.
-        for column in replaced:
-            if column in active:
-                df = df.filter(active[column](_named(column)))
+        for column in set(active) - set(free):
+            df = df.filter(active[column](_named(column)))
         groups = df.select([_named(c).alias(_plain(c)) for c in by]).distinct()
         if not kept:
             return groups.withColumn(measure.name, result.scalar())
-        match = [groups[_plain(c)].eqNullSafe(result[_plain(c)]) for c in kept]
-        condition = match[0]
-        for test in match[1:]:
-            condition = condition & test
-        return groups.join(result, condition, "left").select(
-            *[groups[_plain(c)] for c in by], result[measure.name])
+        match = reduce(lambda a, b: a & b, [groups[_plain(c)].eqNullSafe(result[_plain(c)]) for c in kept])
+        return groups.join(result, match, "left").select(
+            *[groups[_plain(c)] for c in by], result[quoted(measure.name)])
 
     def summarise(self, table: str, by: Sequence[str] = ()) -> DataFrame:
         """Default summarisation: every summed column of a table, per group."""
@@ -140,9 +163,21 @@ class Model:
         if not sums:
             raise ValueError(f"{table} has no column that is summed by default")
         df = self.wide(table, [*by, *[f"{table}.{c}" for c in sums]])
-        totals = [F.sum(_named(f"{table}.{c}")).alias(c) for c in sums]
-        grouped = [_named(c).alias(_plain(c)) for c in by]
-        return df.groupBy(*grouped).agg(*totals) if grouped else df.agg(*totals)
+        return _grouped(df, by).agg(*[F.sum(_named(f"{table}.{c}")).alias(c) for c in sums])
+
+
+def _grouped(df: DataFrame, by: Sequence[str]) -> GroupedData:
+    return df.groupBy(*[_named(c).alias(_plain(c)) for c in by])
+
+
+def _aggregate(measure: Measure) -> Column:
+    """The measure as an aggregate; an override turns the values of other rows
+    to null, which aggregates skip, like ``FILTER (WHERE ...)``."""
+    tests = [_named(c) == F.lit(v) for c, v in measure.overrides.items()]
+    if not tests:
+        return measure.aggregate(_named).alias(measure.name)
+    wanted = reduce(lambda a, b: a & b, tests)
+    return measure.aggregate(lambda c: F.when(wanted, _named(c))).alias(measure.name)
 
 
 def _named(qualified: str) -> Column:

@@ -166,8 +166,7 @@ def gdp_bronze(envelope: DataFrame) -> DataFrame:
 
 def air_bronze(locations: DataFrame, readings: DataFrame) -> DataFrame:
     """Readings with the metadata of their sensor; both as flattened pages."""
-    metadata = dedupe.first_by_key(locations, ["sensor_id"])
-    joined = joins.attach(readings, metadata, "sensor_id")
+    joined = joins.attach(readings, locations, "sensor_id")
     return joined.select("location_id", "location_name", "locality", "timezone", "latitude",
                          "longitude", "sensor_id", "parameter_id", "parameter_name",
                          "parameter_units", "parameter_display", "date", "value")

@@ -71,10 +71,8 @@ def air_suite() -> Suite:
         stats=(
             _records("Total Readings"),
             _distinct("Unique Localities", "locality"),
-            TextStat("Parameters Checked", ("parameter_name",),
-                     lambda df: aggregates.distinct_text(df, "parameter_name")),
-            TextStat("Max Value by Parameter", ("parameter_name", "value"),
-                     lambda df: aggregates.max_per_group_text(df, "parameter_name", "value")),
+            TextStat(("Parameters Checked", "Max Value by Parameter"), ("parameter_name", "value"),
+                     lambda df: aggregates.group_texts(df, "parameter_name", "value")),
             _days("date"),
         ),
     )

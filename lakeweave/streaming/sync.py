@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lakeweave.functions.predicates import open_closed
 from lakeweave.operators.shape import project
 from lakeweave.sinks.tables import balanced, ensure_folder, insert_ignore, new_rows
 
@@ -37,49 +38,68 @@ def to_metrics(weather: DataFrame) -> DataFrame:
     return project(weather, WEATHER_COLUMNS)
 
 
-def incremental_chunk(source: DataFrame, sink: DataFrame, time: str, sink_time: str | None = None,
-                      span: str = SPAN, default: str = DEFAULT_START,
-                      year: str | None = None) -> DataFrame:
-    """The rows after the sink's last time, up to ``span`` later, by time.
+def chunk_bounds(source: DataFrame, sink: DataFrame, time: str, sink_time: str | None = None,
+                 span: str = SPAN, default: str = DEFAULT_START, year: str | None = None) -> DataFrame:
+    """One row: ``low`` and ``high`` of the next chunk, and ``next``, the first
+    source time in it (null when nothing is left).
 
     An empty sink starts at ``default``, that instant included. If nothing lies
-    within the span but later rows exist, the chunk is the next time that has
-    rows, so a gap in the source cannot stop the sync. With ``year``, the column
-    the source is partitioned by, other years are not read.
-
-    The bounds are scalar subqueries: no job runs here, and the scan still gets
-    them as pushed filters.
+    within the span but later rows exist, the chunk reaches to the next time that
+    has rows, so a gap in the source cannot stop the sync.
     """
     kind = source.schema[time].dataType
     start = F.lit(default).cast(kind)
-    reach = F.expr(f"interval {span}")
     mark = sink.agg(F.max(sink_time or time).cast(kind).alias("mark")).select(
         F.coalesce("mark", start - F.expr("interval 1 microsecond")).alias("low"),
-        (F.coalesce("mark", start) + reach).alias("high"))
-    low = mark.select("low").scalar()
-    upcoming = source.filter(F.col(time) > low).agg(F.min(time).alias("next"))
-    high = F.greatest(mark.select("high").scalar(), upcoming.scalar())
-    chunk = source.filter((F.col(time) > low) & (F.col(time) <= high))
+        (F.coalesce("mark", start) + F.expr(f"interval {span}")).alias("high"))
+    low, high = mark.select("low").scalar(), mark.select("high").scalar()
+    later = source.filter(F.col(time) > low)
     if year is not None:
+        later = later.filter(F.col(year) >= F.year(low))
+    return later.agg(F.min(time).alias("next")).select(
+        low.alias("low"), F.greatest(high, "next").alias("high"), "next")
+
+
+def _between(source: DataFrame, time: str, low: Column, high: Column, year: str | None) -> DataFrame:
+    chunk = source.filter(open_closed(F.col(time), low, high))
+    if year is not None:  # the column the source is partitioned by
         chunk = chunk.filter((F.col(year) >= F.year(low)) & (F.col(year) <= F.year(high)))
-    return chunk.orderBy(time)
+    return chunk
+
+
+def incremental_chunk(source: DataFrame, sink: DataFrame, time: str, year: str | None = None,
+                      **options) -> DataFrame:
+    """The rows of the next chunk (see ``chunk_bounds``), in order of time.
+
+    The bounds are scalar subqueries: no job runs here, and the scan still gets
+    them as pushed filters.
+    """
+    bounds = chunk_bounds(source, sink, time, year=year, **options)
+    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
+    return _between(source, time, low, high, year).orderBy(time)
 
 
 def sync_once(source: DataFrame, table: str, keys: Sequence[str], time: str,
               prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
-              sink_time: str | None = None, **chunk_options) -> int:
-    """Load the next chunk into ``table``; returns the rows in it, 0 when caught up.
+              sink_time: str | None = None, year: str | None = None, **options) -> bool:
+    """Load the next chunk into ``table``; false when there was nothing to load.
 
-    The watermark is one value and is read first, so that the chunk is planned
-    with constant bounds.
+    The bounds, one row, are read first, so that the load itself is planned with
+    constants and prunes partitions. It does not sort: the sink has no order.
     """
-    spark = source.sparkSession
     target = sink_time or time
-    chunk = incremental_chunk(source, spark.read.table(table), time, target, **chunk_options)
-    rows = chunk.count()
-    if rows:
-        insert_ignore(prepare(chunk), table, keys, target)
-    return rows
+    bounds = chunk_bounds(source, source.sparkSession.read.table(table), time, target, year=year, **options)
+    # Instants travel as a number: text would confuse the repeated autumn hour.
+    instant = isinstance(source.schema[time].dataType, T.TimestampType)
+    carry = F.unix_micros if instant else (lambda c: F.col(c).cast("string"))
+    row = bounds.select(carry("low").alias("low"), carry("high").alias("high"),
+                        F.col("next").isNotNull().alias("more")).first()
+    if not row.more:
+        return False
+    low, high = [F.timestamp_micros(F.lit(v)) if instant else F.lit(v).cast("timestamp_ntz")
+                 for v in (row.low, row.high)]
+    insert_ignore(prepare(_between(source, time, low, high, year)), table, keys, target)
+    return True
 
 
 def sync_all(source: DataFrame, table: str, keys: Sequence[str], time: str, **options) -> int:
