@@ -8,20 +8,18 @@ from lakeweave.catalog.registry import query
 from lakeweave.catalog.staging import clock
 from lakeweave.contracts import schema
 from lakeweave.functions import predicates, scalars, text
-from lakeweave.operators import aggregates, dedupe, joins, ordering, shape
+from lakeweave.operators import dedupe, joins, ordering, shape
+from lakeweave.plans import gold
 from lakeweave.sources import tables
 
 FIRST, LAST = "2024-01-05", "2024-01-25"
 
 
 def hourly_totals(events):
-    """Count and revenue per day, hour and type, between two days."""
-    ts = F.col("ts")
-    kept = events.filter(predicates.between_days(ts, FIRST, LAST) & ts.isNotNull()
-                         & F.col("event_type").isNotNull())
-    keyed = kept.select(F.to_date(ts).alias("DateKey"), F.hour(ts).alias("HourOfDay"),
-                        F.col("event_type").alias("pickup_zone"), F.col("value").cast("decimal(10,2)").alias("amount"))
-    return aggregates.group_totals(keyed, ["DateKey", "HourOfDay", "pickup_zone"], F.col("amount"))
+    """Events as trips: count and revenue per day, hour and type."""
+    trips = events.select(F.col("ts").alias("pickup_datetime"), F.hour("ts").alias("pickup_hour"),
+                          F.col("event_type").alias("pickup_zone"), F.col("value").cast("decimal(10,2)").alias("total_amount"))
+    return gold.hourly_totals(trips, FIRST, LAST)
 
 
 HOURLY = f"""

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -22,6 +22,13 @@ def group_totals(df: DataFrame, by: Sequence[str], amount: Column,
                                F.sum(amount).cast("double").alias(sum_name))
 
 
+def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same rows and a count (``["rows"]``) that the next action on them
+    leaves behind, instead of a job of its own."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def null_profile(df: DataFrame, nan_is_null: bool = False) -> DataFrame:
     """One row: the number of nulls (and NaNs, on request) of every column."""
     kinds = dict(df.dtypes)

@@ -17,14 +17,14 @@ from lakeweave.operators.dedupe import require_unique
 from lakeweave.operators.shape import quoted
 
 
-def lookup(df: DataFrame, reference: DataFrame, left_key: str, right_key: str,
+def lookup(df: DataFrame, known: DataFrame, left_key: str, right_key: str,
            columns: dict[str, str], drop: Sequence[str] = ()) -> DataFrame:
     """Left join on differently named keys.
 
-    ``columns`` maps the reference's names to the new ones; an unmatched row
-    gets nulls. The reference's key, and the names in ``drop``, do not remain.
+    ``columns`` maps the names of ``known`` to the new ones; an unmatched row
+    gets nulls. The key of ``known``, and the names in ``drop``, do not remain.
     """
-    side = reference.select(F.col(right_key).alias("__key"),
+    side = known.select(F.col(right_key).alias("__key"),
                             *[F.col(c).alias(n) for c, n in columns.items()])
     joined = df.join(side, df[left_key] == side["__key"], "left")
     return joined.drop("__key", *drop)

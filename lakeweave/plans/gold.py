@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeweave import contracts
+from lakeweave.functions.predicates import between_days
 from lakeweave.functions.scalars import day_name, minutes_between, month_name, weekend_flag
-from lakeweave.operators import dedupe
+from lakeweave.operators.aggregates import group_totals
 
 
 def to_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
@@ -89,6 +90,15 @@ def fact_taxi_daily(silver_taxi: DataFrame, fare: str = "total_amount",
     ), contracts.FACT_TAXI_DAILY)
 
 
+def hourly_totals(silver_taxi: DataFrame, first: str, last: str) -> DataFrame:
+    """Trips and revenue per day, hour and zone, from ``first`` to midnight of ``last``."""
+    time = F.col("pickup_datetime")
+    kept = silver_taxi.filter(between_days(time, first, last) & time.isNotNull() & F.col("pickup_zone").isNotNull())
+    keyed = kept.select(F.to_date(time).alias("DateKey"), F.col("pickup_hour").alias("HourOfDay"),
+                        "pickup_zone", "total_amount")
+    return group_totals(keyed, ["DateKey", "HourOfDay", "pickup_zone"], F.col("total_amount"))
+
+
 def fact_air_daily(silver_air: DataFrame) -> DataFrame:
     grouped = silver_air.groupBy(
         F.col("date").alias("DateKey"), "timezone", "locality", "location_name",
@@ -98,6 +108,3 @@ def fact_air_daily(silver_air: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("ReadingCount"),
     ), contracts.FACT_AIR_DAILY)
 
-
-def unique_dimension(dimension: DataFrame, key: str, label: str) -> DataFrame:
-    return dedupe.require_unique(dimension, [key], label)

@@ -2,14 +2,41 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "lakeweave", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the jobs rely on.
+MIB = 1024 ** 2
+
+
+MAX_SHUFFLE_PARTITIONS = 40_000
+
+
+def sizing(input_bytes: int, cores: int, shuffled: float = 0.25) -> dict[str, str]:
+    """Settings for an input size, of which the share ``shuffled`` is exchanged.
+
+    AQE merges shuffle partitions that turn out small but never adds any, so the
+    initial number follows the input, at 256 MiB each. It stays bounded: every
+    map task writes a block per partition, and past some ten thousand of them
+    the blocks become too small and too many. Beyond the bound partitions grow
+    and sorts spill. Large inputs are read in larger splits for the same reason.
+    """
+    wanted = math.ceil(input_bytes * shuffled / (256 * MIB))
+    partitions = max(2 * cores, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    split = 128 if input_bytes < 10 * 1024 ** 4 else 512
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{128 * MIB}b",
+        "spark.sql.files.maxPartitionBytes": f"{split * MIB}b",
+    }
+
+
+def build_session(app: str = "lakeweave", master: str | None = None,
+                  input_bytes: int | None = None, cores: int = 8, **conf: str) -> SparkSession:
+    """A session with the settings the jobs rely on; ``sizing`` ones if the input size is given.
 
     AQE coalesces small shuffle partitions, splits skewed join partitions and
     turns sort-merge joins into broadcast joins once a side is known to be
@@ -23,6 +50,8 @@ def build_session(app: str = "lakeweave", master: str | None = None, **conf: str
         "spark.sql.parquet.filterPushdown": "true",
         "spark.ui.enabled": "false",
     }
+    if input_bytes is not None:
+        settings.update(sizing(input_bytes, cores))
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     builder = SparkSession.builder.appName(app)
     if master:

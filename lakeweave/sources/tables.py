@@ -40,3 +40,17 @@ def zones(spark: SparkSession) -> DataFrame:
 def high_watermark(df: DataFrame, column: str, default: Column) -> DataFrame:
     """One row, ``watermark``: the largest value, or the default for an empty table."""
     return df.agg(F.coalesce(F.max(column), default).alias("watermark"))
+
+
+def latest_day(spark: SparkSession, name: str, day: str = "day") -> DataFrame:
+    """The newest partition of a table partitioned by day, empty for an empty table.
+
+    Its name comes from the list of partitions, so finding the last time of a
+    large table reads one day of it.
+    """
+    parts = spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", {"name": name})
+    newest = parts.filter(~F.col("partition").contains("__HIVE_DEFAULT")).agg(F.max("partition")).first()[0]
+    rows = spark.read.table(name)
+    if newest is None:
+        return rows.limit(0)
+    return rows.filter(F.col(day) == F.lit(newest.split("=", 1)[1]).cast("date"))

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakeweave.functions.predicates import open_closed
 from lakeweave.operators.shape import project
+from lakeweave.sources.tables import latest_day
 from lakeweave.sinks.tables import balanced, ensure_folder, insert_ignore, new_rows
 
 # Where the sync starts, how far a chunk reaches, and the names
@@ -88,7 +89,8 @@ def sync_once(source: DataFrame, table: str, keys: Sequence[str], time: str,
     constants and prunes partitions. It does not sort: the sink has no order.
     """
     target = sink_time or time
-    bounds = chunk_bounds(source, source.sparkSession.read.table(table), time, target, year=year, **options)
+    newest = latest_day(source.sparkSession, table)
+    bounds = chunk_bounds(source, newest, time, target, year=year, **options)
     # Instants travel as a number: text would confuse the repeated autumn hour.
     instant = isinstance(source.schema[time].dataType, T.TimestampType)
     carry = F.unix_micros if instant else (lambda c: F.col(c).cast("string"))
