@@ -62,7 +62,7 @@ def incremental_chunk(t):
 
 @query("""
 SELECT 'empty sink' AS sink, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id
-FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts <= TIMESTAMP '2024-01-06'
+FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-06'
 UNION ALL
 SELECT 'before a gap', count(*), min(event_id), max(event_id) FROM events WHERE ts = (SELECT min(ts) FROM events)
 UNION ALL

@@ -42,13 +42,29 @@ def attach(readings: DataFrame, metadata: DataFrame, key: str) -> DataFrame:
     return readings.join(metadata, key, "inner")
 
 
-def missing_keys(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key does not exist yet. Null keys match nothing, so those of
-    ``existing`` are left out before they all meet in one shuffle partition."""
-    present = existing.select(*keys)
+def _keyed(existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys alone, without null ones, which would meet in one shuffle
+    partition and match nothing."""
+    present = existing.select(*[F.col(quoted(k)) for k in keys])
     for key in keys:
         present = present.filter(F.col(quoted(key)).isNotNull())
-    return df.join(present, list(keys), "left_anti")
+    return present
+
+
+def missing_keys(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key does not exist yet."""
+    return df.join(_keyed(existing, keys), list(keys), "left_anti")
+
+
+def unseen(unique: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``missing_keys`` for rows that an aggregate has made unique by ``keys``.
+
+    An anti join would be moved below that aggregate and shuffle every copy of a
+    hot key. The outer join stays above it and reuses its partitioning.
+    """
+    marked = _keyed(existing, keys).withColumn("__seen", F.lit(True))
+    joined = unique.join(marked, list(keys), "left").filter(F.col("__seen").isNull())
+    return joined.select([F.col(quoted(c)) for c in unique.columns])
 
 
 def drill_across(parts: Sequence[DataFrame], by: Sequence[str]) -> DataFrame:

@@ -68,14 +68,14 @@ def new_rows(source: DataFrame, sink: DataFrame, keys: Sequence[str],
     the source's time range is read, with ``day`` only those partitions.
     """
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    unique = dedupe.first_by_key(source.filter(~has_null), list(keys))
+    unique = dedupe.first_by_key(source.filter(~has_null), list(keys)).select(source.columns)
     if time is not None:
         bounds = source.agg(F.min(time).alias("lo"), F.max(time).alias("hi"))
         low, high = bounds.select("lo").scalar(), bounds.select("hi").scalar()
         sink = sink.filter((F.col(time) >= low) & (F.col(time) <= high))
         if day is not None:
             sink = sink.filter((F.col(day) >= F.to_date(low)) & (F.col(day) <= F.to_date(high)))
-    return joins.missing_keys(unique, sink, keys).select(source.columns).unionByName(source.filter(has_null))
+    return joins.unseen(unique, sink, keys).unionByName(source.filter(has_null))
 
 
 def insert_ignore(source: DataFrame, table: str, keys: Sequence[str], time: str,

@@ -15,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakeweave.functions.predicates import open_closed
 from lakeweave.operators.shape import project
-from lakeweave.sources.tables import latest_day
 from lakeweave.sinks.tables import balanced, ensure_folder, insert_ignore, new_rows
+from lakeweave.sources.tables import high_watermark, latest_day
 
 # Where the sync starts, how far a chunk reaches, and the names
 # the weather columns have in the sink.
@@ -39,63 +39,63 @@ def to_metrics(weather: DataFrame) -> DataFrame:
     return project(weather, WEATHER_COLUMNS)
 
 
-def chunk_bounds(source: DataFrame, sink: DataFrame, time: str, sink_time: str | None = None,
-                 span: str = SPAN, default: str = DEFAULT_START, year: str | None = None) -> DataFrame:
-    """One row: ``low`` and ``high`` of the next chunk, and ``next``, the first
-    source time in it (null when nothing is left).
-
-    An empty sink starts at ``default``, that instant included. If nothing lies
-    within the span but later rows exist, the chunk reaches to the next time that
-    has rows, so a gap in the source cannot stop the sync.
-    """
+def _low(source: DataFrame, sink: DataFrame, time: str, sink_time: str | None, default: str) -> Column:
+    """The last time of the sink; for an empty one, just before ``default``."""
     kind = source.schema[time].dataType
-    start = F.lit(default).cast(kind)
-    mark = sink.agg(F.max(sink_time or time).cast(kind).alias("mark")).select(
-        F.coalesce("mark", start - F.expr("interval 1 microsecond")).alias("low"),
-        (F.coalesce("mark", start) + F.expr(f"interval {span}")).alias("high"))
-    low, high = mark.select("low").scalar(), mark.select("high").scalar()
+    start = F.lit(default).cast(kind) - F.expr("interval 1 microsecond")
+    mark = high_watermark(sink.select(F.col(sink_time or time).cast(kind).alias("t")), "t", start)
+    return mark.scalar()
+
+
+def _upcoming(source: DataFrame, time: str, low: Column, span: str, year: str | None) -> DataFrame:
+    """One row: the ``next`` time after ``low`` and the ``high`` end of the chunk."""
     later = source.filter(F.col(time) > low)
-    if year is not None:
+    if year is not None:  # the column the source is partitioned by
         later = later.filter(F.col(year) >= F.year(low))
     return later.agg(F.min(time).alias("next")).select(
-        low.alias("low"), F.greatest(high, "next").alias("high"), "next")
+        "next", F.greatest(low + F.expr(f"interval {span}"), "next").alias("high"))
 
 
 def _between(source: DataFrame, time: str, low: Column, high: Column, year: str | None) -> DataFrame:
     chunk = source.filter(open_closed(F.col(time), low, high))
-    if year is not None:  # the column the source is partitioned by
+    if year is not None:
         chunk = chunk.filter((F.col(year) >= F.year(low)) & (F.col(year) <= F.year(high)))
     return chunk
 
 
-def incremental_chunk(source: DataFrame, sink: DataFrame, time: str, year: str | None = None,
-                      **options) -> DataFrame:
-    """The rows of the next chunk (see ``chunk_bounds``), in order of time.
+def incremental_chunk(source: DataFrame, sink: DataFrame, time: str, sink_time: str | None = None,
+                      span: str = SPAN, default: str = DEFAULT_START, year: str | None = None) -> DataFrame:
+    """The rows after the sink's last time, up to ``span`` later, in order of time.
+
+    An empty sink starts at ``default``, that instant included. If nothing lies
+    within the span but later rows exist, the chunk reaches to the next time that
+    has rows, so a gap in the source cannot stop the sync. No row is left when
+    the sink has caught up.
 
-    The bounds are scalar subqueries: no job runs here, and the scan still gets
-    them as pushed filters.
+    The bounds are scalar subqueries: no job runs here, and each stands alone in
+    its comparison, so the scan gets both as pushed filters.
     """
-    bounds = chunk_bounds(source, sink, time, year=year, **options)
-    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
+    low = _low(source, sink, time, sink_time, default)
+    high = _upcoming(source, time, low, span, year).select("high").scalar()
     return _between(source, time, low, high, year).orderBy(time)
 
 
 def sync_once(source: DataFrame, table: str, keys: Sequence[str], time: str,
               prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
-              sink_time: str | None = None, year: str | None = None, **options) -> bool:
+              sink_time: str | None = None, span: str = SPAN, default: str = DEFAULT_START,
+              year: str | None = None) -> bool:
     """Load the next chunk into ``table``; false when there was nothing to load.
 
     The bounds, one row, are read first, so that the load itself is planned with
     constants and prunes partitions. It does not sort: the sink has no order.
     """
     target = sink_time or time
-    newest = latest_day(source.sparkSession, table)
-    bounds = chunk_bounds(source, newest, time, target, year=year, **options)
+    low = _low(source, latest_day(source.sparkSession, table), time, target, default)
     # Instants travel as a number: text would confuse the repeated autumn hour.
     instant = isinstance(source.schema[time].dataType, T.TimestampType)
-    carry = F.unix_micros if instant else (lambda c: F.col(c).cast("string"))
-    row = bounds.select(carry("low").alias("low"), carry("high").alias("high"),
-                        F.col("next").isNotNull().alias("more")).first()
+    carried = [F.unix_micros(c) if instant else c.cast("string") for c in (low, F.col("high"))]
+    row = _upcoming(source, time, low, span, year).select(
+        carried[0].alias("low"), carried[1].alias("high"), F.col("next").isNotNull().alias("more")).first()
     if not row.more:
         return False
     low, high = [F.timestamp_micros(F.lit(v)) if instant else F.lit(v).cast("timestamp_ntz")

@@ -124,6 +124,17 @@ def test_hot_keys_are_combined_before_the_shuffle(spark):
     assert dedupe.first_by_key(hot(spark), ["k"]).count() == hot(spark).select("k").distinct().count()
 
 
+def test_copies_collapse_before_an_insert_joins(spark):
+    source = hot(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = plan(tables.new_rows(source, source.filter("v = 1").withColumnRenamed("id", "other"), ["k"])).split("\n\n")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftAnti" not in tree
+    assert tree.index("SortMergeJoin LeftOuter") < tree.index("Aggregate") < tree.index("Exchange")
+
+
 def test_null_keys_skip_the_shuffle_of_an_insert(spark):
     source = hot(spark)
     sink = source.filter("k = 'hot'")

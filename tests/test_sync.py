@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 import uuid
 
 import pytest
@@ -49,9 +50,17 @@ def test_chunk_takes_the_first_hour_and_a_full_day(spark):
     source = metrics(spark, *[reading(h) for h in range(60)])
     empty = source.limit(0)
     chunk = sync.incremental_chunk(source, empty, "time")
-    assert [r.time.hour for r in chunk.collect()][:2] == [0, 1] and chunk.count() == 25
+    assert [r.time.hour for r in chunk.collect()][:2] == [0, 1] and chunk.count() == 24
     after = sync.incremental_chunk(source, chunk, "time")
-    assert after.agg(F.min("time"), F.max("time")).first() == (T0 + dt.timedelta(hours=25), T0 + dt.timedelta(hours=48))
+    assert after.agg(F.min("time"), F.max("time")).first() == (T0 + dt.timedelta(hours=24), T0 + dt.timedelta(hours=47))
+
+
+def test_chunk_bounds_are_pushed_to_the_scan(spark, tmp_path):
+    metrics(spark, *[reading(h) for h in range(60)]).write.parquet(str(tmp_path / "s"))
+    source = spark.read.parquet(str(tmp_path / "s"))
+    chunk = sync.incremental_chunk(source, source.filter("time < '2023-01-02'"), "time")
+    text = spark._jvm.PythonSQLUtils.explainString(chunk._jdf.queryExecution(), "formatted")
+    assert re.search(r"GreaterThan\(time,ScalarSubquery#\d+\), LessThanOrEqual\(time,ScalarSubquery", text)
 
 
 def test_gap_and_end(spark):
