@@ -65,14 +65,14 @@ def conform_union(t):
 
 @query("""
 SELECT l_orderkey AS order_key, CAST(l_linenumber AS BIGINT) AS line, CAST(l_quantity AS BIGINT) AS quantity,
-       CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS DOUBLE) AS "price_%", round(sqrt(l_extendedprice), 2) AS root,
+       CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS DOUBLE) AS price, round(sqrt(l_extendedprice), 2) AS root,
        CAST(NULL AS DOUBLE) AS flag_number, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS ship_day
 FROM lineitem
 """)
 def typed_projection(t):
     typed = shape.project(t("lineitem"), {
         "order_key": "l_orderkey", "line": "l_linenumber", "quantity": ("l_quantity", "int"),
-        "price_%": ("l_extendedprice", "decimal(10,2)"), "root": "l_extendedprice",
+        "price": ("l_extendedprice", "decimal(10,2)"), "root": "l_extendedprice",
         "flag_number": ("l_returnflag", "double"), "ship_day": ("l_shipdate", "date"),
     })
     return typed.withColumn("root", F.round(F.sqrt("root"), 2))

@@ -166,14 +166,14 @@ dim_fx AS (SELECT day, rate FROM carried WHERE rate IS NOT NULL)
 
 
 def gdp_records(t: Tables) -> DataFrame:
-    """Order value per year and nation, delivered twice for even nations."""
+    """Order value per year and nation, delivered twice for the first nations."""
     owners = t("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     grouped = (t("orders").join(owners, "o_custkey")
                .groupBy(F.year("o_orderdate").cast("string").alias("date"), "c_nationkey")
                .agg(F.sum(F.floor("o_totalprice")).alias("value")))
     records = grouped.select("date", F.concat(F.lit("N"), "c_nationkey").alias("countryiso3code"),
                              F.col("value").cast("string").alias("value"), "c_nationkey")
-    return records.unionByName(records.filter(F.col("c_nationkey") % 2 == 0)).drop("c_nationkey")
+    return records.unionByName(records.filter(F.col("c_nationkey") < 10)).drop("c_nationkey")
 
 
 GDP = """

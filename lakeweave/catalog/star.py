@@ -51,13 +51,13 @@ def silver_gdp(t):
 WITH {staging.WEATHER}
 SELECT CAST(strftime(time, '%Y%m%d') AS BIGINT) AS "DateKey", {clock('time')} AS weather_timestamp, zone AS zone_name,
        hour(time) AS hour_of_day, year(time) AS year, month(time) AS month, dayofweek(time) + 1 AS day_of_week,
-       temp AS temperature_c, humidity AS "humidity_%", precip AS precipitation_mm, rain AS rain_mm,
+       temp AS temperature_c, humidity AS humidity_pct, precip AS precipitation_mm, rain AS rain_mm,
        snow AS snowfall_cm, wind AS wind_speed_kmh, direction AS wind_direction_deg
 FROM silver_weather
 """)
 def silver_weather(t):
     return silver.weather(staging.weather_readings(t), staging.WEATHER_FIRST, staging.WEATHER_LAST,
-                          time_type="timestamp_ntz")
+                          time_type="timestamp_ntz").withColumnRenamed("humidity_%", "humidity_pct")
 
 
 FACT_TAXI = f"""
@@ -144,17 +144,17 @@ def air_model(t):
 
 @query(f"""
 WITH {staging.TRIPS}, {FACT_TAXI}, {staging.DIM_FX}
-SELECT f.zone AS pickup_zone, CAST(sum(CAST(revenue AS DECIMAL(18,2)) * CAST(rate AS DECIMAL(18,4))) AS DOUBLE) AS "Total Revenue EUR"
+SELECT f.zone AS pickup_zone, CAST(sum(CAST(revenue AS DECIMAL(18,2)) * CAST(rate AS DECIMAL(18,4))) AS DOUBLE) AS revenue_eur
 FROM fact_taxi f LEFT JOIN dim_fx USING (day) GROUP BY 1 HAVING sum(revenue * rate) IS NOT NULL
 """)
 def measure_sumx(t):
-    return taxi_model(t).evaluate("Total Revenue EUR", by=["FactTaxiDaily.pickup_zone"])
+    return taxi_model(t).evaluate("Total Revenue EUR", by=["FactTaxiDaily.pickup_zone"]).toDF("pickup_zone", "revenue_eur")
 
 
 @query(f"""
 WITH {staging.TRIPS}, {FACT_TAXI}, {staging.DIM_FX}
 SELECT CASE WHEN d.day IS NULL THEN NULL ELSE strftime(f.day, '%A') END AS "DayName",
-       CAST(sum(CAST(revenue AS DECIMAL(18,2)) * CAST(rate AS DECIMAL(18,4))) AS DOUBLE) AS "Total Revenue EUR"
+       CAST(sum(CAST(revenue AS DECIMAL(18,2)) * CAST(rate AS DECIMAL(18,4))) AS DOUBLE) AS revenue_eur
 FROM fact_taxi f LEFT JOIN dim_fx USING (day)
 LEFT JOIN (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events) d ON d.day = f.day
 WHERE f.zone IN ('BUILDING', 'MACHINERY') AND d.day >= DATE '2024-01-10'
@@ -163,7 +163,7 @@ GROUP BY 1 HAVING sum(revenue * rate) IS NOT NULL
 def measure_filtered(t):
     return taxi_model(t).evaluate("Total Revenue EUR", by=["DimDate.DayName"], filters={
         "DimZone.StandardZone": lambda c: c.isin("BUILDING", "MACHINERY"),
-        "DimDate.DateKey": lambda c: c >= F.lit("2024-01-10").cast("date")})
+        "DimDate.DateKey": lambda c: c >= F.lit("2024-01-10").cast("date")}).toDF("DayName", "revenue_eur")
 
 
 def level(name, pollutant):
@@ -172,31 +172,33 @@ def level(name, pollutant):
     only = f"FILTER (WHERE pollutant = '{pollutant}')"
     # Mean of decimals at four more places, rounded half up, as decimal averages are.
     return (f"CAST((2 * 10000 * CAST({total} {only} AS HUGEINT) + {n} {only}) // nullif(2 * {n} {only}, 0) AS DOUBLE) / 1000000 "
-            f'AS "{name}"')
+            f"AS {name}")
 
 
-LEVELS = (("Avg NO2 Level", "no2"), ("Avg PM2.5 Level", "pm25"), ("Avg O3 Level", "o3"))
+LEVELS = {"Avg NO2 Level": "no2", "Avg PM2.5 Level": "pm25", "Avg O3 Level": "o3"}
 
 
 @query(f"""
 WITH {staging.AIR}, {FACT_AIR}
-SELECT year(day) AS "YearKey", month(day) AS "MonthNumber", {', '.join(level(*l) for l in LEVELS)}
+SELECT year(day) AS "YearKey", month(day) AS "MonthNumber", {', '.join(level('avg_' + p, p) for p in LEVELS.values())}
 FROM fact_air GROUP BY 1, 2
 """)
 def measure_filtered_avg(t):
-    return air_model(t).evaluate([name for name, _ in LEVELS], by=["DimDate.YearKey", "DimDate.MonthNumber"])
+    return air_model(t).evaluate(list(LEVELS), by=["DimDate.YearKey", "DimDate.MonthNumber"]).toDF(
+        "YearKey", "MonthNumber", *["avg_" + p for p in LEVELS.values()])
 
 
 @query(f"""
 WITH {staging.AIR}, {FACT_AIR},
 per_year AS (SELECT year(day) AS y, {level('lvl', 'no2')} FROM fact_air GROUP BY 1)
-SELECT DISTINCT y AS "YearKey", pollutant AS "Pollutant", lvl AS "Avg NO2 Level"
+SELECT DISTINCT y AS "YearKey", pollutant AS "Pollutant", lvl AS avg_no2
 FROM fact_air JOIN per_year ON y = year(day)
 """)
 def measure_override(t):
     """Grouped by the very column the measure fixes: each group shows the fixed value."""
     return air_model(t).evaluate("Avg NO2 Level", by=["DimDate.YearKey", "FactAirQualityDaily.Pollutant"],
-                                 filters={"FactAirQualityDaily.Pollutant": lambda c: c.isNotNull()})
+                                 filters={"FactAirQualityDaily.Pollutant": lambda c: c.isNotNull()}).toDF(
+        "YearKey", "Pollutant", "avg_no2")
 
 
 @query(f"""

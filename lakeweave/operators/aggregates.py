@@ -51,9 +51,11 @@ def date_bounds(df: DataFrame, column: str) -> DataFrame:
                  F.max("day").alias("last_day")))
 
 
-def column_stats(df: DataFrame, column: str) -> DataFrame:
+def column_stats(df: DataFrame, column: str, approximate: bool = False) -> DataFrame:
+    """One row of statistics. An approximate distinct count needs no shuffle of values."""
     c = F.col(column)
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(c).alias("distinct_values"),
+    distinct = F.approx_count_distinct(c) if approximate else F.count_distinct(c)
+    return df.agg(F.count(F.lit(1)).alias("rows"), distinct.alias("distinct_values"),
                   F.sum(c).alias("total"), F.avg(c).alias("mean"),
                   F.min(c).alias("smallest"), F.max(c).alias("largest"))
 
