@@ -166,6 +166,23 @@ def measure_filtered(t):
         "DimDate.DateKey": lambda c: c >= F.lit("2024-01-10").cast("date")}).toDF("DayName", "revenue_eur")
 
 
+@query(f"""
+WITH {staging.TRIPS}, {FACT_TAXI}, {staging.DIM_FX}
+SELECT f.zone AS pickup_zone, CAST(day AS VARCHAR) AS "DateKey",
+       '€ ' || format('{{:,.4f}}', CAST(max(rate) AS DOUBLE)) AS "ExchangeRate",
+       format('{{:.2f}} mi', max(distance)) AS "AvgTripDistance", format('{{:.2f}} Mins', max(duration)) AS "AvgTripDuration",
+       '$' || format('{{:,.2f}}', max(fare)) AS "AvgFare"
+FROM fact_taxi f JOIN dim_fx USING (day) GROUP BY 1, 2
+""")
+def formatted_columns(t):
+    """The largest values per zone and day, shown as the model shows its columns."""
+    fact = gold.fact_taxi_daily(silver_trips(t))
+    rated = joins.many_to_one(fact, gold.dim_fx(usd_series(t)), "DateKey", "DateKey", {"ExchangeRate": "ExchangeRate"}, "DimFX")
+    shown = ("ExchangeRate", "AvgTripDistance", "AvgTripDuration", "AvgFare")
+    tops = rated.filter("ExchangeRate IS NOT NULL").groupBy("pickup_zone", "DateKey").agg(*[F.max(c).alias(c) for c in shown])
+    return model.formatted(tops)
+
+
 def level(name, pollutant):
     total = "sum(CAST(avg_value * 100 AS BIGINT))"
     n = "count(*)"

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.group import GroupedData
 
+from lakeweave.functions import text
 from lakeweave.operators import joins
 from lakeweave.operators.shape import quoted
 
@@ -239,6 +240,29 @@ SUMMED_COLUMNS = frozenset({
 })
 
 
+# How the model shows its columns and measures.
+FORMATS: dict[str, Callable[[Column], Column]] = {
+    "Total Revenue EUR": lambda c: text.currency(c, "€", 2, gap=" "),
+    "ExchangeRate": lambda c: text.currency(c, "€", 4, gap=" "),
+    "TotalRevenue": lambda c: text.currency(c, "$", 2, negative="parentheses"),
+    "AvgFare": lambda c: text.currency(c, "$", 2, negative="parentheses"),
+    "GDP_Value": lambda c: text.currency(c, "$", 2, negative="parentheses"),
+    "AvgTripDistance": lambda c: text.with_unit(c, 2, " mi"),
+    "AvgTripDuration": lambda c: text.with_unit(c, 2, " Mins"),
+    "AvgValue": lambda c: text.thousands(c, 2),
+    "Avg NO2 Level": lambda c: text.with_unit(c, 4, " ppm"),
+    "Avg O3 Level": lambda c: text.with_unit(c, 4, " ppm"),
+    "Avg PM2.5 Level": lambda c: text.with_unit(c, 2, " µg/m³"),
+}
+
+
+def formatted(df: DataFrame) -> DataFrame:
+    """Columns and measures that have a format, as text; the others unchanged."""
+    return df.select([
+        (FORMATS[c](F.col(quoted(c))) if c in FORMATS else F.col(quoted(c))).alias(c) for c in df.columns
+    ])
+
+
 def star_model(tables: Mapping[str, DataFrame]) -> Model:
     """The model over gold tables named as in ``RELATIONSHIPS``."""
     present = set(tables)

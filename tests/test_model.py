@@ -85,3 +85,9 @@ def test_rows_do_not_multiply(star, spark):
     doubled = model.star_model({**star.tables, "DimFX": star.table("DimFX").union(star.table("DimFX"))})
     with pytest.raises(Exception, match="DimFX: key occurs more than once"):
         doubled.evaluate("Total Revenue EUR").collect()
+
+
+def test_formats(star):
+    got = model.formatted(star.evaluate(["Total Revenue EUR", "Avg NO2 Level", "Avg PM2.5 Level"])).first()
+    assert tuple(got) == ("€ 5.00", "2.0000 ppm", None)
+    assert model.formatted(star.table("DimGDP")).first().GDP_Value == "$99.00"

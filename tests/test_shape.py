@@ -126,3 +126,11 @@ def test_missing_type_contract_is_typed():
     assert contracts.DIM_DATE["IsWeekend"].nullable is False
     assert contracts.FACT_TAXI_DAILY["TotalRevenue"].dataType == T.DecimalType(18, 2)
     assert len(contracts.FX_FILE) == 32 and len(contracts.BRONZE_FX) == 16
+
+
+def test_rows_are_counted_by_the_action_itself(spark):
+    from lakeweave.operators.aggregates import column_stats, observed
+    df, seen = observed(spark.range(10))
+    assert df.filter("id > 100").count() == 0
+    assert seen.get["rows"] == 10
+    assert column_stats(spark.range(100), "id", approximate=True).first().distinct_values in range(90, 111)
