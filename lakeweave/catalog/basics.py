@@ -100,7 +100,7 @@ def silver_clean(t):
 
 
 @query("""
-SELECT c_custkey AS customer_key, n_name AS borough, r.n_regionkey AS zone
+SELECT c_custkey AS customer_key, n_name AS borough, CAST(r.n_regionkey AS DOUBLE) AS zone
 FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 3) r ON c_nationkey = n_nationkey
 """)
 def lookup_left_join(t):
@@ -108,7 +108,7 @@ def lookup_left_join(t):
     joined = joins.lookup(t("customer"), some, "c_nationkey", "n_nationkey",
                           {"n_name": "borough", "n_regionkey": "zone"},
                           drop=("c_nationkey", "c_name", "c_acctbal", "c_mktsegment"))
-    return shape.rename(joined, {"c_custkey": "customer_key"})
+    return shape.rename(joined, {"c_custkey": "customer_key"}).withColumn("zone", F.col("zone").cast("double"))
 
 
 @query(f"""

@@ -105,16 +105,15 @@ def count_matching(t):
 
 @query("""
 SELECT count(*) AS rows, count(*) FILTER (WHERE nullif(user_id % 7, 2) IS NULL) AS k_nulls,
-       0 AS ts_nulls, count(*) FILTER (WHERE value <= 1) AS small_values,
+       count(*) FILTER (WHERE ts IS NULL) AS ts_nulls, count(*) FILTER (WHERE value IS NULL) AS value_nulls,
+       count(*) FILTER (WHERE value <= 1) AS small_values,
        CAST(CAST(min(ts) AS DATE) AS VARCHAR) AS first_day, CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS last_day,
        count(DISTINCT CAST(ts AS DATE)) AS days
-FROM (SELECT user_id, ts, value FROM events)
-""".replace("0 AS ts_nulls", "count(*) FILTER (WHERE ts IS NULL) AS ts_nulls"))
+FROM events
+""")
 def silver_profile(t):
-    rows = t("events").select(F.nullif(F.col("user_id") % 7, F.lit(2)).alias("k"), "ts")
-    with_value = t("events").select(*[F.nullif(F.col("user_id") % 7, F.lit(2)).alias("k"), "ts", "value"])
-    return aggregates.profile(with_value, {"small_values": F.col("value") <= 1}, "ts").select(
-        "rows", *[f"{c}_nulls" for c in rows.columns], "small_values", "first_day", "last_day", "days")
+    rows = t("events").select(F.nullif(F.col("user_id") % 7, F.lit(2)).alias("k"), "ts", "value")
+    return aggregates.profile(rows, {"small_values": F.col("value") <= 1}, day="ts")
 
 
 @query("""

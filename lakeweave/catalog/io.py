@@ -30,8 +30,8 @@ def json_expand(t):
 
 @query("""
 SELECT 'GDP' AS indicator_id, 'Gross' AS indicator_value, 'C' || c_custkey AS country_id, c_name AS country_value,
-       c_mktsegment AS countryiso3code, y AS date,
-       CASE WHEN y = 1999 THEN NULL ELSE c_custkey * 1000 + y END AS value, 2.0::DOUBLE AS decimal
+       c_mktsegment AS countryiso3code, CAST(y AS BIGINT) AS date,
+       CASE WHEN y = 1999 THEN NULL ELSE CAST(c_custkey * 1000 + y AS DOUBLE) END AS value, 2.0::DOUBLE AS decimal
 FROM customer, (VALUES (1999), (2000), (2001)) v(y)
 """)
 def json_envelope(t):
@@ -45,15 +45,15 @@ def json_envelope(t):
             value.alias("value"), F.lit("2").alias("decimal"))
     document = F.concat(F.lit('[{"page": 1}, '), F.to_json(F.array(*[made(y) for y in (1999, 2000, 2001)])), F.lit("]"))
     return silver.gdp_bronze(nested.envelope_records(
-        t("customer").select(document.alias("text")), "text", GDP_RECORD))
+        t("customer").select(document.alias("text")), "text", GDP_RECORD)).withColumn("value", F.col("value").cast("double"))
 
 
 @query("""
 SELECT s_suppkey AS location_id, s_name AS location_name, CASE WHEN s_nationkey < 5 THEN NULL ELSE 'L' || s_nationkey END AS locality,
        'America/New_York' AS timezone, CASE WHEN s_acctbal < 0 THEN NULL ELSE 40.5::DOUBLE END AS latitude,
        CASE WHEN s_acctbal < 0 THEN NULL ELSE (-74.25)::DOUBLE END AS longitude,
-       s_suppkey * 10 + p AS sensor_id, p AS parameter_id, 'P' || p AS parameter_name, 'ppm' AS parameter_units,
-       NULL AS parameter_display,
+       s_suppkey * 10 + p AS sensor_id, CAST(p AS BIGINT) AS parameter_id, 'P' || p AS parameter_name, 'ppm' AS parameter_units,
+       CAST(NULL AS VARCHAR) AS parameter_display,
        CASE WHEN l_returnflag = 'A' THEN NULL ELSE strftime(l_shipdate, '%Y-%m-%d') END AS date, l_quantity AS value
 FROM supplier, (VALUES (2), (7), (10)) v(p), lineitem
 WHERE l_suppkey = s_suppkey AND l_linenumber % 4 = CASE p WHEN 2 THEN 0 WHEN 7 THEN 1 ELSE 2 END
@@ -188,7 +188,7 @@ def export_lines(t):
     return t.spark.read.schema("event_id bigint, event_type string, value double").json(path)
 
 
-@query("SELECT n_nationkey, n_name, c.n AS customers FROM nation JOIN (SELECT c_nationkey, 2 * count(*) AS n FROM customer GROUP BY 1) c ON c_nationkey = n_nationkey")
+@query("SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, c.n AS customers FROM nation JOIN (SELECT c_nationkey, 2 * count(*) AS n FROM customer GROUP BY 1) c ON c_nationkey = n_nationkey")
 def append_table(t):
     """Appended twice, every row counts twice."""
     name, path = fresh_name("append"), scratch_dir(t.spark, "append")

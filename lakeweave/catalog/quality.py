@@ -9,7 +9,8 @@ from lakeweave.catalog.registry import query
 from lakeweave.operators import checks
 from lakeweave.plans import silver, suites
 
-FIELDS = ("suite", "kind", "name", "success", "unexpected_count", "detail")
+FIELDS = ("suite", "kind", "name", "CAST(success AS string) AS success",
+          "CAST(unexpected_count AS double) AS unexpected_count", "detail")
 
 
 def nullable_events(t):
@@ -134,10 +135,10 @@ def suite_sql(suite, nulls, others, stats, source, null_detail):
     lines = []
     for column, test in nulls:
         n = failing(test)
-        lines.append(f"SELECT '{suite}' AS suite, 'check' AS kind, 'No Nulls → {column}' AS name, {n} = 0 AS success, "
-                     f"{n} AS unexpected_count, CASE WHEN {n} > 0 THEN 'Found ' || {n} || ' {null_detail}' END AS detail FROM {source} HAVING count(*) >= 0")
+        lines.append(f"SELECT '{suite}' AS suite, 'check' AS kind, 'No Nulls → {column}' AS name, CAST({n} = 0 AS VARCHAR) AS success, "
+                     f"CAST({n} AS DOUBLE) AS unexpected_count, CASE WHEN {n} > 0 THEN 'Found ' || {n} || ' {null_detail}' END AS detail FROM {source} HAVING count(*) >= 0")
     for name, n, detail in others:
-        lines.append(f"SELECT '{suite}', 'check', '{name}', {n} = 0, {n}, CASE WHEN {n} > 0 THEN {detail} END FROM {source} HAVING count(*) >= 0")
+        lines.append(f"SELECT '{suite}', 'check', '{name}', CAST({n} = 0 AS VARCHAR), {n}, CASE WHEN {n} > 0 THEN {detail} END FROM {source} HAVING count(*) >= 0")
     for name, value in stats:
         lines.append(f"SELECT '{suite}', 'stat', '{name}', NULL, NULL, {value} FROM {source} HAVING count(*) >= 0")
     return " UNION ALL ".join(lines)
@@ -155,13 +156,13 @@ SMALL = suite_sql(
 
 @query(f"WITH {EVENTS} {SMALL}")
 def quality_suite(t):
-    return small_suite().evaluate(nullable_events(t)).select(*FIELDS)
+    return small_suite().evaluate(nullable_events(t)).selectExpr(*FIELDS)
 
 
 @query(f"""
 WITH {EVENTS}, r AS ({SMALL})
-SELECT suite, count(*) AS total, count(*) FILTER (WHERE success) AS passed, count(*) FILTER (WHERE NOT success) AS failed,
-       format('{{:.1f}}%', 100.0 * count(*) FILTER (WHERE success) / count(*)) AS success_rate
+SELECT suite, count(*) AS total, count(*) FILTER (WHERE success = 'true') AS passed, count(*) FILTER (WHERE success = 'false') AS failed,
+       format('{{:.1f}}%', 100.0 * count(*) FILTER (WHERE success = 'true') / count(*)) AS success_rate
 FROM r WHERE kind = 'check' GROUP BY suite
 """)
 def quality_totals(t):
@@ -172,7 +173,7 @@ def quality_totals(t):
 WITH {EVENTS},
 n AS (SELECT {failing('grp IS NULL')} AS grp, {failing('event_type IS NULL')} AS typ, {failing('value < 0')} AS neg,
              format('{{:,.2f}}', max(value)) AS largest FROM e)
-SELECT 'Events' AS suite, section, position, name, value FROM (
+SELECT 'Events' AS suite, section, CAST(position AS BIGINT) AS position, name, value FROM (
   SELECT 'summary' AS section, 0 AS position, 'Total Checks' AS name, '8' AS value
   UNION ALL SELECT 'summary', 1, 'Passed', '5'
   UNION ALL SELECT 'summary', 2, 'Failed', '3'
@@ -212,7 +213,7 @@ TAXI_NAMES = (("pickup_datetime", "pickup"), ("dropoff_datetime", "dropoff"), ("
     "silver_taxi", "null rows"))
 def suite_taxi(t):
     trips = silver.taxi(staging.trips(t), staging.zone_lookup(t), time_type="timestamp_ntz")
-    return suites.check_table(trips, "taxi").select(*FIELDS)
+    return suites.check_table(trips, "taxi").selectExpr(*FIELDS)
 
 
 @query(f"WITH {staging.TRIPS}, raw AS (SELECT CAST(fare - 10 AS DECIMAL(10,2)) AS total_amount, CAST(location % 4 - 1 AS DOUBLE) AS trip_distance FROM once), " + f"""
@@ -248,7 +249,7 @@ AIR_COLUMNS = ("day", "location_name", "locality", "timezone", "parameter_name",
     "silver_air", "null metrics"))
 def suite_air(t):
     readings = silver.air(staging.air_tables(t), staging.AIR_YEARS)
-    return suites.check_table(readings, "air").select(*FIELDS)
+    return suites.check_table(readings, "air").selectExpr(*FIELDS)
 
 
 @query(f"""
@@ -262,7 +263,7 @@ WITH {staging.DIM_FX}, f AS (SELECT * FROM dim_fx) """ + suite_sql(
     "f", "broken fields"))
 def suite_fx(t):
     rates = silver.fx(staging.usd_rates(t), staging.USD_FIRST, staging.USD_LAST)
-    return suites.check_table(rates, "fx").select(*FIELDS)
+    return suites.check_table(rates, "fx").selectExpr(*FIELDS)
 
 
 @query(f"WITH {staging.GDP} " + suite_sql(
@@ -275,7 +276,7 @@ def suite_fx(t):
     "gdp", "empty fields"))
 def suite_gdp(t):
     records = silver.gdp(staging.gdp_records(t), excluded_year=2001)
-    return suites.check_table(records, "gdp", as_of_year=1999).select(*FIELDS)
+    return suites.check_table(records, "gdp", as_of_year=1999).selectExpr(*FIELDS)
 
 
 WEATHER_NAMES = (("weather_timestamp", "time"), ("zone_name", "zone"), ("temperature_c", "temp"), ("humidity_%", "humidity"),
@@ -305,10 +306,10 @@ WEATHER_RANGES = (
      ("Date Range", "strftime(min(time), '%Y-%m-%d') || ' → ' || strftime(max(time), '%Y-%m-%d')"),
      ("Total Nulls", f"format('{{:,}}', {failing('snow IS NULL')} + {failing('direction IS NULL')})")],
     "silver_weather", "null values") + """
-UNION ALL SELECT 'Weather Data Quality', 'check', 'Hourly Completeness per Zone', max(n) - min(n) <= 24, max(n) - min(n),
+UNION ALL SELECT 'Weather Data Quality', 'check', 'Hourly Completeness per Zone', CAST(max(n) - min(n) <= 24 AS VARCHAR), max(n) - min(n),
   CASE WHEN max(n) - min(n) > 24 THEN 'Row imbalance across zones: ' || (max(n) - min(n)) || ' hours. Counts: {' ||
     string_agg('''' || zone || ''': ' || n, ', ' ORDER BY zone) || '}' END FROM zones""")
 def suite_weather(t):
     readings = silver.weather(staging.weather_readings(t), staging.WEATHER_FIRST, staging.WEATHER_LAST,
                               time_type="timestamp_ntz")
-    return suites.check_table(readings, "weather").select(*FIELDS)
+    return suites.check_table(readings, "weather").selectExpr(*FIELDS)

@@ -52,12 +52,13 @@ WITH {staging.WEATHER}
 SELECT CAST(strftime(time, '%Y%m%d') AS BIGINT) AS "DateKey", {clock('time')} AS weather_timestamp, zone AS zone_name,
        hour(time) AS hour_of_day, year(time) AS year, month(time) AS month, dayofweek(time) + 1 AS day_of_week,
        temp AS temperature_c, humidity AS humidity_pct, precip AS precipitation_mm, rain AS rain_mm,
-       snow AS snowfall_cm, wind AS wind_speed_kmh, direction AS wind_direction_deg
+       snow AS snowfall_cm, wind AS wind_speed_kmh, CAST(direction AS DOUBLE) AS wind_direction_deg
 FROM silver_weather
 """)
 def silver_weather(t):
     return silver.weather(staging.weather_readings(t), staging.WEATHER_FIRST, staging.WEATHER_LAST,
-                          time_type="timestamp_ntz").withColumnRenamed("humidity_%", "humidity_pct")
+                          time_type="timestamp_ntz").withColumnRenamed("humidity_%", "humidity_pct").withColumn(
+        "wind_direction_deg", F.col("wind_direction_deg").cast("double"))
 
 
 FACT_TAXI = f"""
@@ -247,7 +248,7 @@ def default_summarise(t):
 @query("""
 WITH o AS (SELECT CAST(o_orderdate AS DATE) + 9131 AS day, count(*) AS orders, sum(CAST(o_totalprice AS DECIMAL(12,2))) AS amount FROM orders GROUP BY 1),
 e AS (SELECT CAST(ts AS DATE) AS day, count(*) AS events, sum(CAST(value AS DECIMAL(12,2))) AS value FROM events GROUP BY 1)
-SELECT CAST(coalesce(o.day, e.day) AS VARCHAR) AS day, orders, CAST(amount AS DOUBLE) AS amount, events, CAST(value AS DOUBLE) AS value
+SELECT CAST(coalesce(o.day, e.day) AS VARCHAR) AS day, CAST(orders AS DOUBLE) AS orders, CAST(amount AS DOUBLE) AS amount, CAST(events AS DOUBLE) AS events, CAST(value AS DOUBLE) AS value
 FROM o FULL JOIN e ON o.day = e.day
 """)
 def drill_across(t):
@@ -256,7 +257,8 @@ def drill_across(t):
         F.count(F.lit(1)).alias("orders"), F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("amount"))
     events = t("events").groupBy(F.to_date("ts").alias("day")).agg(
         F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast("decimal(12,2)")).alias("value"))
-    return joins.drill_across([orders, events], ["day"])
+    counts = {c: F.col(c).cast("double") for c in ("orders", "events")}
+    return joins.drill_across([orders, events], ["day"]).withColumns(counts)
 
 
 @query(f"""

@@ -61,7 +61,7 @@ def incremental_chunk(t):
 
 
 @query("""
-SELECT 'empty sink' AS sink, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id
+SELECT 'empty sink' AS sink, count(*) AS n, CAST(min(event_id) AS DOUBLE) AS first_id, CAST(max(event_id) AS DOUBLE) AS last_id
 FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-06'
 UNION ALL
 SELECT 'before a gap', count(*), min(event_id), max(event_id) FROM events WHERE ts = (SELECT min(ts) FROM events)
@@ -74,8 +74,8 @@ def incremental_edges(t):
     old = t("events").agg((F.min("ts") - F.expr("interval 60 days")).alias("ts"))
     cases = {"empty sink": events.filter("false"), "before a gap": old, "caught up": events}
     parts = [sync.incremental_chunk(events, sink, "ts", default="2024-01-05 00:00:00").agg(
-        F.lit(label).alias("sink"), F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"),
-        F.max("event_id").alias("last_id")) for label, sink in cases.items()]
+        F.lit(label).alias("sink"), F.count(F.lit(1)).alias("n"), F.min("event_id").cast("double").alias("first_id"),
+        F.max("event_id").cast("double").alias("last_id")) for label, sink in cases.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
