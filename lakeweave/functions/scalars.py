@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def date_key(day: Column) -> Column:
@@ -11,6 +12,14 @@ def date_key(day: Column) -> Column:
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
 
 
+def utc_day(time: Column, kind: T.DataType) -> Column:
+    """The day a row is stored under. For instants it is the UTC day, so sessions
+    in different time zones agree on it."""
+    if isinstance(kind, T.TimestampType):
+        return F.date_from_unix_date(F.floor(F.unix_seconds(time) / 86400).cast("int"))
+    return F.to_date(time)
+
+
 def strip_text(text: Column, mark: str = "/") -> Column:
     return F.replace(text, F.lit(mark), F.lit(""))
 

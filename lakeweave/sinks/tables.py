@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeweave.functions.scalars import utc_day
 from lakeweave.operators import dedupe, joins
 from lakeweave.operators.shape import quoted
 from lakeweave.plans.gold import to_contract
@@ -74,7 +75,8 @@ def new_rows(source: DataFrame, sink: DataFrame, keys: Sequence[str],
         low, high = bounds.select("lo").scalar(), bounds.select("hi").scalar()
         sink = sink.filter((F.col(time) >= low) & (F.col(time) <= high))
         if day is not None:
-            sink = sink.filter((F.col(day) >= F.to_date(low)) & (F.col(day) <= F.to_date(high)))
+            kind = source.schema[time].dataType
+            sink = sink.filter((F.col(day) >= utc_day(low, kind)) & (F.col(day) <= utc_day(high, kind)))
     return joins.unseen(unique, sink, keys).unionByName(source.filter(has_null))
 
 
@@ -82,7 +84,8 @@ def insert_ignore(source: DataFrame, table: str, keys: Sequence[str], time: str,
                   day: str = "day") -> None:
     """Load into a table made by ``ensure_table``. Run twice it loads once."""
     sink = source.sparkSession.read.table(table)
-    fresh = new_rows(source, sink, keys, time, day).withColumn(day, F.to_date(time))
+    stored = utc_day(F.col(time), source.schema[time].dataType)
+    fresh = new_rows(source, sink, keys, time, day).withColumn(day, stored)
     balanced(fresh, [day]).select(sink.columns).write.mode("append").insertInto(table)
 
 

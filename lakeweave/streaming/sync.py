@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeweave.functions.predicates import open_closed
+from lakeweave.functions.scalars import utc_day
 from lakeweave.operators.shape import project
 from lakeweave.sinks.tables import balanced, ensure_folder, insert_ignore, new_rows
 from lakeweave.sources.tables import high_watermark, latest_day
@@ -47,11 +48,17 @@ def _low(source: DataFrame, sink: DataFrame, time: str, sink_time: str | None, d
     return mark.scalar()
 
 
+def _year(time: Column, days: int) -> Column:
+    """The year to look for in the column the source is partitioned by, with a
+    day's margin: the source may be partitioned in another time zone."""
+    return F.year(time + F.expr(f"interval {days} days"))
+
+
 def _upcoming(source: DataFrame, time: str, low: Column, span: str, year: str | None) -> DataFrame:
     """One row: the ``next`` time after ``low`` and the ``high`` end of the chunk."""
     later = source.filter(F.col(time) > low)
-    if year is not None:  # the column the source is partitioned by
-        later = later.filter(F.col(year) >= F.year(low))
+    if year is not None:
+        later = later.filter(F.col(year) >= _year(low, -1))
     return later.agg(F.min(time).alias("next")).select(
         "next", F.greatest(low + F.expr(f"interval {span}"), "next").alias("high"))
 
@@ -59,7 +66,7 @@ def _upcoming(source: DataFrame, time: str, low: Column, span: str, year: str |
 def _between(source: DataFrame, time: str, low: Column, high: Column, year: str | None) -> DataFrame:
     chunk = source.filter(open_closed(F.col(time), low, high))
     if year is not None:
-        chunk = chunk.filter((F.col(year) >= F.year(low)) & (F.col(year) <= F.year(high)))
+        chunk = chunk.filter((F.col(year) >= _year(low, -1)) & (F.col(year) <= _year(high, 1)))
     return chunk
 
 
@@ -123,7 +130,8 @@ def load_batch(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str],
                            T.StructField("day", T.DateType())])
     earlier = (batch.sparkSession.read.schema(layout).parquet(path)
                .filter(F.col("load_id") != batch_id))
-    fresh = new_rows(batch, earlier, keys, time, "day").withColumn("day", F.to_date(time))
+    stored = utc_day(F.col(time), batch.schema[time].dataType)
+    fresh = new_rows(batch, earlier, keys, time, "day").withColumn("day", stored)
     (balanced(fresh, ["day"]).write.mode("overwrite").partitionBy("day")
      .parquet(f"{path}/load_id={batch_id}"))
 

@@ -88,6 +88,24 @@ def test_chunks_until_empty_give_the_source(spark, table, rows, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_sessions_in_two_zones_share_a_table(spark, table, tmp_path):
+    start = dt.datetime(2023, 12, 31, 12, tzinfo=dt.timezone.utc)
+    data = [(start + dt.timedelta(hours=h), "A", 1.0, 1.0, 0.0, 0.0, 0.0, 1.0, 1) for h in range(30)]
+    source = spark.createDataFrame(data, contracts.WEATHER_METRICS).withColumn("year", F.year("time"))
+    source.write.partitionBy("year").parquet(str(tmp_path / "s"))  # years of this session's zone
+    stored = spark.read.parquet(str(tmp_path / "s"))
+    for zone in ("Asia/Tokyo", "America/Los_Angeles", "UTC"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            sync.sync_all(stored, table, KEYS, "time", year="year", default="2023-01-01 00:00:00",
+                          prepare=lambda df: df.drop("year"))
+            tables.insert_ignore(stored.drop("year"), table, KEYS, "time")
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert spark.table(table).count() == 30
+    assert spark.table(table).select("day").distinct().count() == 2
+
+
 def test_weather_to_metrics_names(spark):
     data = [(20230101, T0, "A", 0, 2023, 1, 1, 1.0, 2.0, None, 4.0, 5.0, 6.0, None)]
     got = sync.to_metrics(spark.createDataFrame(data, contracts.SILVER_WEATHER))
