@@ -6,7 +6,7 @@ from column values, so every query works on all rows of its table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeweave.catalog.registry import Tables
@@ -24,6 +24,12 @@ def mean2(total: str, n: str, scale: int) -> str:
     return (f"CAST((2 * 100 * CAST({total} AS HUGEINT) + {n} * {unit}) // (2 * {n} * {unit}) AS DOUBLE) / 100")
 
 
+def deliver(df: DataFrame, twice: Column) -> DataFrame:
+    """Every row with its ``copy`` number, those marked ``twice`` a second time."""
+    copies = F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("copy", F.explode(copies))
+
+
 def trips(t: Tables) -> DataFrame:
     """Trips from events; those of view events are delivered twice, one in five
     users travelled five years earlier."""
@@ -43,8 +49,8 @@ def trips(t: Tables) -> DataFrame:
         (F.nullif(F.col("event_id") % 5, F.lit(3)) - 1).cast("double").alias("congestion_surcharge"),
         "event_type",
     )
-    again = once.filter(F.col("event_type") == "view").withColumn("dolocationid", F.col("dolocationid") + 1)
-    return once.unionByName(again).drop("event_type")
+    delivered = deliver(once, F.col("event_type") == "view")
+    return delivered.withColumn("dolocationid", F.col("dolocationid") + F.col("copy")).drop("event_type", "copy")
 
 
 TRIPS = """
@@ -102,9 +108,9 @@ def air_tables(t: Tables) -> list[DataFrame]:
         F.lit(40.5).alias("latitude"), F.lit(-74.25).alias("longitude"),
         "o_orderdate", "o_orderstatus",
     )
-    delivered = readings.unionByName(readings.filter(F.col("o_orderstatus") == "O"))
-    return [delivered.filter((F.col("o_orderdate") >= F.lit(low)) & (F.col("o_orderdate") < F.lit(high)))
-            .drop("o_orderdate", "o_orderstatus") for low, high in AIR_TABLES]
+    periods = [readings.filter((F.col("o_orderdate") >= F.lit(low)) & (F.col("o_orderdate") < F.lit(high)))
+               for low, high in AIR_TABLES]
+    return [deliver(p, F.col("o_orderstatus") == "O").drop("o_orderdate", "o_orderstatus", "copy") for p in periods]
 
 
 def _air_sql() -> str:
@@ -173,7 +179,7 @@ def gdp_records(t: Tables) -> DataFrame:
                .agg(F.sum(F.floor("o_totalprice")).alias("value")))
     records = grouped.select("date", F.concat(F.lit("N"), "c_nationkey").alias("countryiso3code"),
                              F.col("value").cast("string").alias("value"), "c_nationkey")
-    return records.unionByName(records.filter(F.col("c_nationkey") < 10)).drop("c_nationkey")
+    return deliver(records, F.col("c_nationkey") < 10).drop("c_nationkey", "copy")
 
 
 GDP = """
