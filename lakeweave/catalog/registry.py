@@ -34,8 +34,12 @@ def plain(df: DataFrame) -> DataFrame:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DateType):
             column = F.date_format(column, "yyyy-MM-dd")
-        elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+        elif isinstance(field.dataType, T.TimestampType):
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        elif isinstance(field.dataType, T.TimestampNTZType):
+            # Formatting would pass through the session's zone and its spring gap.
+            clock = column.cast("string")
+            column = F.concat(F.substring(clock, 1, 19), F.lit("."), F.rpad(F.substring(clock, 21, 6), 6, "0"))
         elif isinstance(field.dataType, (T.DecimalType, T.FloatType)):
             column = column.cast("double")
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
