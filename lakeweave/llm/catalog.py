@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweave.llm import bpe
+from lakeweave.llm import bpe, idstore, mixing, sharding
+from lakeweave.llm.common import reach_workers
+from lakeweave.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,8 +21,11 @@ def query(table: str, sql: str | None = None):
     """Register a function of one given table under its own name."""
 
     def add(build: Callable[[DataFrame], DataFrame]):
-        QUERIES[build.__name__] = lambda spark, folder: build(
-            spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet"))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            reach_workers(spark)
+            return build(spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet"))
+
+        QUERIES[build.__name__] = run
         if sql is not None:
             ORACLES[build.__name__] = sql
         return build
@@ -34,3 +39,27 @@ def op1_bpe(docs):
     texts = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY)
     return texts.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("documents")
+def op2_mixing(docs):
+    """Half as many words again as there are, by source weights of 3, 1 and 2."""
+    return mixing.mix(docs, [3, 1, 2], share=1.5, most_repeats=2)
+
+
+@query("documents")
+def op3_sharding(docs):
+    """Forty shards by the id alone."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
+                       F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"))
+    return sharding.assign(rows, "doc_id", 40, ("text_crc32", "size"))
+
+
+@query("documents")
+def op10_id_store(docs):
+    """Ids written to files, every document read back by its key."""
+    spark, folder = docs.sparkSession, scratch_dir(docs.sparkSession, "ids")
+    idstore.write_store(docs, folder, VOCABULARY, end_id=2)
+    return idstore.fetch(spark, folder, docs.select("doc_id")).select(
+        "doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))

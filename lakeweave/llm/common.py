@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
 import uuid
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,18 @@ from lakeweave.session import scratch_dir
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, also if it is not installed.
+
+    On a cluster install the package on the executors or pass it with ``--py-files``.
+    """
+    home = str(Path(__file__).resolve().parents[2])
+    own = spark.sparkContext.environment
+    paths = own.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
+    if home not in paths:
+        own["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
+
+
 def named(name: str) -> Column:
     """A column by its exact name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")
