@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweave.llm import bpe, idstore, mixing, sharding
+from lakeweave.llm import bpe, idstore, mixing, quality, sharding, topk
 from lakeweave.llm.common import reach_workers
 from lakeweave.session import scratch_dir
 
@@ -63,3 +63,23 @@ def op10_id_store(docs):
     idstore.write_store(docs, folder, VOCABULARY, end_id=2)
     return idstore.fetch(spark, folder, docs.select("doc_id")).select(
         "doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@query("embeddings", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS score
+           FROM v q, v c WHERE q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 20
+""")
+def op5_topk(embeddings):
+    """The twenty best of all other vectors for each query."""
+    vectors = embeddings.select("vec_id", topk.whole_parts(F.col("embedding")).alias("vector"))
+    return topk.search(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+
+
+@query("documents")
+def op6_quality(docs):
+    """Base rules and thresholds by language and source."""
+    return quality.judge(docs)
