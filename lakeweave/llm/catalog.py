@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweave.llm import bpe, idstore, mixing, quality, sharding, topk
+from lakeweave.llm import bpe, idstore, langid, mixing, quality, sharding, topk
 from lakeweave.llm.common import reach_workers
 from lakeweave.session import scratch_dir
 
@@ -83,3 +83,16 @@ def op5_topk(embeddings):
 def op6_quality(docs):
     """Base rules and thresholds by language and source."""
     return quality.judge(docs)
+
+
+def fold(doc_id: str, folds: int):
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
+
+
+@query("documents")
+def op7_langid(docs):
+    """The language of every text, learned from three quarters of the labelled rows."""
+    learn = F.coalesce(fold("doc_id", 4) != 2, F.lit(True))
+    rows = docs.select("doc_id", "text", "lang")
+    return langid.identify(rows, learn).select(
+        "doc_id", (~learn).alias("held_out"), "lang_pred", "score")
