@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweave.llm import bpe, idstore, langid, mixing, quality, sharding, topk
+from lakeweave.llm import bpe, gru, idstore, langid, mixing, quality, sharding, topk
 from lakeweave.llm.common import reach_workers
 from lakeweave.session import scratch_dir
 
@@ -96,3 +96,9 @@ def op7_langid(docs):
     rows = docs.select("doc_id", "text", "lang")
     return langid.identify(rows, learn).select(
         "doc_id", (~learn).alias("held_out"), "lang_pred", "score")
+
+
+@query("documents")
+def op9_gru(docs):
+    """Log probabilities of every text, learned from four fifths of the rows."""
+    return gru.score(docs, F.coalesce(fold("doc_id", 5) != 1, F.lit(True)))
