@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweave.llm import bpe, gru, idstore, langid, mixing, quality, sharding, topk
+from lakeweave.llm import bpe, gru, idstore, langid, mixing, quality, setjoin, sharding, topk
 from lakeweave.llm.common import reach_workers
 from lakeweave.session import scratch_dir
 
@@ -102,3 +102,9 @@ def op7_langid(docs):
 def op9_gru(docs):
     """Log probabilities of every text, learned from four fifths of the rows."""
     return gru.score(docs, F.coalesce(fold("doc_id", 5) != 1, F.lit(True)))
+
+
+@query("documents")
+def op8_setjoin(docs):
+    """Groups of documents that share nine tenths of their 3-word shingles."""
+    return setjoin.groups(docs)
