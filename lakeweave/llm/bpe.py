@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeweave.llm.common import byte_values, named, sliced
-from lakeweave.llm.wordblocks import join_words
+from lakeweave.llm.wordblocks import WordBlocks
 
 #: The pattern of the tokenizer file that ``Words`` knows.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -107,10 +107,10 @@ def words_of_file(path: str) -> Words:
     return Words(path)
 
 
-@functools.lru_cache(maxsize=2)
-def pieces_of_file(path: str) -> tuple[str | None, ...]:
+def pieces_of_file(path: str) -> list[str | None]:
+    """The vocabulary by id, as large as the file says."""
     library = words_of_file(path).library
-    return tuple(library.id_to_token(i) for i in range(max(library.get_vocab().values()) + 1))
+    return [library.id_to_token(i) for i in range(max(library.get_vocab().values()) + 1)]
 
 
 def widened(packed: bytes, width: np.dtype) -> bytes:
@@ -125,19 +125,22 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     inner = docs.select(*[named(c).alias(f"c{i}") for i, c in enumerate(names)], named(text).alias("text"))
     kinds = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(names)]
 
+    width = words_of_file(path).width
+
     def value_of(words: list[bytes], counts: list[int]) -> list[bytes]:
         return words_of_file(path).encode(words)
 
-    def use(values: dict[bytes, bytes], rows: pa.Table) -> Iterator[pa.Table]:
-        width = words_of_file(path).width
-        out = rows.drop_columns(["text"])
-        get = values.__getitem__
-        ids = [widened(b"".join(map(get, value.split())), width)
-               for value in byte_values(rows["text"].combine_chunks() if rows.num_rows else pa.array([], pa.string()))]
-        yield out.append_column("ids", pa.array(ids, pa.binary()))
+    def use(values: dict[bytes, bytes], parts: Iterator[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        get, made = values.__getitem__, []
+        for rows in parts:
+            ids = [widened(b"".join(map(get, value.split())), width) for value in byte_values(rows.column("text"))]
+            made.append(pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(ids, pa.binary())],
+                                                   [*rows.schema.names[:-1], "ids"]))
+        return made
 
     schema = T.StructType([*kinds, T.StructField("ids", T.BinaryType())])
-    done = join_words(inner, "text", value_of, use, schema)
+    blocks = WordBlocks(inner, "text")
+    done = blocks.join(blocks.answers(value_of), use, schema)
     return done.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "ids")
 
 
@@ -148,8 +151,9 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "deco
     """
     schema = T.StructType([*encoded.schema.fields, T.StructField(decoded, T.StringType())])
 
+    pieces = pieces_of_file(path)
+
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = pieces_of_file(path)
         for batch in sliced(batches, ids, 1 << 20):
             texts = []
             for packed in batch.column(ids).to_pylist():

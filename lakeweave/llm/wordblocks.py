@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lakeweave.llm.common import byte_values, pieces
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def dealt_words(words, buckets: int) -> list[list[bytes]]:
@@ -37,7 +38,7 @@ def dealt_words(words, buckets: int) -> list[list[bytes]]:
 
 def pack_values(values: list[bytes]) -> bytes:
     sizes = np.fromiter(map(len, values), np.uint32, len(values))
-    return zlib.compress(np.uint32(len(values)).tobytes() + sizes.tobytes() + b"".join(values), 1)
+    return zlib.compress(np.uint32(len(values)).tobytes() + sizes.tobytes() + b"".join(values))
 
 
 def unpack_values(packed: bytes) -> list[bytes]:
@@ -48,65 +49,120 @@ def unpack_values(packed: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip([4 + 4 * count, *ends[:-1]], ends)] if count else []
 
 
-def join_words(docs: DataFrame, text: str, value_of: Callable[[list[bytes], list[int]], list[bytes]],
-               use: Callable[[dict[bytes, bytes], pa.Table], Iterator[pa.Table]], schema: T.StructType,
-               counted: str | None = None, lower: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Call ``use`` on each block of ``docs`` with the values of its words.
+def pack_rows(rows: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(rows)
+    return out.getvalue().to_pybytes()
 
-    ``value_of`` gets distinct words and how often they occur over all documents
-    (over those with a true ``counted`` column, if it is named). ``lower`` puts
-    A-Z in lower case first. Block and packet numbers follow the size of the
-    input, so a packet of a larger corpus holds no more words. A word that a
-    third of all rows use is one entry per block.
+
+def unpack_rows(packed: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(packed).read_next_batch()
+
+
+class WordBlocks:
+    """The rows of ``docs`` in blocks by hash of the row, and the words of their ``text`` column.
+
+    ``lower`` puts A-Z in lower case first. Block and packet numbers follow the
+    size of the input, so a packet of a larger corpus holds no more words. A
+    word that a third of all rows use is one entry per block.
     """
-    n = pieces(docs, text, block_bytes)
-    block = F.pmod(F.xxhash64(*docs.columns), F.lit(n)).cast("int")
-    blocks = docs.withColumn("block", block).repartition(n, "block")
-
-    def words_of(value: bytes) -> list[bytes]:
-        return (value.lower() if lower else value).split()
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, Counter] = {}
-        for batch in batches:
-            count = batch.column(counted).to_pylist() if counted else [counted is None] * batch.num_rows
-            for number, value, counts in zip(batch.column("block").to_pylist(), byte_values(batch.column(text)), count):
+
+    def __init__(self, docs: DataFrame, text: str, lower: bool = False, block_bytes: int = BLOCK_BYTES):
+        self.text, self.names, self.lower = text, docs.columns, lower
+        self.n = n = pieces(docs, text, block_bytes)
+        names = docs.columns
+        dealt = docs.withColumn("block", F.pmod(F.xxhash64(*names), F.lit(n)).cast("int"))
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                numbers = batch.column("block").to_numpy()
+                rows = batch.select(names)
+                order = np.argsort(numbers, kind="stable")
+                starts = np.flatnonzero(np.diff(numbers[order], prepend=-1))
+                packed = [pack_rows(rows.take(pa.array(own))) for own in np.split(order, starts[1:])] if len(order) else []
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(numbers[order[starts]], pa.int32()), pa.array(packed, pa.binary())], ["block", "rows"])
+
+        # Packed, the texts take half the room on their way.
+        self.blocks = dealt.mapInArrow(pack, "block int, rows binary").repartition(n, "block")
+
+    def words_of(self) -> Callable[[bytes], list[bytes]]:
+        return (lambda value: value.lower().split()) if self.lower else bytes.split
+
+    def answers(self, value_of: Callable[[list[bytes], list[int]], list[bytes]], counted: str | None = None,
+                summary: Callable[[list[bytes], list[int]], bytes] | None = None) -> DataFrame:
+        """``values`` of the words of each ``block`` and packet (``bucket``).
+
+        ``value_of`` gets distinct words and how often they occur over the
+        documents with a true ``counted`` column (0 if none is named). What
+        ``summary`` makes of a packet stands in a row of block -1.
+        """
+        n, text, words_of = self.n, self.text, self.words_of()
+
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found: dict[int, Counter] = {}
+            for number, rows in ((n, r) for batch in batches for n, r in zip(
+                    batch.column("block").to_pylist(), map(unpack_rows, batch.column("rows").to_pylist()))):
                 own = found.setdefault(number, Counter())
-                if counts:
-                    own.update(words_of(value))
+                count = rows.column(counted).to_pylist() if counted else [False] * rows.num_rows
+                for value, counts in zip(byte_values(rows.column(text)), count):
+                    words = words_of(value)
+                    if counts:
+                        own.update(words)
+                    else:
+                        for word in set(words):
+                            own.setdefault(word, 0)
+            for number, own in found.items():
+                rows = [(i, words) for i, words in enumerate(dealt_words(own, n)) if words]
+                packed = [zlib.compress(b" ".join(words)) for _, words in rows]
+                counts = [zlib.compress(np.fromiter((own[w] for w in words), np.uint32, len(words)).tobytes())
+                          if counted else b"" for _, words in rows]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i for i, _ in rows], pa.int32()), pa.array([number] * len(rows), pa.int32()),
+                     pa.array(packed, pa.binary()), pa.array(counts, pa.binary())], ["bucket", "block", "words", "counts"])
+
+        def answer(table: pa.Table) -> pa.Table:
+            asked = [zlib.decompress(w).split(b" ") for w in table["words"].to_pylist()]
+            total: dict[bytes, int] = {}
+            for words, counts in zip(asked, table["counts"].to_pylist()):
+                if counted:
+                    for word, count in zip(words, np.frombuffer(zlib.decompress(counts), np.uint32).tolist()):
+                        total[word] = total.get(word, 0) + count
                 else:
-                    own.update(dict.fromkeys(words_of(value), 0))
-        for number, own in found.items():
-            rows = [(i, words) for i, words in enumerate(dealt_words(own, n)) if words]
-            packed = [zlib.compress(b" ".join(words), 1) for _, words in rows]
-            counts = [zlib.compress(np.fromiter((own[w] for w in words), np.uint32, len(words)).tobytes(), 1)
-                      for _, words in rows]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i for i, _ in rows], pa.int32()), pa.array([number] * len(rows), pa.int32()),
-                 pa.array(packed, pa.binary()), pa.array(counts, pa.binary())], ["bucket", "block", "words", "counts"])
-
-    def answer(table: pa.Table) -> pa.Table:
-        asked = [zlib.decompress(w).split(b" ") for w in table["words"].to_pylist()]
-        total: dict[bytes, int] = {}
-        for words, counts in zip(asked, table["counts"].to_pylist()):
-            for word, count in zip(words, np.frombuffer(zlib.decompress(counts), np.uint32).tolist()):
-                total[word] = total.get(word, 0) + count
-        values = dict(zip(total, value_of(list(total), list(total.values()))))
-        packed = [pack_values([values[w] for w in words]) for words in asked]
-        return pa.table({"block": table["block"], "bucket": table["bucket"], "values": pa.array(packed, pa.binary())})
-
-    def finish(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        texts = rows[text].combine_chunks() if rows.num_rows else pa.array([], pa.string())
-        known: set[bytes] = set()
-        for value in byte_values(texts):
-            known.update(words_of(value))
-        lists = dealt_words(known, n)
-        del known
-        values: dict[bytes, bytes] = {}
-        for bucket, packed in zip(answers["bucket"].to_pylist(), answers["values"].to_pylist()):
-            values.update(zip(lists[bucket], unpack_values(packed)))
-        return pa.concat_tables(use(values, rows.drop_columns(["block"])))
-
-    asks = blocks.mapInArrow(ask, "bucket int, block int, words binary, counts binary")
-    answers = asks.groupBy("bucket").applyInArrow(answer, "block int, bucket int, values binary")
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, schema)
+                    total.update(dict.fromkeys(words, 0))
+            distinct, counts = list(total), list(total.values())
+            values = dict(zip(distinct, value_of(distinct, counts)))
+            blocks, packed = table["block"].to_pylist(), [pack_values([values[w] for w in words]) for words in asked]
+            if summary:
+                blocks.append(-1)
+                packed.append(summary(distinct, counts))
+            return pa.table({"block": pa.array(blocks, pa.int32()), "bucket": pa.array(
+                [table["bucket"][0].as_py()] * len(blocks), pa.int32()), "values": pa.array(packed, pa.binary())})
+
+        asks = self.blocks.mapInArrow(ask, "bucket int, block int, words binary, counts binary")
+        return asks.groupBy("bucket").applyInArrow(answer, "block int, bucket int, values binary")
+
+    def join(self, answers: DataFrame, use: Callable[[dict[bytes, bytes], Iterator[pa.RecordBatch]], list[pa.RecordBatch]],
+             schema: T.StructType) -> DataFrame:
+        """Call ``use`` on the rows of each block with the values of its words."""
+        n, text, words_of = self.n, self.text, self.words_of()
+
+        def finish(packs: pa.Table, known_values: pa.Table) -> pa.Table:
+            packed = packs["rows"].to_pylist() if packs.num_rows else []
+            known: set[bytes] = set()
+            for one in packed:
+                for value in byte_values(unpack_rows(one).column(text)):
+                    known.update(words_of(value))
+            lists = dealt_words(known, n)
+            del known
+            values: dict[bytes, bytes] = {}
+            for bucket, one in zip(known_values["bucket"].to_pylist(), known_values["values"].to_pylist()):
+                values.update(zip(lists[bucket], unpack_values(one)))
+            del lists
+            made = use(values, map(unpack_rows, packed)) if packed else []
+            del values
+            pa.default_memory_pool().release_unused()
+            return pa.Table.from_batches(made) if made else to_arrow_schema(schema).empty_table()
+
+        return self.blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, schema)
