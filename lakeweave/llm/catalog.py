@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweave.llm import bpe, gru, idstore, langid, mixing, quality, setjoin, sharding, topk
+from lakeweave.llm import bpe, gru, idstore, langid, mixing, quality, repeats, setjoin, sharding, topk
 from lakeweave.llm.common import reach_workers
 from lakeweave.session import scratch_dir
 
@@ -108,3 +108,10 @@ def op9_gru(docs):
 def op8_setjoin(docs):
     """Groups of documents that share nine tenths of their 3-word shingles."""
     return setjoin.groups(docs)
+
+
+@query("documents")
+def op4_repeats(docs):
+    """Passages of a hundred bytes and more that stand earlier in the corpus, cut out."""
+    return repeats.remove(docs, length=100).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
