@@ -206,9 +206,11 @@ class RunIndex:
 
 
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 100, most_contents: int = 2048,
-           keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id``, the columns of ``keep``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (bytes) of every row.
+           keep: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+    """``doc_id``, the columns of ``keep``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` of every row.
 
+    ``kept`` is bytes, or with ``as_text`` a string without the parts of
+    characters that a cut has left. The rows of ``docs`` need no order.
     A name with more than ``most_contents`` contents is named anew by longer grams.
     """
     gram = min(GRAM, length)
@@ -314,7 +316,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     names = [f"c{i}" for i in range(len(keep))]
     schema = T.StructType([T.StructField("doc", T.LongType()), *[T.StructField(c, docs.schema[k].dataType) for c, k in zip(names, keep)],
                            *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")],
-                           T.StructField("kept", T.BinaryType())])
+                           T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
 
     def strike(packs: pa.Table, struck: pa.Table) -> pa.Table:
         spots: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
@@ -335,13 +337,14 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
                     parts.append(value[at:a])
                     at = b
                 parts.append(value[at:])
-                kept.append(b"".join(parts))
+                rest = b"".join(parts)
+                kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
                 sizes.append(len(value))
-                removed.append(len(value) - len(kept[-1]))
+                removed.append(len(value) - len(rest))
                 counts.append(len(first))
             made.append(pa.RecordBatch.from_arrays(
                 [rows.column("doc"), *[rows.column(c) for c in names], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(counts, pa.int64()), pa.array(kept, pa.binary())],
+                 pa.array(counts, pa.int64()), pa.array(kept, pa.string() if as_text else pa.binary())],
                 ["doc", *names, "n_bytes", "n_removed", "n_spans", "kept"]))
         return pa.Table.from_batches(made) if made else to_arrow_schema(schema).empty_table()
 
