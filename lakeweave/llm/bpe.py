@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeweave.llm.common import byte_values, named, sliced
+from lakeweave.llm.common import byte_values, named, sliced, with_columns
 from lakeweave.llm.wordblocks import WordBlocks
 
 #: The pattern of the tokenizer file that ``Words`` knows.
@@ -149,18 +149,16 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "deco
 
     Null ids give a null text; an id that the vocabulary lacks gives nothing, as in the library.
     """
-    schema = T.StructType([*encoded.schema.fields, T.StructField(decoded, T.StringType())])
-
     pieces = pieces_of_file(path)
+    column = f"c{encoded.columns.index(ids)}"
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, ids, 1 << 20):
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
+        for batch in sliced(batches, column, 1 << 20):
             texts = []
-            for packed in batch.column(ids).to_pylist():
+            for packed in batch.column(column).to_pylist():
                 own = None if packed is None else [
                     pieces[i] for i in np.frombuffer(packed, "<u4").tolist() if i < len(pieces)]
                 texts.append(None if own is None else " ".join([p for p in own if p is not None]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             [*batch.schema.names, decoded])
+            yield batch, [pa.array(texts, pa.string())]
 
-    return encoded.mapInArrow(join, schema)
+    return with_columns(encoded, join, T.StructType([T.StructField(decoded, T.StringType())]))

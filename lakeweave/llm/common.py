@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import math
 import os
-import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -96,6 +95,26 @@ def arrow_schema(fields: str) -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (field.split() for field in fields.split(","))])
 
 
+def with_columns(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[pa.RecordBatch, list[pa.Array]]]],
+                 new: T.StructType) -> DataFrame:
+    """Add columns made from Arrow batches; a column of the same name is replaced.
+
+    ``function`` sees the columns as ``c0``, ``c1`` and so on and gives back
+    batches, cut as it likes, each with the arrays to add.
+    """
+    inner = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    added = [f"n{j}" for j in range(len(new))]
+    schema = T.StructType([*inner.schema.fields, *[T.StructField(a, f.dataType) for a, f in zip(added, new)]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, arrays in function(batches):
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *added])
+
+    return inner.mapInArrow(run, schema).select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns) if c not in new.names],
+        *[F.col(a).alias(f.name) for a, f in zip(added, new)])
+
+
 def running_totals(df: DataFrame, order: Sequence[str], weights: dict[str, str], purpose: str) -> DataFrame:
     """Add the exclusive running total of integer columns over the whole table in the given order.
 
@@ -104,31 +123,29 @@ def running_totals(df: DataFrame, order: Sequence[str], weights: dict[str, str],
     before it; only one row per range is gathered. Rows that tie in ``order``
     stand in any sequence, so give an order that is total up to equal rows.
     """
-    part = f"part_{uuid.uuid4().hex[:8]}"
-    schema = T.StructType([*df.schema.fields, T.StructField(part, T.LongType()),
-                           *[T.StructField(name, T.LongType()) for name in weights]])
-    sources = list(weights.values())
+    at = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    keys = [F.col(at[c]) for c in order]
+    dealt = df.toDF(*at.values()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    new = T.StructType([T.StructField(f"t{i}", T.LongType()) for i in range(len(weights) + 1)])
+    sources = [f"c{df.columns.index(c)}" for c in weights.values()]
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
         before = [0] * len(sources)
         here = TaskContext.get().partitionId()
         for batch in batches:
-            columns = [*batch.columns, pa.array(np.full(batch.num_rows, here, np.int64))]
+            arrays = [pa.array(np.full(batch.num_rows, here, np.int64))]
             for i, source in enumerate(sources):
                 values = batch.column(source).to_numpy(zero_copy_only=False).astype(np.int64)
                 ends = np.cumsum(values) + before[i]
-                columns.append(pa.array(ends - values))
+                arrays.append(pa.array(ends - values))
                 before[i] = int(ends[-1]) if len(ends) else before[i]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, part, *weights])
-
-    keys = [named(c) for c in order]
-    dealt = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    local = stored(dealt.mapInArrow(add, schema), purpose)
-    ends = local.groupBy(part).agg(*[F.max(named(new) + named(old)).alias(new) for new, old in weights.items()])
-    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = ends.select(F.col(part), *[F.coalesce(F.sum(named(new)).over(earlier), F.lit(0)).alias(f"{part}_{i}")
-                                        for i, new in enumerate(weights)])
+            yield batch, arrays
+
+    local = stored(with_columns(dealt, add, new), purpose)
+    ends = local.groupBy("t0").agg(*[F.max(F.col(f"t{i + 1}") + F.col(c)).alias(f"s{i}") for i, c in enumerate(sources)])
+    earlier = Window.orderBy("t0").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = ends.select("t0", *[F.coalesce(F.sum(f"s{i}").over(earlier), F.lit(0)).alias(f"s{i}") for i in range(len(sources))])
     # One row per range: as small as the number of partitions.
-    return local.join(F.broadcast(shifts), part).select(
-        *[named(c) for c in df.columns],
-        *[(named(new) + F.col(f"{part}_{i}")).alias(new) for i, new in enumerate(weights)])
+    return local.join(F.broadcast(shifts), "t0").select(
+        *[F.col(c).alias(name) for name, c in at.items()],
+        *[(F.col(f"t{i + 1}") + F.col(f"s{i}")).alias(name) for i, name in enumerate(weights)])

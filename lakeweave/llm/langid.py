@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeweave.llm.common import byte_values, named, sliced
+from lakeweave.llm.common import byte_values, named, sliced, with_columns
 
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -309,18 +309,16 @@ def identify(docs: DataFrame, learn: Column, text: str = "text", lang: str = "la
              predicted: str = "lang_pred", score: str = "score") -> DataFrame:
     """Add the predicted language and its share of the words' probability to every row.
 
-    Only rows that fulfil ``learn`` and have a language teach. Predictions look
+    Only rows that fulfil ``learn`` and have a language teach. Columns of the new names are replaced. Predictions look
     at nothing but the text.
     """
     model = fit(sample(docs, text, lang, learn, most_docs))
-    schema = T.StructType([*docs.schema.fields, T.StructField(predicted, T.StringType()), T.StructField(score, T.DoubleType())])
+    column = f"c{docs.columns.index(text)}"
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
         answer = label(model)
-        for batch in sliced(batches, text):
-            answers = answer(byte_values(batch.column(text)))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([a for a, _ in answers], pa.string()), pa.array([s for _, s in answers], pa.float64())],
-                schema=pa.schema([*batch.schema, (predicted, pa.string()), (score, pa.float64())]))
+        for batch in sliced(batches, column):
+            answers = answer(byte_values(batch.column(column)))
+            yield batch, [pa.array([a for a, _ in answers], pa.string()), pa.array([s for _, s in answers], pa.float64())]
 
-    return docs.mapInArrow(predict, schema)
+    return with_columns(docs, predict, T.StructType([T.StructField(predicted, T.StringType()), T.StructField(score, T.DoubleType())]))

@@ -48,14 +48,16 @@ def shard_of(key: Column, shards: int) -> Column:
 
 def assign(df: DataFrame, key: str, shards: int, order: tuple[str, ...] = ()) -> DataFrame:
     """Add ``shard``, ``slot`` (from 0 without gaps in each shard, by key and ``order``) and
-    ``grown_shard``, the shard with one more of them."""
-    marked = df.withColumns({"shard": shard_of(named(key), shards), "grown_shard": shard_of(named(key), shards + 1),
-                             "one_row": F.lit(1).cast("long")})
-    placed = running_totals(marked, ["shard", key, *order], {"position": "one_row"}, "shards")
+    ``grown_shard``, the shard with one more of them; columns of these names are replaced."""
+    new = ["shard", "slot", "grown_shard"]
+    marked = df.select(F.struct(*[named(c) for c in df.columns]).alias("row"), shard_of(named(key), shards).alias("shard"),
+                       shard_of(named(key), shards + 1).alias("grown_shard"), F.lit(1).cast("long").alias("one"),
+                       *[named(c).alias(f"o{i}") for i, c in enumerate((key, *order))])
+    placed = running_totals(marked, ["shard", *[f"o{i}" for i in range(len(order) + 1)]], {"position": "one"}, "shards")
     sizes = placed.groupBy("shard").agg(F.count("*").alias("rows_in_shard"))
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     # One row per shard.
     starts = sizes.select("shard", F.coalesce(F.sum("rows_in_shard").over(earlier), F.lit(0)).alias("first"))
     joined = placed.join(F.broadcast(starts), "shard")
-    return joined.select(*[named(c) for c in df.columns], "shard",
+    return joined.select(*[F.col("row").getField(c).alias(c) for c in df.columns if c not in new], "shard",
                          (F.col("position") - F.col("first")).alias("slot"), "grown_shard")
