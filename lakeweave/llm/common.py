@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import os
 from collections.abc import Callable, Iterator, Sequence
@@ -84,8 +85,12 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 <
             start = end
 
 
-def lists(values: Sequence[bytes], kind: pa.DataType = pa.binary()) -> pa.Array:
-    return pa.array(values, kind)
+def trim() -> None:
+    """Give memory that a step no longer needs back to the system; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back is not None:
+        give_back(0)
 
 
 def arrow_schema(fields: str) -> pa.Schema:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lakeweave.llm.common import byte_values, named, pieces, sliced, stored, utf8
+from lakeweave.llm.common import byte_values, named, pieces, sliced, stored, trim, utf8
 from lakeweave.llm.shingles import P, mix
 from lakeweave.llm.wordblocks import pack_rows, unpack_rows
 
@@ -46,6 +46,8 @@ GRAM = 24
 SEPARATOR = 0xFF
 NO_ID = -(1 << 63)
 SLICE = 1 << 20
+#: So many runs are told apart at once in a task; those of more text meet in the next step only.
+HELD_RUNS = 400_000
 INVERSE = np.uint64(pow(int(P), -1, 1 << 64))
 BYTES = np.random.default_rng(2).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 LAST = np.uint64((1 << 64) - 1)
@@ -217,7 +219,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     long_gram = max(gram, length - length // 8)
     base = docs.select(F.coalesce(named(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), named(text).alias("text"),
                        *[named(c).alias(f"c{i}") for i, c in enumerate(keep)])
-    n = pieces(base, "text", 16 << 20)
+    n = pieces(base, "text", 8 << 20)
     # 32 bits of a hash of the text stand for the text among rows that share an id; they also say the block.
     base = base.withColumn("tie", F.xxhash64("doc", "text").bitwiseAND(0xFFFFFFFF))
 
@@ -237,6 +239,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
                                               (names, content, doc, tie, start, count))}, 0)
                 own = spans(doc[~new], tie[~new], start[~new], (start + count - 1 + length)[~new])
                 yield packets(block_of(own["tie"]), own, 1)
+                trim()
 
         for batch in sliced(batches, "text", SLICE):
             data, offsets = utf8(batch.column("text"))
@@ -244,7 +247,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
             owner = np.searchsorted(offsets, start, "right") - 1
             held.append([names, content, batch.column("doc").to_numpy()[owner], batch.column("tie").to_numpy()[owner],
                          (start - offsets[owner]), count])
-            if sum(len(h[0]) for h in held) > 2_000_000:
+            if sum(len(h[0]) for h in held) > HELD_RUNS:
                 yield from flush()
         yield from flush()
 
@@ -288,6 +291,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
             columns = dict(zip(("name", "doc", "tie", "start", "count"),
                                (np.array(c, k) for c, k in zip(out, (np.uint64, *[np.int64] * 4)))))
             made.append(packets((columns["name"] % np.uint64(n)).astype(np.int64), {**columns, "bytes": pa.array(values, pa.binary())}, 3))
+        trim()
         return pa.Table.from_batches(made) if made else empty
 
     def index(table: pa.Table) -> pa.Table:
@@ -304,6 +308,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
         own = owner[again]
         at = start[own] + place[again]
         found = spans(doc[own], tie[own], at, at + length)
+        trim()
         return pa.Table.from_batches([packets(block_of(found["tie"]), found, 1)])
 
     def texts_of(packs: pa.Table) -> dict[tuple[int, int], bytes]:
@@ -346,6 +351,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
                 [rows.column("doc"), *[rows.column(c) for c in names], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(counts, pa.int64()), pa.array(kept, pa.string() if as_text else pa.binary())],
                 ["doc", *names, "n_bytes", "n_removed", "n_spans", "kept"]))
+        trim()
         return pa.Table.from_batches(made) if made else to_arrow_schema(schema).empty_table()
 
     packed = "kind int, number int, rows binary"

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lakeweave.llm.common import byte_values, pieces
+from lakeweave.llm.common import byte_values, pieces, trim
 
 BLOCK_BYTES = 8 << 20
 
@@ -162,7 +162,7 @@ class WordBlocks:
             del lists
             made = use(values, map(unpack_rows, packed)) if packed else []
             del values
-            pa.default_memory_pool().release_unused()
+            trim()
             return pa.Table.from_batches(made) if made else to_arrow_schema(schema).empty_table()
 
         return self.blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, schema)
