@@ -98,7 +98,7 @@ class Chain:
     """Forward-backward for many sequences at once, the longest first."""
 
     def __init__(self, start: np.ndarray, steps: np.ndarray):
-        self.start, self.steps = np.exp(start - start.max()), np.exp(steps - steps.max())
+        self.start, self.steps = np.exp(start - start.max(initial=-1e9)), np.exp(steps - steps.max(initial=-1e9))
 
     def run(self, emissions: np.ndarray, sizes: np.ndarray, first: np.ndarray, last: np.ndarray, pairs: bool = False):
         """Marginals of each position (time, sequence, label); with ``pairs`` also the summed marginals of steps.

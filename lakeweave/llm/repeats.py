@@ -96,13 +96,18 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
 
 
 def firsts(columns: list[np.ndarray], key: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Rows sorted by all columns, and whether each is the first that has its first ``key`` values."""
+    """Distinct rows sorted by all columns, and whether each is the first that has its first ``key`` values.
+
+    Rows that repeat an id and a text repeat their runs, which are no copies of each other.
+    """
     order = np.lexsort(columns[::-1])
     columns = [c[order] for c in columns]
+    other = np.ones(len(order), bool)
     new = np.ones(len(order), bool)
     if len(order):
+        other[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
         new[1:] = np.any([c[1:] != c[:-1] for c in columns[:key]], axis=0)
-    return columns, new
+    return [c[other] for c in columns], new[other]
 
 
 def packets(keys: np.ndarray, columns: dict[str, np.ndarray | pa.Array], kind: int) -> pa.RecordBatch:

@@ -90,7 +90,7 @@ class Shard:
             if limit is not None:
                 keep = sums + rest >= limit
                 alive, sums = alive[keep], sums[keep]
-        return self.ranked(alive, sums, k)
+        return self.ranked(alive, sums[alive] if whole else sums, k)
 
     def ranked(self, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         order = np.lexsort((self.ids[rows], -scores))[:k]
