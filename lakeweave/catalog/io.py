@@ -28,14 +28,24 @@ def json_expand(t):
     return nested.expand(t("events").select("event_id", "props"), "props", ["k"], schema=record(k="bigint"))
 
 
-@query("""
+ENVELOPE_SQL = """
 SELECT 'GDP' AS indicator_id, 'Gross' AS indicator_value, 'C' || c_custkey AS country_id, c_name AS country_value,
        c_mktsegment AS countryiso3code, CAST(y AS BIGINT) AS date,
        CASE WHEN y = 1999 THEN NULL ELSE CAST(c_custkey * 1000 + y AS DOUBLE) END AS value, 2.0::DOUBLE AS decimal
 FROM customer, (VALUES (1999), (2000), (2001)) v(y)
-""")
+"""
+
+
+@query(ENVELOPE_SQL)
 def json_envelope(t):
     """One document ``[meta, [records]]`` per customer, flattened to the bronze table."""
+    document = F.concat(F.lit('[{"page": 1}, '), F.to_json(F.array(*gdp_records())), F.lit("]"))
+    return silver.gdp_bronze(nested.envelope_records(
+        t("customer").select(document.alias("text")), "text", GDP_RECORD)).withColumn("value", F.col("value").cast("double"))
+
+
+def gdp_records():
+    """Three yearly records of a customer."""
     def made(year):
         value = F.lit(None).cast("string") if year == 1999 else (F.col("c_custkey") * 1000 + year).cast("string")
         return F.struct(
@@ -43,9 +53,34 @@ def json_envelope(t):
             F.struct(F.concat(F.lit("C"), "c_custkey").alias("id"), F.col("c_name").alias("value")).alias("country"),
             F.col("c_mktsegment").alias("countryiso3code"), F.lit(str(year)).alias("date"),
             value.alias("value"), F.lit("2").alias("decimal"))
-    document = F.concat(F.lit('[{"page": 1}, '), F.to_json(F.array(*[made(y) for y in (1999, 2000, 2001)])), F.lit("]"))
-    return silver.gdp_bronze(nested.envelope_records(
-        t("customer").select(document.alias("text")), "text", GDP_RECORD)).withColumn("value", F.col("value").cast("double"))
+    return [made(y) for y in (1999, 2000, 2001)]
+
+
+@query(ENVELOPE_SQL)
+def json_files(t):
+    """The same records from files, each one document for a hundred customers."""
+    path = scratch_dir(t.spark, "envelope")
+    pages = t("customer").groupBy(F.floor(F.col("c_custkey") / 100).alias("page")).agg(
+        F.flatten(F.collect_list(F.array(*gdp_records()))).alias("records"))
+    text = F.concat(F.lit('[{"page": '), F.col("page").cast("string"), F.lit("}, "), F.to_json("records"), F.lit("]"))
+    pages.select("page", text.alias("text")).write.partitionBy("page").text(path)
+    return silver.gdp_bronze(nested.read_json_envelope(t.spark, path, GDP_RECORD).drop("page")).withColumn(
+        "value", F.col("value").cast("double"))
+
+
+def location_of():
+    """A supplier as a location with four sensors."""
+    sensor = lambda i: F.struct(
+        (F.col("s_suppkey") * 10 + i).alias("id"),
+        F.struct(F.lit(i).cast("bigint").alias("id"), F.lit(f"P{i}").alias("name"), F.lit("ppm").alias("units"),
+                 F.lit(None).cast("string").alias("displayName")).alias("parameter"))
+    coordinates = F.when(F.col("s_acctbal") >= 0, F.struct(
+        F.lit(40.5).alias("latitude"), F.lit(-74.25).alias("longitude")))
+    return F.struct(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+        F.when(F.col("s_nationkey") >= 5, F.concat(F.lit("L"), "s_nationkey")).alias("locality"),
+        F.lit("America/New_York").alias("timezone"), coordinates.alias("coordinates"),
+        F.array(*[sensor(i) for i in (1, 2, 7, 10)]).alias("sensors"))
 
 
 @query("""
@@ -60,18 +95,7 @@ WHERE l_suppkey = s_suppkey AND l_linenumber % 4 = CASE p WHEN 2 THEN 0 WHEN 7 T
 """)
 def nested_flatten(t):
     """Location pages and reading pages to the bronze table of readings."""
-    sensor = lambda i: F.struct(
-        (F.col("s_suppkey") * 10 + i).alias("id"),
-        F.struct(F.lit(i).cast("bigint").alias("id"), F.lit(f"P{i}").alias("name"), F.lit("ppm").alias("units"),
-                 F.lit(None).cast("string").alias("displayName")).alias("parameter"))
-    coordinates = F.when(F.col("s_acctbal") >= 0, F.struct(
-        F.lit(40.5).alias("latitude"), F.lit(-74.25).alias("longitude")))
-    location = F.struct(
-        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
-        F.when(F.col("s_nationkey") >= 5, F.concat(F.lit("L"), "s_nationkey")).alias("locality"),
-        F.lit("America/New_York").alias("timezone"), coordinates.alias("coordinates"),
-        F.array(*[sensor(i) for i in (1, 2, 7, 10)]).alias("sensors"))
-    pages = t("supplier").select(F.array(location).cast(LOCATION_PAGE["results"].dataType).alias("results"))
+    pages = t("supplier").select(F.array(location_of()).cast(LOCATION_PAGE["results"].dataType).alias("results"))
 
     parameter = F.element_at(F.array(F.lit(2), F.lit(7), F.lit(10), F.lit(1)), (F.col("l_linenumber") % 4 + 1))
     utc = F.when(F.col("l_returnflag") == "A", F.lit("")).otherwise(
@@ -82,6 +106,25 @@ def nested_flatten(t):
     return silver.air_bronze(nested.flatten_locations(pages), nested.flatten_readings(days))
 
 
+@query("""
+SELECT s_suppkey AS location_id, s_name AS location_name, s_suppkey * 10 + p AS sensor_id, CAST(p AS BIGINT) AS parameter_id,
+       CAST(s_suppkey // 10 AS BIGINT) AS page
+FROM supplier, (VALUES (2), (7), (10)) v(p) WHERE p <> 10 OR s_suppkey >= 0
+""")
+def page_files(t):
+    """Location pages as files, one document each; the page is told by the path."""
+    path = scratch_dir(t.spark, "pages")
+    pages = t("supplier").groupBy(F.floor(F.col("s_suppkey") / 10).alias("page")).agg(
+        F.collect_list(location_of()).cast(LOCATION_PAGE["results"].dataType).alias("results"))
+    pages.select("page", F.to_json(F.struct("results")).alias("text")).write.partitionBy("page").text(path)
+    read = nested.read_pages(t.spark, path, LOCATION_PAGE)
+    page = F.regexp_extract("source_path", "page=([0-9]+)", 1).cast("bigint")
+    parts = read.select("results", page.alias("page"))
+    located = nested.flatten_locations(parts).select("location_id", "location_name", "sensor_id", "parameter_id")
+    numbers = parts.select(F.explode("results.id").alias("location_id"), "page")
+    return located.join(numbers, "location_id")
+
+
 CUSTOMER_CSV = schema("""
     c_custkey bigint
     c_name string

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeweave.catalog import staging
 from lakeweave.catalog.registry import query
-from lakeweave.operators import checks
+from lakeweave.operators import aggregates, checks
 from lakeweave.plans import silver, suites
 
 FIELDS = ("suite", "kind", "name", "CAST(success AS string) AS success",
@@ -279,6 +279,7 @@ def suite_gdp(t):
     return suites.check_table(records, "gdp", as_of_year=1999).selectExpr(*FIELDS)
 
 
+#: Names, bounds and texts of the published weather report.
 WEATHER_NAMES = (("weather_timestamp", "time"), ("zone_name", "zone"), ("temperature_c", "temp"), ("humidity_%", "humidity"),
                  ("precipitation_mm", "precip"), ("wind_speed_kmh", "wind"), ("rain_mm", "rain"),
                  ("snowfall_cm", "snow"), ("wind_direction_deg", "direction"))
@@ -313,3 +314,24 @@ def suite_weather(t):
     readings = silver.weather(staging.weather_readings(t), staging.WEATHER_FIRST, staging.WEATHER_LAST,
                               time_type="timestamp_ntz")
     return suites.check_table(readings, "weather").selectExpr(*FIELDS)
+
+
+@query("""
+SELECT 'orders' AS name, CAST(o_custkey AS VARCHAR) AS "group", CAST(count(*) AS DOUBLE) AS value FROM orders GROUP BY o_custkey
+UNION ALL SELECT 'largest', CAST(o_custkey AS VARCHAR), max(o_totalprice) FROM orders GROUP BY o_custkey
+""")
+def suite_many_groups(t):
+    """Size and largest value of every group in rows, however many groups there are."""
+    return aggregates.group_values(t("orders"), "o_custkey", {"orders": F.count(F.lit(1)), "largest": F.max("o_totalprice")})
+
+
+@query("""
+SELECT 'Value Range' AS name, count(*) FILTER (WHERE event_id % 5 <> 0 AND (value < 10 OR value > 50)) = 0 AS success,
+       count(*) FILTER (WHERE event_id % 5 <> 0 AND (value < 10 OR value > 50)) AS unexpected_count,
+       CASE WHEN count(*) FILTER (WHERE event_id % 5 <> 0 AND (value < 10 OR value > 50)) > 0 THEN
+         count(*) FILTER (WHERE event_id % 5 <> 0 AND (value < 10 OR value > 50)) || ' outside' END AS detail FROM events
+""")
+def quality_between_nan(t):
+    """NaN is a missing value, not one above the bound."""
+    values = t("events").select(F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
+    return checked("Events", checks.between("Value Range", "value", "{n} outside", low=10, high=50))(values)

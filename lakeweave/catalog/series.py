@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeweave.catalog import staging
 from lakeweave.catalog.registry import query
+from lakeweave.functions.scalars import iso_utc, local_clock
 from lakeweave.operators import series
 from lakeweave.plans import gold, silver
 from lakeweave.sources import nested
@@ -104,6 +105,8 @@ SELECT event_id, hour(timezone('America/New_York', timezone('UTC', ts))) AS loca
 """)
 def local_hours(t):
     """Instants given in UTC, shown on the clock of another zone."""
-    local = F.convert_timezone(F.lit("UTC"), F.lit("America/New_York"), F.col("ts"))
+    since = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
+    instant = F.timestamp_micros(since)
+    local = local_clock(instant, "America/New_York")
     return t("events").select("event_id", F.hour(local).alias("local_hour"), F.to_date(local).alias("local_day"),
-                              F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("iso"))
+                              iso_utc(instant).alias("iso"))

@@ -270,3 +270,38 @@ SELECT CAST(day AS VARCHAR) AS "DateKey", zone AS pickup_zone, CAST(revenue AS D
 def fact_with_rate(t):
     fact = gold.fact_taxi_daily(silver_trips(t)).select("DateKey", "pickup_zone", "TotalRevenue")
     return joins.many_to_one(fact, gold.dim_fx(usd_series(t)), "DateKey", "DateKey", {"ExchangeRate": "rate"}, "DimFX")
+
+
+def both_facts(t):
+    """One model with trips and readings over a calendar of both."""
+    taxi, air = taxi_model(t), air_model(t)
+    dates = taxi.table("DimDate").unionByName(air.table("DimDate")).distinct()
+    return model.star_model({**taxi.tables, **air.tables, "DimDate": dates})
+
+
+@query(f"""
+WITH {staging.TRIPS}, {FACT_TAXI}, {staging.DIM_FX}, {staging.AIR}, {FACT_AIR},
+d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
+taxi_part AS (SELECT year(d.day) AS y, month(d.day) AS m, CAST(sum(CAST(revenue AS DECIMAL(18,2)) * CAST(rate AS DECIMAL(18,4))) AS DOUBLE) AS r
+          FROM fact_taxi f LEFT JOIN dim_fx USING (day) LEFT JOIN d ON d.day = f.day GROUP BY 1, 2),
+levels AS (SELECT year(day) AS y, month(day) AS m, {level('l', 'no2')} FROM fact_air GROUP BY 1, 2)
+SELECT coalesce(taxi_part.y, levels.y) AS "YearKey", coalesce(taxi_part.m, levels.m) AS "MonthNumber", r AS revenue_eur, l AS avg_no2
+FROM taxi_part FULL JOIN levels ON taxi_part.y IS NOT DISTINCT FROM levels.y AND taxi_part.m IS NOT DISTINCT FROM levels.m
+WHERE r IS NOT NULL OR l IS NOT NULL
+""")
+def model_two_facts(t):
+    """Measures of both facts by the dimension they share."""
+    return both_facts(t).evaluate(["Total Revenue EUR", "Avg NO2 Level"], by=["DimDate.YearKey", "DimDate.MonthNumber"]).toDF(
+        "YearKey", "MonthNumber", "revenue_eur", "avg_no2")
+
+
+@query(f"""
+WITH {staging.TRIPS}, {FACT_TAXI}, d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)
+SELECT strftime(d.day, '%A') AS "DayName", CAST(sum(trips) AS BIGINT) AS trips FROM fact_taxi f JOIN d ON d.day = f.day GROUP BY 1
+""")
+def model_views(t):
+    """The tables of the model by name in SQL."""
+    taxi_model(t).create_views("lw_model_")
+    return t.spark.sql("""
+        SELECT d.DayName, sum(f.TotalTrips) AS trips FROM lw_model_FactTaxiDaily f
+        JOIN lw_model_DimDate d ON f.DateKey = d.DateKey GROUP BY d.DayName""")

@@ -116,3 +116,18 @@ def stream_sync(t):
                                    F.col("value").alias("amount"))
         sync.start_sync(readings, target, ["time", "zone"], "time", checkpoint).awaitTermination()
     return sync.read_synced(t.spark, target, READING)
+
+
+@query(LOADED)
+def stream_two_checkpoints(t):
+    """Two streams, each with a checkpoint of its own, into one sink: even hours, then odd ones."""
+    target = scratch_dir(t.spark, "stream")
+    for half in (0, 1):
+        folder = scratch_dir(t.spark, "half")
+        t("events").filter(F.hour("ts") % 2 == half).write.parquet(folder)
+        incoming = sync.file_stream(t.spark, folder, t("events").schema)
+        readings = incoming.select(F.date_trunc("hour", "ts").cast("timestamp").alias("time"),
+                                   F.nullif(F.col("event_type"), F.lit("click")).alias("zone"),
+                                   F.col("value").alias("amount"))
+        sync.start_sync(readings, target, ["time", "zone"], "time", scratch_dir(t.spark, "stream-state")).awaitTermination()
+    return sync.read_synced(t.spark, target, READING)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 
 def all_positive(*columns: Column) -> Column:
-    return reduce(and_, [c > 0 for c in columns])
+    """All above zero. NaN, which Spark orders above infinity, is not."""
+    return reduce(and_, [(c > 0) & (c.cast("double") <= float("inf")) for c in columns])
 
 
 def years_in(column: Column, years: Iterable[int]) -> Column:

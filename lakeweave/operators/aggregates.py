@@ -123,22 +123,23 @@ def numeric_summary(df: DataFrame, column: str) -> DataFrame:
     return rows.unionByName(quartiles)
 
 
-def one_text(rows: DataFrame, order: str, texts: Mapping[str, tuple[Column, str]],
-             max_entries: int = 10_000) -> DataFrame:
+def one_text(rows: DataFrame, order: str, texts: Mapping[str, tuple[Column, str]]) -> DataFrame:
     """One row; each of ``texts`` is ``(entry, separator)`` joined over all rows.
 
-    For short lists, such as one entry per group. Reading stops one entry past
-    ``max_entries`` and the query then fails: a longer list belongs in rows.
+    For lists that a report prints, one entry per group. ``group_values`` has
+    the same in rows, for any number of groups.
     """
     names = list(texts)
-    bounded = (rows.select(F.col(order).alias("__order"), *[texts[n][0].alias(n) for n in names])
-               .orderBy("__order").limit(max_entries + 1))
-    entries = bounded.agg(F.sort_array(F.collect_list(F.struct("__order", *names))).alias("l"))
-    too_long = F.raise_error(F.lit(f"{', '.join(names)}: more than {max_entries} entries, use the rows instead"))
-    return entries.select([
-        F.when(F.size("l") <= max_entries, F.concat_ws(texts[n][1], F.col("l")[n])).otherwise(too_long).alias(n)
-        for n in names
-    ])
+    chosen = rows.select(F.col(order).alias("__order"), *[texts[n][0].alias(n) for n in names])
+    entries = chosen.agg(F.sort_array(F.collect_list(F.struct("__order", *names))).alias("l"))
+    return entries.select([F.concat_ws(texts[n][1], F.col("l")[n]).alias(n) for n in names])
+
+
+def group_values(df: DataFrame, group: str, values: Mapping[str, Column]) -> DataFrame:
+    """Statistics in rows ``(name, group, value)``, one for each group; rows without a group do not count."""
+    totals = df.filter(F.col(group).isNotNull()).groupBy(F.col(group).cast("string").alias("group")).agg(
+        *[c.cast("double").alias(n) for n, c in values.items()])
+    return totals.unpivot(["group"], list(values), "name", "value").select("name", "group", "value")
 
 
 def group_texts(df: DataFrame, group: str, value: str, groups_name: str = "groups",
@@ -146,7 +147,7 @@ def group_texts(df: DataFrame, group: str, value: str, groups_name: str = "group
     """One row with two texts from one grouping: the groups, ``a, b``, and the
     largest value of each, ``a: 1.00 | b: 2.00``."""
     tops = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.max(value).alias("__top"))
-    top = F.concat(F.col(group), F.lit(": "), F.format_number("__top", 2))
+    top = F.concat(F.col(group), F.lit(": "), F.coalesce(F.format_number("__top", 2), F.lit("nan")))
     return one_text(tops, group, {groups_name: (F.col(group).cast("string"), ", "), tops_name: (top, " | ")})
 
 

@@ -1,4 +1,4 @@
-"""Data-quality suites that read a table once, whatever the number of checks.
+"""Data-quality suites that read a table a fixed number of times, whatever the number of row checks.
 
 All row checks, row counts and statistics of a suite become one aggregate
 without a shuffle of rows. A key check and a balance check each add one grouping
@@ -17,13 +17,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeweave.functions.predicates import outside
-from lakeweave.functions.scalars import is_missing
+from lakeweave.functions.scalars import is_missing, nan_to_null
 from lakeweave.functions.text import percent, thousands, truncated
 from lakeweave.operators import dedupe
 from lakeweave.operators.shape import quoted
 
 EXAMPLES = 5
-LISTED_GROUPS = 100
 
 
 @dataclass(frozen=True)
@@ -94,7 +93,11 @@ def not_null(column: str, detail: str) -> RowCheck:
 
 def between(name: str, column: str, detail: str, low=None, high=None,
             strict_low: bool = False) -> RowCheck:
-    return RowCheck(name, column, lambda c, _: outside(c, low, high, strict_low), detail)
+    """NaN counts as missing, and a missing value is never outside."""
+    def violated(c: Column, kind: str) -> Column:
+        return outside(nan_to_null(c) if kind in ("float", "double") else c, low, high, strict_low)
+
+    return RowCheck(name, column, violated, detail)
 
 
 def dates_between(name: str, column: str, first: str, last: str, detail: str) -> RowCheck:
@@ -111,6 +114,8 @@ class Suite:
     null_detail: str | None = None
     """Detail of a not-null check put on every column, ahead of ``checks``."""
     total_nulls: str = TOTAL_NULLS
+    nulls_place: int | None = None
+    """How many statistics stand before the total of nulls; all of them by default."""
 
     def checks_for(self, df: DataFrame) -> list:
         """Checks whose columns exist; the others do not apply."""
@@ -130,8 +135,9 @@ class Suite:
 
     def evaluate(self, df: DataFrame) -> DataFrame:
         checks = list(enumerate(self.checks_for(df)))
-        stats = list(enumerate(self.stats, start=len(checks)))
-        branches = [self._single_pass(df, checks, stats)]
+        place = len(self.stats) if self.nulls_place is None else self.nulls_place
+        stats = [(len(checks) + i + (i >= place), stat) for i, stat in enumerate(self.stats)]
+        branches = [self._single_pass(df, checks, stats, len(checks) + place)]
         branches += [self._unique(df, seq, c) for seq, c in checks if isinstance(c, UniqueCheck)]
         branches += [self._balance(df, seq, c) for seq, c in checks if isinstance(c, BalanceCheck)]
         branches += [self._text(df, seq, s) for seq, s in stats if isinstance(s, TextStat)]
@@ -142,7 +148,7 @@ class Suite:
         return rows.select(F.lit(self.name).alias("suite"), "kind", "seq", "name", "success",
                            "unexpected_count", "detail")
 
-    def _single_pass(self, df: DataFrame, checks: list, stats: list) -> DataFrame:
+    def _single_pass(self, df: DataFrame, checks: list, stats: list, nulls_seq: int) -> DataFrame:
         kinds = dict(df.dtypes)
         parts = [F.count(F.lit(1)).alias("__rows")]
         lines = []
@@ -173,7 +179,7 @@ class Suite:
                     lines.append(_stat_line(seq, stat.name, F.coalesce(F.col(f"__s{seq}"), F.lit(stat.otherwise))))
                 else:
                     lines.append(_stat_line(seq, stat.name, F.lit(stat.otherwise)))
-        lines.append(_stat_line(len(checks) + len(stats), self.total_nulls, thousands(nulls)))
+        lines.append(_stat_line(nulls_seq, self.total_nulls, thousands(nulls)))
         return df.agg(*parts).select(F.inline(F.array(*lines)))
 
     def _unique(self, df: DataFrame, seq: int, check: UniqueCheck) -> DataFrame:
@@ -183,11 +189,9 @@ class Suite:
 
     def _balance(self, df: DataFrame, seq: int, check: BalanceCheck) -> DataFrame:
         sizes = dedupe.key_counts(df.filter(F.col(check.group).isNotNull()), [check.group], "n")
-        listed = (sizes.orderBy(check.group).limit(LISTED_GROUPS)
-                  .agg(F.sort_array(F.collect_list(F.struct(F.col(check.group).cast("string").alias("g"), "n"))).alias("l")))
+        listed = (sizes.agg(F.sort_array(F.collect_list(F.struct(F.col(check.group).cast("string").alias("g"), "n"))).alias("l")))
         entry = lambda e: F.concat(F.lit("'"), e["g"], F.lit("': "), e["n"].cast("string"))
-        text = F.concat(F.lit("{"), F.concat_ws(", ", F.transform("l", entry)),
-                        F.when(F.col("groups") > LISTED_GROUPS, F.lit(", ...")).otherwise(F.lit("")), F.lit("}"))
+        text = F.concat(F.lit("{"), F.concat_ws(", ", F.transform("l", entry)), F.lit("}"))
         spread = sizes.agg(F.coalesce(F.max("n") - F.min("n"), F.lit(0)).alias("spread"),
                            F.count(F.lit(1)).alias("groups"))
         both = spread.withColumn("l", listed.scalar())

@@ -6,9 +6,10 @@ reports; statistics keep their names without the pictograms.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeweave.functions.scalars import nan_to_null
 from lakeweave.functions.text import currency, span, thousands, with_unit
 from lakeweave.operators import aggregates
 from lakeweave.operators.checks import (
@@ -38,6 +39,11 @@ def _days(column: str, name: str = "Processing Window", sep: str = " to ") -> St
     ).otherwise(span(F.min(day), F.max(day), sep)))
 
 
+def _number(column: str) -> Column:
+    """A measured value; NaN counts as missing."""
+    return nan_to_null(F.col(column))
+
+
 def taxi_suite() -> Suite:
     examples = " Examples: [{examples}]"
     return Suite(
@@ -57,6 +63,7 @@ def taxi_suite() -> Suite:
             _days("pickup_datetime"),
             Stat("Total Revenue", ("total_amount",), lambda: currency(F.sum("total_amount"))),
         ),
+        nulls_place=2,
     )
 
 
@@ -71,10 +78,13 @@ def air_suite() -> Suite:
         stats=(
             _records("Total Readings"),
             _distinct("Unique Localities", "locality"),
-            TextStat(("Parameters Checked", "Max Value by Parameter"), ("parameter_name", "value"),
-                     lambda df: aggregates.group_texts(df, "parameter_name", "value")),
+            TextStat(("Parameters Checked",), ("parameter_name",),
+                     lambda df: aggregates.distinct_text(df, "parameter_name")),
+            TextStat(("Max Value by Parameter",), ("parameter_name", "value"),
+                     lambda df: aggregates.group_texts(df, "parameter_name", "value").select("tops")),
             _days("date"),
         ),
+        nulls_place=4,
     )
 
 
@@ -93,6 +103,7 @@ def fx_suite() -> Suite:
             _days("date"),
             Stat("Max Historical Rate", ("exchange_rate",), lambda: with_unit(F.max("exchange_rate"), 4, "")),
         ),
+        nulls_place=1,
     )
 
 
@@ -114,6 +125,7 @@ def gdp_suite(as_of_year: int | None = None) -> Suite:
             Stat("Processing Window", ("year",), lambda: span(F.min("year"), F.max("year"))),
             Stat("Peak US Valuation", ("gdp_usd",), lambda: currency(F.max("gdp_usd"))),
         ),
+        nulls_place=1,
     )
 
 
@@ -148,13 +160,14 @@ def weather_suite(min_rows: int = WEATHER_ROWS, tolerance: int = ZONE_TOLERANCE)
             _records("Total Rows"),
             Stat("Unique Zones", ("zone_name",), lambda: F.count_distinct("zone_name").cast("string")),
             Stat("Temp Range", ("temperature_c",), lambda: F.concat(
-                with_unit(F.min("temperature_c"), 1, "°C"), F.lit(" to "), with_unit(F.max("temperature_c"), 1, "°C"))),
-            Stat("Avg Humidity", ("humidity_%",), lambda: with_unit(F.avg("`humidity_%`"), 1, "%")),
-            Stat("Max Precip", ("precipitation_mm",), lambda: with_unit(F.max("precipitation_mm"), 2, " mm")),
-            Stat("Max Snowfall", ("snowfall_cm",), lambda: with_unit(F.max("snowfall_cm"), 2, " cm")),
-            Stat("Max Wind", ("wind_speed_kmh",), lambda: with_unit(F.max("wind_speed_kmh"), 1, " km/h")),
+                with_unit(F.min(_number("temperature_c")), 1, "°C"), F.lit(" to "), with_unit(F.max(_number("temperature_c")), 1, "°C"))),
+            Stat("Avg Humidity", ("humidity_%",), lambda: with_unit(F.avg(_number("`humidity_%`")), 1, "%")),
+            Stat("Max Precip", ("precipitation_mm",), lambda: with_unit(F.max(_number("precipitation_mm")), 2, " mm")),
+            Stat("Max Snowfall", ("snowfall_cm",), lambda: with_unit(F.max(_number("snowfall_cm")), 2, " cm")),
+            Stat("Max Wind", ("wind_speed_kmh",), lambda: with_unit(F.max(_number("wind_speed_kmh")), 1, " km/h")),
             _days("weather_timestamp", "Date Range", " → "),
         ),
+        nulls_place=1,
     )
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -12,25 +11,20 @@ from pyspark.sql import SparkSession
 MIB = 1024 ** 2
 
 
-MAX_SHUFFLE_PARTITIONS = 40_000
-
-
-def sizing(input_bytes: int, cores: int, shuffled: float = 0.25) -> dict[str, str]:
+def sizing(input_bytes: int, cores: int, shuffled: float = 0.25, partition_bytes: int = 256 * MIB,
+           split_bytes: int = 128 * MIB) -> dict[str, str]:
     """Settings for an input size, of which the share ``shuffled`` is exchanged.
 
     AQE merges shuffle partitions that turn out small but never adds any, so the
-    initial number follows the input, at 256 MiB each. It stays bounded: every
-    map task writes a block per partition, and past some ten thousand of them
-    the blocks become too small and too many. Beyond the bound partitions grow
-    and sorts spill. Large inputs are read in larger splits for the same reason.
+    initial number follows the input, at ``partition_bytes`` each. Every map task
+    writes a block per partition: for very large inputs take larger splits and
+    partitions, so that the blocks do not become too small and too many.
     """
-    wanted = math.ceil(input_bytes * shuffled / (256 * MIB))
-    partitions = max(2 * cores, min(wanted, MAX_SHUFFLE_PARTITIONS))
-    split = 128 if input_bytes < 10 * 1024 ** 4 else 512
+    partitions = max(2 * cores, math.ceil(input_bytes * shuffled / partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{128 * MIB}b",
-        "spark.sql.files.maxPartitionBytes": f"{split * MIB}b",
+        "spark.sql.files.maxPartitionBytes": f"{split_bytes}b",
     }
 
 
@@ -66,15 +60,25 @@ def build_session(app: str = "lakeweave", master: str | None = None,
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``, the folder all executors share.
+    """A fresh path below the scratch root of the session, which all executors share.
 
-    Only a local session without that setting falls back to a temporary folder;
-    on a cluster a machine-local path would be lost with its executor.
+    The root lies in ``spark.checkpoint.dir`` or, where that is unset, in the
+    warehouse folder, which every session has. Results read what is stored
+    there, so it stays until ``drop_scratch``.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="lakeweave-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what the session has stored below its scratch root, and the tables there."""
+    root = scratch_root(spark)
+    for table in spark.catalog.listTables():
+        if table.name.startswith("lw_"):
+            spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", {"name": table.name})
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

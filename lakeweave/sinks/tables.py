@@ -15,6 +15,10 @@ from lakeweave.operators.shape import quoted
 from lakeweave.plans.gold import to_contract
 
 
+#: The table property that lists columns without nulls.
+REQUIRED = "lakeweave.required"
+
+
 def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Group rows by output partition before a partitioned write.
 
@@ -45,12 +49,32 @@ def append_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | Non
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, time: str,
                  day: str = "day", fmt: str = "parquet", path: str | None = None) -> None:
-    """Create a table partitioned by the day of ``time``, unless it exists."""
+    """Create a table partitioned by the day of ``time``, unless it exists.
+
+    Columns that the schema does not allow to be null are marked as such in the
+    table's properties (Spark reads file tables as nullable); ``insert_ignore``
+    refuses rows that lack them.
+    """
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+    required = ",".join(f.name for f in schema if not f.nullable)
     location = f" LOCATION '{path}'" if path else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({columns}, {quoted(day)} DATE "
-              f"COMMENT 'day of {time}') USING {fmt} PARTITIONED BY ({quoted(day)}){location}",
-              {"name": name})
+              f"COMMENT 'day of {time}') USING {fmt} PARTITIONED BY ({quoted(day)}){location} "
+              f"TBLPROPERTIES ('{REQUIRED}' = '{required}')", {"name": name})
+
+
+def required_columns(spark: SparkSession, name: str) -> list[str]:
+    """Columns of a table made by ``ensure_table`` that must not be null."""
+    shown = spark.sql("SHOW TBLPROPERTIES IDENTIFIER(:name)", {"name": name})
+    row = shown.filter(F.col("key") == REQUIRED).first()
+    return [c for c in row["value"].split(",") if c] if row else []
+
+
+def without_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same rows; a null in one of the columns fails the job that writes them."""
+    checked = {c: F.when(F.col(c).isNull(), F.raise_error(F.lit(f"{c} must not be null")).cast(df.schema[c].dataType))
+               .otherwise(F.col(c)) for c in columns if c in df.columns}
+    return df.withColumns(checked) if checked else df
 
 
 def ensure_folder(spark: SparkSession, path: str, schema: T.StructType,
@@ -84,9 +108,10 @@ def insert_ignore(source: DataFrame, table: str, keys: Sequence[str], time: str,
                   day: str = "day") -> None:
     """Load into a table made by ``ensure_table``. Run twice it loads once."""
     sink = source.sparkSession.read.table(table)
+    needed = required_columns(source.sparkSession, table)
     stored = utc_day(F.col(time), source.schema[time].dataType)
     fresh = new_rows(source, sink, keys, time, day).withColumn(day, stored)
-    balanced(fresh, [day]).select(sink.columns).write.mode("append").insertInto(table)
+    balanced(without_nulls(fresh, needed), [day]).select(sink.columns).write.mode("append").insertInto(table)
 
 
 def save_gold(df: DataFrame, name: str, contract: T.StructType, fmt: str = "parquet",

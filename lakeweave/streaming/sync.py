@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lakeweave.functions.predicates import open_closed
 from lakeweave.functions.scalars import utc_day
 from lakeweave.operators.shape import project
+from lakeweave.session import scratch_dir
 from lakeweave.sinks.tables import balanced, ensure_folder, insert_ignore, new_rows
 from lakeweave.sources.tables import high_watermark, latest_day
 
@@ -54,11 +55,19 @@ def _year(time: Column, days: int) -> Column:
     return F.year(time + F.expr(f"interval {days} days"))
 
 
-def _upcoming(source: DataFrame, time: str, low: Column, span: str, year: str | None) -> DataFrame:
-    """One row: the ``next`` time after ``low`` and the ``high`` end of the chunk."""
+def _upcoming(source: DataFrame, time: str, low: Column, span: str, year: str | None,
+              within: bool = False) -> DataFrame:
+    """One row: the ``next`` time after ``low`` and the ``high`` end of the chunk.
+
+    ``within`` looks no further than ``span``, so the scan is bounded on both sides.
+    """
     later = source.filter(F.col(time) > low)
+    if within:
+        later = later.filter(F.col(time) <= low + F.expr(f"interval {span}"))
     if year is not None:
         later = later.filter(F.col(year) >= _year(low, -1))
+        if within:
+            later = later.filter(F.col(year) <= _year(low + F.expr(f"interval {span}"), 1))
     return later.agg(F.min(time).alias("next")).select(
         "next", F.greatest(low + F.expr(f"interval {span}"), "next").alias("high"))
 
@@ -94,20 +103,36 @@ def sync_once(source: DataFrame, table: str, keys: Sequence[str], time: str,
     """Load the next chunk into ``table``; false when there was nothing to load.
 
     The bounds, one row, are read first, so that the load itself is planned with
-    constants and prunes partitions. It does not sort: the sink has no order.
+    constants and prunes partitions. The search for the next time looks inside
+    the span and goes beyond it only over a gap, so a long sync reads each part
+    of the source a few times, not all later rows for every chunk. The chunk is
+    read once and stored; what is loaded is worked out from there. It does not
+    sort: the sink has no order.
     """
     target = sink_time or time
     low = _low(source, latest_day(source.sparkSession, table), time, target, default)
     # Instants travel as a number: text would confuse the repeated autumn hour.
     instant = isinstance(source.schema[time].dataType, T.TimestampType)
-    carried = [F.unix_micros(c) if instant else c.cast("string") for c in (low, F.col("high"))]
-    row = _upcoming(source, time, low, span, year).select(
-        carried[0].alias("low"), carried[1].alias("high"), F.col("next").isNotNull().alias("more")).first()
-    if not row.more:
+
+    def carried(column: Column) -> Column:
+        return F.unix_micros(column) if instant else column.cast("string")
+
+    def constant(value) -> Column:
+        return F.timestamp_micros(F.lit(value)) if instant else F.lit(value).cast("timestamp_ntz")
+
+    mark = source.sparkSession.range(1).select(carried(low).alias("low")).first().low
+    low = constant(mark)
+    for within in (True, False):
+        row = _upcoming(source, time, low, span, year, within).select(
+            carried(F.col("high")).alias("high"), F.col("next").isNotNull().alias("more")).first()
+        if row.more:
+            break
+    else:
         return False
-    low, high = [F.timestamp_micros(F.lit(v)) if instant else F.lit(v).cast("timestamp_ntz")
-                 for v in (row.low, row.high)]
-    insert_ignore(prepare(_between(source, time, low, high, year)), table, keys, target)
+    folder = scratch_dir(source.sparkSession, "chunk")
+    chunk = prepare(_between(source, time, low, constant(row.high), year))
+    chunk.write.parquet(folder)
+    insert_ignore(source.sparkSession.read.schema(chunk.schema).parquet(folder), table, keys, target)
     return True
 
 
@@ -120,31 +145,40 @@ def sync_all(source: DataFrame, table: str, keys: Sequence[str], time: str, **op
     return chunks
 
 
-def load_batch(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], time: str) -> None:
-    """Write the new rows of one micro-batch to its own ``load_id`` folder.
+LOADS = T.StructType([T.StructField("day", T.DateType()), T.StructField("load_id", T.StringType())])
+
 
-    A batch that is run again after a failure replaces its own folder, so rows
-    with a null key, which never conflict, are not doubled either.
+def load_batch(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], time: str, query: str) -> None:
+    """Write the new rows of one micro-batch to folders of its own, by day and load.
+
+    A load is a query and a batch of it. A batch that is run again after a
+    failure replaces its own folders, so rows with a null key, which never
+    conflict, are not doubled either. Another query, or one that starts anew
+    with another checkpoint, counts its batches from 0 too and adds folders.
     """
-    layout = T.StructType([*batch.schema, T.StructField("load_id", T.LongType()),
-                           T.StructField("day", T.DateType())])
+    own = f"{query}-{batch_id}"
+    layout = T.StructType([*batch.schema, *LOADS])
     earlier = (batch.sparkSession.read.schema(layout).parquet(path)
-               .filter(F.col("load_id") != batch_id))
+               .filter(F.col("load_id") != own))
     stored = utc_day(F.col(time), batch.schema[time].dataType)
-    fresh = new_rows(batch, earlier, keys, time, "day").withColumn("day", stored)
-    (balanced(fresh, ["day"]).write.mode("overwrite").partitionBy("day")
-     .parquet(f"{path}/load_id={batch_id}"))
+    fresh = new_rows(batch, earlier, keys, time, "day").withColumns({"day": stored, "load_id": F.lit(own)})
+    (balanced(fresh, ["day"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day", "load_id").parquet(path))
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint from its first start on."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
 def start_sync(stream: DataFrame, path: str, keys: Sequence[str], time: str, checkpoint: str,
                name: str | None = None) -> StreamingQuery:
     """Stream into a Parquet folder until all available input is loaded."""
     spark = stream.sparkSession
-    layout = T.StructType([*stream.schema, T.StructField("load_id", T.LongType()),
-                           T.StructField("day", T.DateType())])
-    ensure_folder(spark, path, layout, ["load_id", "day"])
+    ensure_folder(spark, path, T.StructType([*stream.schema, *LOADS]), ["day", "load_id"])
     writer = (stream.writeStream
-              .foreachBatch(lambda batch, batch_id: load_batch(batch, batch_id, path, keys, time))
+              .foreachBatch(lambda batch, batch_id: load_batch(
+                  batch, batch_id, path, keys, time, query_id(batch.sparkSession, checkpoint)))
               .option("checkpointLocation", checkpoint)
               .trigger(availableNow=True))
     return (writer.queryName(name) if name else writer).start()
@@ -152,11 +186,17 @@ def start_sync(stream: DataFrame, path: str, keys: Sequence[str], time: str, che
 
 def read_synced(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The rows a stream has loaded, without the layout columns."""
-    layout = T.StructType([*schema, T.StructField("load_id", T.LongType()),
-                           T.StructField("day", T.DateType())])
+    layout = T.StructType([*schema, *LOADS])
     return spark.read.schema(layout).parquet(path).select([f.name for f in schema])
 
 
+def compact_synced(spark: SparkSession, path: str, target: str, schema: T.StructType) -> None:
+    """Write the loads of each day as one to a new folder, as a load of its own; streams may go on there."""
+    layout = T.StructType([*schema, *LOADS])
+    whole = spark.read.schema(layout).parquet(path).withColumn("load_id", F.lit("compacted"))
+    balanced(whole, ["day"]).write.partitionBy("day", "load_id").parquet(target)
+
+
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType,
                 pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)

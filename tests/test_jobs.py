@@ -103,5 +103,6 @@ def test_sizing_grows_with_the_input():
     from lakeweave.session import sizing
     small, large = sizing(10 ** 9, 8), sizing(100 * 10 ** 12, 4000)
     assert small["spark.sql.shuffle.partitions"] == "16"
-    assert large["spark.sql.shuffle.partitions"] == "40000"
-    assert large["spark.sql.files.maxPartitionBytes"] == f"{512 * 2 ** 20}b"
+    assert large["spark.sql.shuffle.partitions"] == "93133"
+    assert sizing(100 * 10 ** 12, 4000, partition_bytes=10 ** 9)["spark.sql.shuffle.partitions"] == "25000"
+    assert sizing(10 ** 9, 8, split_bytes=512)["spark.sql.files.maxPartitionBytes"] == "512b"

@@ -79,17 +79,18 @@ def test_checked_dimension_stays_splittable(spark, events):
 
 def test_no_cross_join_or_python_in_any_query(spark):
     writing = {"append_table", "overwrite_schema", "contract_save", "csv_roundtrip", "csv_inferred", "export_lines",
-               "error_table", "month_paths", "partitioned_write", "sync_chunk_load", "stream_sync"}
+               "error_table", "month_paths", "partitioned_write", "sync_chunk_load", "stream_sync",
+               "stream_two_checkpoints", "json_files", "page_files"}
     for name in sorted(set(QUERIES) - writing):
         text = plan(QUERIES[name](spark, FOLDER))
         for word in ("CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "RDDScan"):
             assert word not in text, (name, word)
 
 
-def test_suite_reads_its_columns_once(stored):
-    trips = stored("SILVER_TAXI")
-    text = plan(suites.taxi_suite().evaluate(trips.drop("total_amount", "trip_distance")))
-    assert text.count("Scan parquet") == 2  # one in the tree, one in the details
+def test_suite_reads_the_table_at_most_twice(stored):
+    """Once for all checks and statistics, once more for the examples."""
+    text = plan(suites.taxi_suite().evaluate(stored("SILVER_TAXI")))
+    assert 2 <= text.count("Scan parquet") <= 4  # each scan stands in the tree and in the details
 
 
 def test_examples_are_limited_before_the_exchange(stored):

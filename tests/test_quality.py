@@ -103,12 +103,34 @@ def test_weather_suite(spark):
     assert got["Temp Range"].detail == "1.0°C to 45.1°C" and got["Max Wind"].detail == "1.0 km/h"
 
 
-def test_balance_lists_at_most_a_hundred_groups(spark):
+def test_balance_lists_every_group(spark):
     df = spark.range(500).select(F.format_string("g%03d", F.least(F.col("id"), F.lit(150))).alias("g"))
     suite = checks.Suite("s", checks=(checks.BalanceCheck("b", "g", 1, "{n}: {counts}"),))
     row = outcome(suite.evaluate(df))["b"]
-    assert row.unexpected_count == 349 and row.detail.startswith("349: {'g000': 1, ") and row.detail.endswith(", ...}")
-    assert row.detail.count(": 1") == 100
+    assert row.unexpected_count == 349 and row.detail.startswith("349: {'g000': 1, ") and row.detail.endswith("'g150': 350}")
+    assert row.detail.count("'g") == 151
+
+
+def test_air_suite_names_all_parameters(spark):
+    df = spark.range(20_002).select(F.format_string("p%05d", F.col("id") % 10_001).alias("parameter_name"),
+                                    F.when(F.col("id") % 10_001 > 0, F.col("id").cast("double")).alias("value"))
+    got = outcome(suites.check_table(df, "air"))
+    assert got["Parameters Checked"].detail.count(", ") == 10_000
+    assert got["Max Value by Parameter"].detail.startswith("p00000: nan | p00001: 10,002.00 | ")
+    only = outcome(suites.check_table(df.drop("value"), "air"))
+    assert only["Parameters Checked"].detail.startswith("p00000, ") and only["Max Value by Parameter"].detail == "N/A"
+
+
+def test_missing_numbers_are_not_out_of_bounds(spark):
+    df = spark.createDataFrame([(float("nan"),), (5.0,), (None,), (11.0,)], "v double")
+    suite = checks.Suite("s", checks=(checks.between("b", "v", "{n}", low=0, high=10),))
+    assert outcome(suite.evaluate(df))["b"].unexpected_count == 1
+
+
+def test_total_of_nulls_stands_where_the_reports_have_it(spark):
+    for name, place in (("taxi", 2), ("air", 4), ("fx", 1), ("gdp", 1), ("weather", 1)):
+        rows = suites.check_table(spark.createDataFrame([(1,)], "x int"), name).filter("kind = 'stat'").orderBy("seq").collect()
+        assert [r["name"] for r in rows].index("Total Nulls" if name == "weather" else "Total Null Values") == place, name
 
 
 def test_passed_and_failed_add_up(spark):

@@ -91,9 +91,9 @@ def test_percentiles_of_a_skewed_column(spark):
     assert [got[0.25], got[0.5], got[0.75]] == pytest.approx(expected)
 
 
-def test_text_lists_fail_beyond_their_bound(spark):
-    rows = spark.range(20).select(F.col("id").cast("string").alias("g"))
-    text = aggregates.one_text(rows, "g", {"t": (F.col("g"), ",")}, max_entries=30)
-    assert len(text.first()[0].split(",")) == 20
-    with pytest.raises(Exception, match="more than 10 entries"):
-        aggregates.one_text(rows, "g", {"t": (F.col("g"), ",")}, max_entries=10).collect()
+def test_text_lists_and_rows_hold_every_group(spark):
+    rows = spark.range(12_000).select(F.col("id").cast("string").alias("g"), F.col("id").alias("v"))
+    text = aggregates.one_text(rows, "g", {"t": (F.col("g"), ",")})
+    assert len(text.first()[0].split(",")) == 12_000
+    values = aggregates.group_values(rows, "g", {"top": F.max("v"), "n": F.count("v")})
+    assert values.count() == 24_000 and values.filter("name = 'top' AND value = `group`").count() == 12_000

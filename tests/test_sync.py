@@ -128,14 +128,43 @@ def test_stream_restarts_and_equals_batch(spark, rows, tmp_path):
 
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     path = str(tmp_path / "sink")
-    layout = contracts.schema("load_id bigint\nday date")
-    tables.ensure_folder(spark, path, type(layout)([*contracts.WEATHER_METRICS, *layout]), ["load_id", "day"])
+    tables.ensure_folder(spark, path, type(sync.LOADS)([*contracts.WEATHER_METRICS, *sync.LOADS]), ["day", "load_id"])
     batch = metrics(spark, reading(1), reading(2, None))
     for _ in range(2):
-        sync.load_batch(batch, 0, path, KEYS, "time")
-    sync.load_batch(batch, 1, path, KEYS, "time")
+        sync.load_batch(batch, 0, path, KEYS, "time", "a")
+    sync.load_batch(batch, 1, path, KEYS, "time", "a")
+    sync.load_batch(batch, 0, path, KEYS, "time", "b")
     loaded = sync.read_synced(spark, path, contracts.WEATHER_METRICS)
-    assert loaded.filter("zone IS NOT NULL").count() == 1 and loaded.filter("zone IS NULL").count() == 2
+    assert loaded.filter("zone IS NOT NULL").count() == 1 and loaded.filter("zone IS NULL").count() == 3
+
+
+def test_two_checkpoints_lose_no_row(spark, rows, tmp_path):
+    target = str(tmp_path / "out")
+    for n in (1, 2):
+        metrics(spark, reading(n), reading(5)).coalesce(1).write.parquet(str(tmp_path / f"in{n}"))
+        stream = sync.file_stream(spark, str(tmp_path / f"in{n}"), contracts.WEATHER_METRICS)
+        sync.start_sync(stream, target, KEYS, "time", str(tmp_path / f"state{n}")).awaitTermination()
+    hours = lambda df: sorted(r.time for r in df.collect())
+    want = [T0 + dt.timedelta(hours=h) for h in (1, 2, 5)]
+    assert hours(sync.read_synced(spark, target, contracts.WEATHER_METRICS)) == want
+    sync.compact_synced(spark, target, str(tmp_path / "whole"), contracts.WEATHER_METRICS)
+    assert hours(sync.read_synced(spark, str(tmp_path / "whole"), contracts.WEATHER_METRICS)) == want
+
+
+def test_null_times_are_refused(spark, table):
+    bad = metrics(spark, reading(1)).withColumn("time", F.when(F.lit(False), F.col("time")))
+    with pytest.raises(Exception, match="time must not be null"):
+        tables.insert_ignore(bad, table, KEYS, "time")
+    assert spark.table(table).count() == 0
+
+
+def test_search_for_the_next_time_is_bounded(spark, tmp_path):
+    metrics(spark, reading(0), reading(30)).write.parquet(str(tmp_path / "s"))
+    source = spark.read.parquet(str(tmp_path / "s"))
+    row = sync._upcoming(source, "time", F.lit(T0), "24 hours", None, within=True)
+    text = spark._jvm.PythonSQLUtils.explainString(row._jdf.queryExecution(), "formatted")
+    assert re.search(r"PushedFilters: \[.*GreaterThan\(time.*LessThanOrEqual\(time", text)
+    assert row.first().next is None
 
 
 def test_error_table_only_with_errors(spark, rows):
