@@ -95,11 +95,11 @@ def least_overlap(m: np.ndarray, n: np.ndarray, pct: int) -> np.ndarray:
     return -(-pct * (m + n) // (100 + pct))
 
 
-def candidates(sets: DataFrame, pct: int, every_pair: bool, list_entries: int = 250_000) -> DataFrame:
+def candidates(sets: DataFrame, pct: int, every_pair: bool, list_entries: int = 250_000, leaders: int = 2) -> DataFrame:
     """Pairs ``a`` < ``b`` of nodes of different ``root`` that may be similar.
 
     ``sets`` has ``node``, ``n``, ``prefix`` and ``root``. Without ``every_pair``
-    an entry of a list meets its neighbour and the first entry only.
+    an entry of a list meets its neighbour and the ``leaders`` of the list only.
     """
     entries = sets.agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0
     buckets = max(shuffle_partitions(sets.sparkSession), int(entries // list_entries) + 1)
@@ -152,7 +152,12 @@ def candidates(sets: DataFrame, pct: int, every_pair: bool, list_entries: int =
         else:
             later = np.flatnonzero(~new)
             add(later - 1, later)
-            add(start[run[later]], later)
+            # The sets with the fewest rarer shingles come before their edited copies.
+            lead = np.lexsort((node, n, place, run))
+            for step in range(leaders):
+                at = start[run] + step
+                at = np.flatnonzero((at < len(key)) & (run[np.minimum(at, len(key) - 1)] == run))
+                add(lead[start[run[at]] + step], at)
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
