@@ -41,21 +41,29 @@ SLICE = 2 << 20
 def frequent(docs: DataFrame, words: int, most: int) -> np.ndarray:
     """Up to ``most`` frequent shingles, the rarer first. Only the order of the search rests on them.
 
-    Every batch counts all its shingles and names those it has seen at least
-    eight times, at most ``most`` of them.
+    Every batch counts the shingles of its different sets and names those of at
+    least two, at most ``most`` of them.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(*utf8(part.column("text")), words)[0] for part in sliced([batch], "text", SLICE)]
-            if found:
-                values, counts = np.unique(np.concatenate(found), return_counts=True)
-                often = np.flatnonzero(counts >= 8)
+            parts, seen = [], set()
+            for part in sliced([batch], "text", SLICE):
+                found, owner = shingles(*utf8(part.column("text")), words)
+                sizes = np.bincount(owner, minlength=part.num_rows)
+                ends = np.cumsum(sizes)
+                total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(found), dtype=np.uint64)])
+                marks = list(zip((total[ends] - total[ends - sizes]).tolist(), sizes.tolist()))
+                fresh = np.array([m not in seen and not seen.add(m) for m in marks], bool)
+                parts.append(found[fresh[owner]])
+            if parts:
+                values, counts = np.unique(np.concatenate(parts), return_counts=True)
+                often = np.flatnonzero(counts >= 2)
                 often = often[np.argsort(-counts[often], kind="stable")[:most]]
                 yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["shingle", "n"])
 
     top = docs.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(
         F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(most)
-    return np.array([r["shingle"] for r in top.collect()][::-1], np.int64).view(np.uint64)
+    return top.toArrow()["shingle"].to_numpy()[::-1].view(np.uint64)
 
 
 def signatures(docs: DataFrame, common: np.ndarray, words: int, pct: int) -> DataFrame:
@@ -213,7 +221,7 @@ def linked(pairs: DataFrame, docs: DataFrame, words: int, pct: int, most_broadca
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, pct: int = 90,
-           most_frequent: int = 1 << 17, most_broadcast: int = 1 << 20) -> DataFrame:
+           most_frequent: int = 1 << 18, most_broadcast: int = 1 << 20) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links, for every row.
 
     ``most_frequent`` bounds the shingles that get a place in the order by
