@@ -19,7 +19,9 @@ the untrained network.
 
 from __future__ import annotations
 
+import heapq
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -257,9 +259,21 @@ def summarize(words: list[bytes], counts: list[int]) -> bytes:
 def totals(answers: DataFrame) -> tuple[list[tuple[bytes, int]], int, int, np.ndarray]:
     """Frequent words, tokens, distinct words, and mass by ending class; a fixed number of rows comes back."""
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task names its own most frequent words and sums; a word stands in one packet only.
+        top: list[tuple[int, bytes]] = []
+        sums: Counter = Counter()
         for batch in batches:
             for packed in batch.column("values").to_pylist():
-                yield pa.ipc.open_stream(packed).read_next_batch()
+                rows = pa.ipc.open_stream(packed).read_next_batch()
+                for kind, word, count in zip(*[c.to_pylist() for c in rows.columns]):
+                    if kind:
+                        sums[kind, word] += count
+                    else:
+                        top.append((-count, word))
+                top = heapq.nsmallest(FREQUENT, top)
+        rows = [(0, word, -count) for count, word in top] + [(kind, word, count) for (kind, word), count in sums.items()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), SUMMARY)], schema=SUMMARY)
 
     rows = answers.filter("block = -1").select("values").mapInArrow(unpack, "kind byte, word binary, count long")
     top = [(bytes(r["word"]), r["count"]) for r in rows.filter("kind = 0").orderBy(F.desc("count"), "word").limit(FREQUENT).collect()]
