@@ -204,12 +204,20 @@ class Network:
                 self.weights[name] -= rate * g / np.sqrt(sums[name])
         return streams * length
 
-    def score(self, texts: list[np.ndarray], streams: int = 512, window: int = 32) -> np.ndarray:
+    def score(self, texts: list[np.ndarray], streams: int = 1024, window: int = 32, rows: int = 1 << 14) -> np.ndarray:
         """Natural log probability of every text's words up to the class for words that are not frequent.
 
         Texts run side by side, the longest first; each carries its state from window to window.
+        The states of about ``rows`` words are turned into probabilities at a time.
         """
         out = np.zeros(len(texts))
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def settle() -> None:
+            states, targets, owners = [np.concatenate(c) for c in zip(*held)]
+            held.clear()
+            out[:] += np.bincount(owners, self.log_shares(states, targets), len(out))
+
         sizes = np.array([len(t) for t in texts])
         order = np.argsort(-sizes, kind="stable")
         flat = np.concatenate([np.concatenate([[0], texts[i]]) for i in order]) if len(order) else np.zeros(0, np.int64)
@@ -226,9 +234,11 @@ class Network:
                 inputs = np.where(inside, flat[np.minimum(where, len(flat) - 1)], 0)
                 states, after, _ = self.forward(inputs, state[:alive], np.zeros(inputs.shape, bool))
                 state = after
-                targets = flat[where[inside] + 1]
-                logs = self.log_shares(states[inside], targets)
-                out[own[:alive]] += np.bincount(np.nonzero(inside)[1], logs, alive)
+                held.append((states[inside], flat[where[inside] + 1], own[np.nonzero(inside)[1]]))
+                if sum(len(h[1]) for h in held) >= rows:
+                    settle()
+        if held:
+            settle()
         return out
 
 
@@ -325,14 +335,15 @@ def averaged(docs: DataFrame, network: Network, round_: int, share: float, least
 
 
 def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", rounds: int = 2,
-          share: float = 1 / 16, least: int = 24) -> DataFrame:
+          share: float = 1 / 16, least: int = 24, block_bytes: int = 24 << 20) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` (log10) of every text.
 
     Rows that fulfil ``learn`` teach. ``share`` of each of their texts, ``least``
-    words at least, passes through the network in each round.
+    words at least, passes through the network in each round. A block of texts
+    is scored at once: larger ones keep more texts side by side.
     """
     rows = docs.select(named(doc_id).alias("id"), learn.alias("learn"), named(text).alias("text"))
-    blocks = WordBlocks(rows, "text", lower=True)
+    blocks = WordBlocks(rows, "text", lower=True, block_bytes=block_bytes)
     ends = rows.filter("learn").count()
     answers = stored(blocks.answers(
         lambda words, counts: [np.uint64(c).tobytes() for c in counts], counted="learn", summary=summarize), "counts")
