@@ -104,7 +104,19 @@ def op9_gru(docs):
     return gru.score(docs, F.coalesce(fold("doc_id", 5) != 1, F.lit(True)))
 
 
-@query("documents")
+@query("documents", """
+WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS s FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(id, root) AS (SELECT DISTINCT a, a FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.root, d.doc_id) AS component_id FROM documents d
+LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT id, min(root) AS root FROM r GROUP BY 1) m ON m.id = d.doc_id
+""")
 def op8_setjoin(docs):
     """Groups of documents that share nine tenths of their 3-word shingles."""
     return setjoin.groups(docs)

@@ -55,12 +55,14 @@ def test_pruned_search_equals_full_search():
         assert ids.tolist() == shard.ids[order].tolist() and scores.tolist() == full[order].tolist()
 
 
-def test_search_query_against_sql(spark):
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
+def test_queries_against_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{folder}/embeddings.parquet')")
-    answer = con.sql(catalog.ORACLES["op5_topk"])
-    got = catalog.QUERIES["op5_topk"](spark, folder).select(*answer.columns).collect()
+    for table in ("embeddings", "documents"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')")
+    answer = con.sql(catalog.ORACLES[name])
+    got = catalog.QUERIES[name](spark, folder).select(*answer.columns).collect()
     assert sorted(map(tuple, got)) == sorted(answer.fetchall())
 
 
