@@ -100,11 +100,9 @@ class WordBlocks:
         """
         n, text, words_of = self.n, self.text, self.words_of()
 
-        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            found: dict[int, Counter] = {}
-            for number, rows in ((n, r) for batch in batches for n, r in zip(
-                    batch.column("block").to_pylist(), map(unpack_rows, batch.column("rows").to_pylist()))):
-                own = found.setdefault(number, Counter())
+        def ask(packs: pa.Table) -> pa.Table:
+            own: Counter = Counter()
+            for rows in map(unpack_rows, packs["rows"].to_pylist()):
                 count = rows.column(counted).to_pylist() if counted else [False] * rows.num_rows
                 for value, counts in zip(byte_values(rows.column(text)), count):
                     words = words_of(value)
@@ -113,14 +111,15 @@ class WordBlocks:
                     else:
                         for word in set(words):
                             own.setdefault(word, 0)
-            for number, own in found.items():
-                rows = [(i, words) for i, words in enumerate(dealt_words(own, n)) if words]
-                packed = [zlib.compress(b" ".join(words)) for _, words in rows]
-                counts = [zlib.compress(np.fromiter((own[w] for w in words), np.uint32, len(words)).tobytes())
-                          if counted else b"" for _, words in rows]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i for i, _ in rows], pa.int32()), pa.array([number] * len(rows), pa.int32()),
-                     pa.array(packed, pa.binary()), pa.array(counts, pa.binary())], ["bucket", "block", "words", "counts"])
+            asked = [(i, words) for i, words in enumerate(dealt_words(own, n)) if words]
+            packed = [zlib.compress(b" ".join(words)) for _, words in asked]
+            counts = [zlib.compress(np.fromiter((own[w] for w in words), np.uint32, len(words)).tobytes())
+                      if counted else b"" for _, words in asked]
+            number = packs["block"][0].as_py()
+            del own
+            trim()
+            return pa.table({"bucket": pa.array([i for i, _ in asked], pa.int32()), "block": pa.array([number] * len(asked), pa.int32()),
+                             "words": pa.array(packed, pa.binary()), "counts": pa.array(counts, pa.binary())})
 
         def answer(table: pa.Table) -> pa.Table:
             asked = [zlib.decompress(w).split(b" ") for w in table["words"].to_pylist()]
@@ -140,7 +139,7 @@ class WordBlocks:
             return pa.table({"block": pa.array(blocks, pa.int32()), "bucket": pa.array(
                 [table["bucket"][0].as_py()] * len(blocks), pa.int32()), "values": pa.array(packed, pa.binary())})
 
-        asks = self.blocks.mapInArrow(ask, "bucket int, block int, words binary, counts binary")
+        asks = self.blocks.groupBy("block").applyInArrow(ask, "bucket int, block int, words binary, counts binary")
         return asks.groupBy("bucket").applyInArrow(answer, "block int, bucket int, values binary")
 
     def join(self, answers: DataFrame, use: Callable[[dict[bytes, bytes], Iterator[pa.RecordBatch]], list[pa.RecordBatch]],
