@@ -300,8 +300,15 @@ def sample(docs: DataFrame, text: str, lang: str, usable: Column, most_docs: int
     rows = docs.filter(usable & named(text).isNotNull() & named(lang).isNotNull()).select(
         named(text).alias("text"), named(lang).alias("lang"), F.xxhash64(named(text)).alias("draw"))
     kinds = rows.agg(F.count_distinct("lang")).first()[0]
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
-    chosen = rows.withColumn("place", place).filter(F.col("place") <= max(1, most_docs // max(1, kinds)))
+    each = max(1, most_docs // max(1, kinds))
+    # The hashes alone are ranked first; texts are read again below the last hash of each language.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    lots = rows.select("lang", "draw").withColumn("place", place).filter(F.col("place") <= each)
+    cuts = lots.groupBy("lang").agg(F.max("draw").alias("cut"))
+    # One row per language. Equal texts tie, so the window below sees few rows more than are wanted.
+    near = rows.join(F.broadcast(cuts), "lang").filter(F.col("draw") <= F.col("cut"))
+    chosen = near.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))).filter(
+        F.col("place") <= each)
     return [(r["text"], r["lang"]) for r in chosen.select("text", "lang", "place").orderBy("lang", "place").collect()]
 
 
