@@ -43,7 +43,8 @@ from lakeweave.llm.shingles import P, mix
 from lakeweave.llm.wordblocks import pack_rows, unpack_rows
 
 GRAM = 24
-SEPARATOR = 0xFF
+#: A byte that UTF-8 does not use.
+SEPARATOR = b"\xff"
 NO_ID = -(1 << 63)
 SLICE = 1 << 20
 #: So many runs are told apart at once in a task; those of more text meet in the next step only.
@@ -306,7 +307,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
         doc, tie, start, count = doc[order], tie[order], start[order], count[order]
         values = rows["bytes"].take(pa.array(order)).to_pylist()
         sizes = np.array([len(v) + 1 for v in values])
-        joined = np.frombuffer(b"".join([v + b"\xff" for v in values]), np.uint8)
+        joined = np.frombuffer(b"".join([v + SEPARATOR for v in values]), np.uint8)
         owner = np.repeat(np.arange(len(values)), sizes)
         place = np.arange(len(joined)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         again = np.flatnonzero(RunIndex(joined).repeated(place < count[owner], length))
