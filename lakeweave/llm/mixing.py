@@ -114,7 +114,7 @@ def mix(docs: DataFrame, weights: Sequence[float], share: float = 1.5, most_repe
         *own, "source_size", "blocks", (F.col("target") * F.col("blocks") / F.col("source_size")).alias("weight"),
         (most_repeats * F.col("blocks")).alias("most"))
     n = seats.agg(F.round(F.sum("weight")).cast("long")).first()[0] or 0
-    by_source = quota_table(seats.withColumns({"all": F.lit(1), "n": F.lit(n).cast("long")}), ["all"], own)
+    by_source = quota_table(seats.withColumns({"all": F.col("no_source") * 0, "n": F.lit(n).cast("long")}), ["all"], own)
 
     shards = by_source.select(*own, "source_size", "blocks", F.col("quota").alias("n"), F.explode(F.sequence(
         F.lit(0).cast("long"), F.floor((F.col("blocks") - 1) / shard_blocks))).alias("shard"))
