@@ -19,6 +19,8 @@ from lakeweave.session import scratch_dir
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: A text is rejected if its words give no language half of the probability.
 LEAST_SCORE = 0.5
+#: Near copies share this percentage of their shingles of so many words; ``op8_setjoin`` has bounds of its own.
+NEAR_WORDS, NEAR_PCT = 5, 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +34,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays, of rows that share it one."""
     reach_workers(spark)
-    groups = setjoin.groups(docs)
+    groups = setjoin.groups(docs, words=NEAR_WORDS, pct=NEAR_PCT)
     kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
     row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     # Rows that share an id: the one of the smallest hash, and one of those.
