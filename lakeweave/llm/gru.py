@@ -6,8 +6,8 @@ words share classes of like frequency and are chosen within them by a softmax
 over the same state; all other words fall into classes by their ending, within
 which their share is that of the counts over the whole corpus.
 
-Every learning document adds to the counts. The network learns from a seeded
-run of words of every learning document, in windows of a few words through
+Every learning document adds to the counts. The network learns from all words
+of every learning document in each round, in windows of a few words through
 which errors are sent back (truncated backpropagation); tasks learn apart from
 the same weights and their weights are averaged, for a few rounds. Scores carry
 the state across the windows of a text from its first word to its end.
@@ -20,6 +20,7 @@ the untrained network.
 from __future__ import annotations
 
 import heapq
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -37,6 +38,13 @@ END = b" "
 FREQUENT, FREQUENT_CLASSES, ENDING_CLASSES = 2000, 40, 32
 EMBEDDING, STATE = 16, 24
 LN10 = float(np.log(10))
+#: A task learns from so many words at a time.
+HELD_WORDS = 1 << 20
+
+
+def own_weights(distinct: int) -> int:
+    """How many of so many distinct words have weights of their own."""
+    return max(FREQUENT, 8 * math.isqrt(distinct))
 
 
 def ending_class(word: bytes) -> int:
@@ -76,6 +84,7 @@ class Network:
         rng, n = np.random.default_rng(seed), len(lexicon.counts)
         draw = lambda *shape: (rng.normal(size=shape) / np.sqrt(shape[0])).astype(np.float32)
         self.lexicon = lexicon
+        self.sums: dict[str, np.ndarray] = {}
         self.weights = {
             "embed": (0.3 * rng.normal(size=(n + ENDING_CLASSES, EMBEDDING))).astype(np.float32),
             "into": draw(EMBEDDING, 3 * STATE), "bias": np.zeros(3 * STATE, np.float32),
@@ -180,7 +189,10 @@ class Network:
         return grads, after
 
     def learn(self, tokens: np.ndarray, fresh: np.ndarray, streams: int = 96, window: int = 20, rate: float = 0.05) -> int:
-        """AdaGrad over parallel streams of (input, target) words; ``fresh`` marks the first of each run."""
+        """AdaGrad over parallel streams of (input, target) words; ``fresh`` marks the first of each run.
+
+        The words that fill no row of all streams go on where the last stream ends. Sums of squares stay for further calls.
+        """
         inputs, targets = tokens[:-1], tokens[1:]
         starts = fresh[:-1]
         usable = ~fresh[1:]  # the word before a run is no input of it
@@ -191,18 +203,24 @@ class Network:
             streams, length = 1, len(inputs)
         if length == 0:
             return 0
-        shape = lambda x: x[:streams * length].reshape(streams, length).T
-        inputs, targets, starts = shape(inputs), shape(targets), shape(starts).copy()
-        starts[0] = True
-        sums = {name: np.full_like(w, 1e-2) for name, w in self.weights.items()}
+        whole = streams * length
+        shape = lambda x: x[:whole].reshape(streams, length).T
+        parts = [(shape(inputs), shape(targets), shape(starts).copy())]
+        parts[0][2][0] = True
+        if whole < len(inputs):
+            parts.append(tuple(x[whole:, None] for x in (inputs, targets, starts)))
+        if not self.sums:
+            self.sums = {name: np.full_like(w, 1e-2) for name, w in self.weights.items()}
         state = np.zeros((streams, STATE), np.float32)
-        for t in range(0, length, window):
-            grads, state = self.gradients(inputs[t:t + window], targets[t:t + window], state, starts[t:t + window])
-            for name, g in grads.items():
-                g = np.asarray(g, np.float32) / streams
-                sums[name] += g * g
-                self.weights[name] -= rate * g / np.sqrt(sums[name])
-        return streams * length
+        for part in parts:
+            state = state[-part[0].shape[1]:]
+            for t in range(0, len(part[0]), window):
+                grads, state = self.gradients(*[x[t:t + window] for x in part[:2]], state, part[2][t:t + window])
+                for name, g in grads.items():
+                    g = np.asarray(g, np.float32) / streams
+                    self.sums[name] += g * g
+                    self.weights[name] -= rate * g / np.sqrt(self.sums[name])
+        return len(inputs)
 
     def score(self, texts: list[np.ndarray], streams: int = 1024, window: int = 32, rows: int = 1 << 14) -> np.ndarray:
         """Natural log probability of every text's words up to the class for words that are not frequent.
@@ -250,7 +268,7 @@ SUMMARY = pa.schema([("kind", pa.int8()), ("word", pa.binary()), ("count", pa.in
 def summarize(words: list[bytes], counts: list[int]) -> bytes:
     """A packet's totals: its most frequent words, tokens, distinct words, and count mass by ending."""
     known = [(w, c) for w, c in zip(words, counts) if c]
-    top = sorted(known, key=lambda x: (-x[1], x[0]))[:FREQUENT]
+    top = sorted(known, key=lambda x: (-x[1], x[0]))[:own_weights(len(known))]
     endings: dict[int, list[int]] = {}
     for w, c in known:
         own = endings.setdefault(ending_class(w), [0, 0])
@@ -267,7 +285,7 @@ def summarize(words: list[bytes], counts: list[int]) -> bytes:
 
 
 def totals(answers: DataFrame) -> tuple[list[tuple[bytes, int]], int, int, np.ndarray]:
-    """Frequent words, tokens, distinct words, and mass by ending class; a fixed number of rows comes back."""
+    """Frequent words, tokens, distinct words, and mass by ending class; few rows more come back than the root of the distinct words."""
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A task names its own most frequent words and sums; a word stands in one packet only.
         top: list[tuple[int, bytes]] = []
@@ -280,15 +298,16 @@ def totals(answers: DataFrame) -> tuple[list[tuple[bytes, int]], int, int, np.nd
                         sums[kind, word] += count
                     else:
                         top.append((-count, word))
-                top = heapq.nsmallest(FREQUENT, top)
+                top = heapq.nsmallest(own_weights(sums[2, b""]), top)
         rows = [(0, word, -count) for count, word in top] + [(kind, word, count) for (kind, word), count in sums.items()]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), SUMMARY)], schema=SUMMARY)
 
     rows = answers.filter("block = -1").select("values").mapInArrow(unpack, "kind byte, word binary, count long")
-    top = [(bytes(r["word"]), r["count"]) for r in rows.filter("kind = 0").orderBy(F.desc("count"), "word").limit(FREQUENT).collect()]
     sums = {(r["kind"], bytes(r["word"])): r["count"] for r in
             rows.filter("kind > 0").groupBy("kind", "word").agg(F.sum("count").alias("count")).collect()}
+    most = own_weights(sums.get((2, b""), 0))
+    top = [(bytes(r["word"]), r["count"]) for r in rows.filter("kind = 0").orderBy(F.desc("count"), "word").limit(most).collect()]
     mass = np.full(ENDING_CLASSES, 0.5)
     for (kind, word), count in sums.items():
         if kind > 2:
@@ -298,26 +317,32 @@ def totals(answers: DataFrame) -> tuple[list[tuple[bytes, int]], int, int, np.nd
     return top, sums.get((1, b""), 0), sums.get((2, b""), 0), mass
 
 
-def averaged(docs: DataFrame, network: Network, round_: int, share: float, least: int, slots: int = 64) -> Network:
-    """One round: every task learns from its documents, the weights are averaged by the words they saw."""
+def averaged(docs: DataFrame, network: Network, slots: int = 64) -> Network:
+    """One round: every task learns from all words of its documents, the weights are averaged by the words they saw."""
     start, lexicon = network.flat(), network.lexicon
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, runs, marks = Network(lexicon).load(start), [], []
+        own, runs, seen = Network(lexicon).load(start), [], 0
+
+        def pass_on() -> int:
+            fresh = np.zeros(sum(map(len, runs)), bool)
+            fresh[np.cumsum([0, *map(len, runs[:-1])])] = True
+            tokens = np.concatenate(runs)
+            runs.clear()
+            return own.learn(tokens, fresh)
+
+        held = 0
         for batch in batches:
             for raw in byte_values(batch.column("text")):
-                words = raw.lower().split()
-                n = len(words) + 1
-                take = min(n, max(least, int(n * share)))
-                at = (zlib.crc32(raw) + round_ * 7919) % (n - take + 1)
-                run = [END, *words, END][at:at + take + 1]
-                runs.append(lexicon.codes(run).astype(np.int32))
-                marks.append(take + 1)
-        if not runs:
+                runs.append(lexicon.codes([END, *raw.lower().split(), END]).astype(np.int32))
+                held += len(runs[-1])
+                if held >= HELD_WORDS:
+                    seen += pass_on()
+                    held = 0
+        if runs:
+            seen += pass_on()
+        if not seen:
             return
-        fresh = np.zeros(sum(marks), bool)
-        fresh[np.cumsum(marks) - marks] = True
-        seen = own.learn(np.concatenate(runs), fresh)
         parts = np.array_split(own.flat() * np.float32(seen), slots)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(slots), pa.int32()), pa.array([seen] * slots, pa.int64()),
@@ -335,12 +360,12 @@ def averaged(docs: DataFrame, network: Network, round_: int, share: float, least
 
 
 def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", rounds: int = 2,
-          share: float = 1 / 16, least: int = 24, block_bytes: int = 24 << 20) -> DataFrame:
+          block_bytes: int = 24 << 20) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` (log10) of every text.
 
-    Rows that fulfil ``learn`` teach. ``share`` of each of their texts, ``least``
-    words at least, passes through the network in each round. A block of texts
-    is scored at once: larger ones keep more texts side by side.
+    Rows that fulfil ``learn`` teach: all their words pass through the network
+    in each round. A block of texts is scored at once: larger ones keep more
+    texts side by side.
     """
     rows = docs.select(named(doc_id).alias("id"), learn.alias("learn"), named(text).alias("text"))
     blocks = WordBlocks(rows, "text", lower=True, block_bytes=block_bytes)
@@ -351,8 +376,8 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     n, v = tokens + ends, distinct + (1 if ends else 0)
     lexicon = Lexicon([(END, ends), *top], np.maximum(mass, 0.5))
     network = Network(lexicon)
-    for i in range(rounds):
-        network = averaged(rows.filter("learn").select("text"), network, i, share, least)
+    for _ in range(rounds):
+        network = averaged(rows.filter("learn").select("text"), network)
     weights = network.flat()
     fixed = float(np.log10(n + 0.5 * (v + 1)))
     end_log, end_known = float(np.log10(ends + 0.5)), int(ends > 0)
