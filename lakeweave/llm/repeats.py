@@ -19,8 +19,10 @@ can match meet in one task, and no two windows of a run are equal.
    class but the first are repeats.
 4. Spans go back to their texts.
 
-A name with very many contents, as beside a line that many documents share, is
-named anew by grams almost as long as a window, which tells the contents apart.
+The runs of a name with very many contents, as beside a line that many documents
+share, are taken apart into single windows. Each is named by all its bytes and
+goes through step 2 once more, so no task holds the runs of all those documents,
+and what they share is counted once in each task.
 
 Documents are ordered by id, null ids first, and by text where rows share an
 id. Rows that agree in both are one document: each is treated as the first.
@@ -51,6 +53,7 @@ SLICE = 1 << 20
 HELD_RUNS = 400_000
 INVERSE = np.uint64(pow(int(P), -1, 1 << 64))
 BYTES = np.random.default_rng(2).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+OTHER_BYTES = np.random.default_rng(3).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 LAST = np.uint64((1 << 64) - 1)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -96,6 +99,13 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     return starts, counts, names[starts], content
 
 
+def second_hash(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Another hash of the windows that begin at ``starts``, so that name and content are 128 bits together."""
+    up, down = [p[:len(data)] for p in powers(len(data))]
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(OTHER_BYTES[data] * up, dtype=np.uint64)])
+    return mix((total[starts + length] - total[starts]) * down[starts])
+
+
 def firsts(columns: list[np.ndarray], key: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct rows sorted by all columns, and whether each is the first that has its first ``key`` values.
 
@@ -219,10 +229,9 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
 
     ``kept`` is bytes, or with ``as_text`` a string without the parts of
     characters that a cut has left. The rows of ``docs`` need no order.
-    A name with more than ``most_contents`` contents is named anew by longer grams.
+    The windows of a name with more than ``most_contents`` contents are told apart singly.
     """
     gram = min(GRAM, length)
-    long_gram = max(gram, length - length // 8)
     base = docs.select(F.coalesce(named(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), named(text).alias("text"),
                        *[named(c).alias(f"c{i}") for i, c in enumerate(keep)])
     n = pieces(base, "text", 8 << 20)
@@ -232,19 +241,23 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     def block_of(tie: np.ndarray) -> np.ndarray:
         return tie % n
 
+    def once(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """Runs of equal content count once; the later ones are spans to strike."""
+        columns, new = firsts(columns, 2)
+        names, content, doc, tie, start, count = columns
+        yield packets((names % np.uint64(n)).astype(np.int64)[new], {
+            k: c[new] for k, c in zip(("name", "content", "doc", "tie", "start", "count"), columns)}, 0)
+        own = spans(doc[~new], tie[~new], start[~new], (start + count - 1 + length)[~new])
+        yield packets(block_of(own["tie"]), own, 1)
+
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
-                columns, new = firsts([np.concatenate(c) for c in zip(*held)], 2)
+                columns = [np.concatenate(c) for c in zip(*held)]
                 held.clear()
-                names, content, doc, tie, start, count = columns
-                yield packets((names % np.uint64(n)).astype(np.int64)[new], {
-                    k: c[new] for k, c in zip(("name", "content", "doc", "tie", "start", "count"),
-                                              (names, content, doc, tie, start, count))}, 0)
-                own = spans(doc[~new], tie[~new], start[~new], (start + count - 1 + length)[~new])
-                yield packets(block_of(own["tie"]), own, 1)
+                yield from once(columns)
                 trim()
 
         for batch in sliced(batches, "text", SLICE):
@@ -280,20 +293,31 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
             order = np.lexsort((asked["tie"].to_numpy(), asked["doc"].to_numpy()))
             names, doc, tie, start, count, many = [asked[c].to_numpy()[order] for c in ("name", "doc", "tie", "start", "count", "many")]
             texts = texts_of(packs)
-            values, out = [], [[], [], [], [], []]
+            values, out, apart, size = [], [[], [], [], [], []], [], 0
+
+            def windows() -> Iterator[pa.RecordBatch]:
+                data = np.frombuffer(b"".join(piece for _, piece in apart), np.uint8)
+                offsets = np.cumsum([0, *[len(piece) for _, piece in apart]])
+                at, counts, own_names, _ = runs(data, offsets, length, length)
+                owner = np.searchsorted(offsets, at, "right") - 1
+                run = np.array([i for i, _ in apart], np.int64)[owner]
+                apart.clear()
+                yield from once([own_names, second_hash(data, at, length), doc[run], tie[run], start[run] + at - offsets[owner], counts])
+
             for i, (d, t, s, c, m) in enumerate(zip(doc.tolist(), tie.tolist(), start.tolist(), count.tolist(), many.tolist())):
                 piece = texts[d, t][s:s + c - 1 + length]
                 if m:
-                    data = np.frombuffer(piece, np.uint8)
-                    own, counts, own_names, _ = runs(data, np.array([0, len(data)]), length, long_gram)
-                    for o, k, nm in zip(own.tolist(), counts.tolist(), own_names.tolist()):
-                        for column, value in zip(out, (nm, d, t, s + o, k)):
-                            column.append(value)
-                        values.append(piece[o:o + k - 1 + length])
+                    apart.append((i, piece))
+                    size += len(piece)
+                    if size > HELD_RUNS:
+                        made.extend(windows())
+                        size = 0
                 else:
                     for column, value in zip(out, (int(names[i]), d, t, s, c)):
                         column.append(value)
                     values.append(piece)
+            if apart:
+                made.extend(windows())
             columns = dict(zip(("name", "doc", "tie", "start", "count"),
                                (np.array(c, k) for c, k in zip(out, (np.uint64, *[np.int64] * 4)))))
             made.append(packets((columns["name"] % np.uint64(n)).astype(np.int64), {**columns, "bytes": pa.array(values, pa.binary())}, 3))
@@ -372,9 +396,12 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
 
         return base.select(columns).mapInArrow(pack, packed).groupBy("number")
 
-    pieces_cut = blocks(["doc", "tie", "text"]).cogroup(found.filter("kind = 2").groupBy("number")).applyInArrow(cut, packed)
-    indexed = stored(pieces_cut.groupBy("number").applyInArrow(index, packed), "repeats")
-    struck = found.filter("kind = 1").unionByName(indexed).groupBy("number")
+    pieces_cut = stored(
+        blocks(["doc", "tie", "text"]).cogroup(found.filter("kind = 2").groupBy("number")).applyInArrow(cut, packed), "repeats")
+    indexed = stored(pieces_cut.filter("kind = 3").groupBy("number").applyInArrow(index, packed), "repeats")
+    # Windows have one content each, so nothing is asked for a second time.
+    windows = stored(pieces_cut.filter("kind = 0").groupBy("kind", "number").applyInArrow(gather, packed), "repeats")
+    struck = found.filter("kind = 1").unionByName(pieces_cut.filter("kind = 1")).unionByName(indexed).unionByName(windows).groupBy("number")
     done = blocks(["doc", "tie", "text", *names]).cogroup(struck).applyInArrow(strike, schema)
     return done.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias(doc_id), *[F.col(c).alias(k) for c, k in zip(names, keep)],
                        "n_bytes", "n_removed", "n_spans", "kept")
