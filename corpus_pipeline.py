@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeweave.llm import bpe, langid, mixing, repeats, setjoin
-from lakeweave.llm.common import reach_workers
+from lakeweave.llm.common import reach_workers, running_totals
 from lakeweave.session import scratch_dir
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +21,8 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LEAST_SCORE = 0.5
 #: Near copies share this percentage of their shingles of so many words; ``op8_setjoin`` has bounds of its own.
 NEAR_WORDS, NEAR_PCT = 5, 80
+#: Shares of documents are whole numbers of this part.
+SHARE_UNIT = 1 << 24
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,13 +57,21 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: blocks hold several, so most are taken whole or not."""
+    """Whole documents, as often as keeps step with the words that the mix takes of their source.
+
+    The shares taken are summed over the documents of a source in order of size, and a document stands as
+    often as the sum passes a whole number in it: its share rounded up or down, without leaning to either.
+    Equal rows stand equally often.
+    """
     reach_workers(spark)
-    mixed = mixing.mix(docs, [3, 1, 2], share=1.5, most_repeats=2, block_words=1024, shard_blocks=64)
-    # Rows that share an id share their words; each stands for an equal part.
-    times = mixed.filter("size > 0").groupBy("doc_id").agg(
-        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("times")).filter("times > 0").withColumnRenamed("doc_id", "mixed_id")
-    rows = docs.join(times, F.col("doc_id").eqNullSafe(F.col("mixed_id")))
+    rows = docs.withColumn("row_key", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    mixed = mixing.mix(rows, [3, 1, 2], share=1.5, most_repeats=2, block_words=1024, shard_blocks=64, doc_id="row_key")
+    taken = mixed.filter("size > 0").groupBy("row_key").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    sources = rows.groupBy("row_key").agg(F.min("source").alias("source"))
+    shares = taken.join(sources, "row_key").withColumn("share", F.round(F.col("taken") / F.col("size") * SHARE_UNIT).cast("long"))
+    placed = running_totals(shares, ["source", "size", "row_key"], {"before": "share"}, "copies")
+    times = placed.select("row_key", F.expr(f"(before + share) div {SHARE_UNIT} - before div {SHARE_UNIT}").cast("int").alias("times"))
+    rows = rows.join(times.filter("times > 0"), "row_key")
     return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(docs.columns)
 
 

@@ -1,8 +1,10 @@
 """Stages of the pipeline on rows made for them."""
 
 import random
+from collections import Counter
 
 import corpus_pipeline
+from lakeweave.llm import mixing
 from test_joins import sets_of
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -34,3 +36,18 @@ def test_near_copies_share_five_words_in_eight_tenths(spark, docs):
     assert want == [0, 2, 3, 5]
     kept = corpus_pipeline.drop_near_copies(spark, table(spark, [(i, t, "s") for i, t in enumerate(texts)]), "")
     assert sorted(r["doc_id"] for r in kept.collect()) == want
+
+
+def test_sources_of_long_documents_meet_their_mix(spark, docs):
+    rows = [(i if i % 7 else None, f"d{i} " + "w " * (4000 + 50 * i), f"s{i % 3}") for i in range(90)]
+    df = table(spark, rows)
+    size = {t: len(t.split()) for _, t, _ in rows}
+    mixed = mixing.mix(df, [3, 1, 2], share=1.5, most_repeats=2, block_words=1024, shard_blocks=64).collect()
+    got, copies = Counter(), Counter()
+    for r in corpus_pipeline.mix_sources(spark, df, "").collect():
+        got[r["source"]] += size[r["text"]]
+        copies[r["text"]] += 1
+    assert max(copies.values()) <= 2
+    for source in ("s0", "s1", "s2"):
+        target = next(r["target"] for r in mixed if r["source_size"] == sum(size[t] for _, t, s in rows if s == source))
+        assert abs(got[source] - target) <= 2 * max(size.values()), (source, got[source], target)
