@@ -15,6 +15,8 @@ Vectors that are null or hold null or non-finite components take no part, as
 queries or as candidates. Shorter vectors count as filled up with zeros. Equal
 vectors tie, and ties go to the smaller id. A vector is never its own answer,
 nor are rows that share its id. Fewer than k candidates give all there are.
+Rows are candidates: one that is repeated can fill several ranks, and so can its
+answers if a query is repeated, as in a join of the two tables.
 Scores are 64-bit integers, so components must be small enough for that.
 """
 
@@ -133,7 +135,6 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id
     cells = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(
         meet, "query_id long, vec_id long, score long")
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    # k rows per query and shard come together; rows that repeat a query ask once.
-    best = cells.dropDuplicates(["query_id", "vec_id", "score"]).withColumn("rank", F.row_number().over(place)).filter(
-        F.col("rank") <= k)
+    # k rows per query row and shard come together.
+    best = cells.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
     return best.select("query_id", "rank", F.col("vec_id").alias(vec_id), "score")
