@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeweave.llm import bpe, langid, mixing, repeats, setjoin
-from lakeweave.llm.common import reach_workers, running_totals
+from lakeweave.llm.common import reach_workers, running_totals, stored
 from lakeweave.session import scratch_dir
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -34,17 +34,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays, of rows that share it one."""
+    """Of each group of near copies the row with the smallest id stays, a null id before all others.
+
+    Only texts link rows: rows that share an id, or have none, are told apart. Equal rows are one, also without words.
+    """
     reach_workers(spark)
-    groups = setjoin.groups(docs, words=NEAR_WORDS, pct=NEAR_PCT)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    # Rows that share an id: the one of the smallest hash, and one of those.
-    marks = docs.select("doc_id", row.alias("mark")).groupBy("doc_id").agg(F.min("mark").alias("mark"))
-    chosen = marks.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id"))).select("kept_id", F.col("mark").alias("kept_mark"))
-    rows = docs.withColumn("mark", row).join(
-        chosen, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("mark") == F.col("kept_mark")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "mark"]).select(docs.columns)
+    # Numbers are the ids of the join; they are stored with the rows, so that they stay.
+    rows = stored(docs.withColumn("row_number", F.monotonically_increasing_id()), "near_rows")
+    groups = setjoin.groups(rows, doc_id="row_number", words=NEAR_WORDS, pct=NEAR_PCT)
+    mark = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    own = rows.select("row_number", "doc_id", mark.alias("mark")).join(groups, "row_number")
+    wordless = F.col("n_shingles") == 0
+    kept = own.groupBy(F.when(~wordless, F.col("component_id")), F.when(wordless, F.col("doc_id")), F.when(wordless, F.col("mark"))).agg(
+        F.min(F.struct("doc_id", "mark", "row_number")).alias("first")).select("first.row_number")
+    return rows.join(kept, "row_number", "left_semi").select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

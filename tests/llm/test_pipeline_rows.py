@@ -51,3 +51,15 @@ def test_sources_of_long_documents_meet_their_mix(spark, docs):
     for source in ("s0", "s1", "s2"):
         target = next(r["target"] for r in mixed if r["source_size"] == sum(size[t] for _, t, s in rows if s == source))
         assert abs(got[source] - target) <= 2 * max(size.values()), (source, got[source], target)
+
+
+def test_only_texts_link_rows(spark, docs):
+    rng = random.Random(8)
+    text = [" ".join(words(rng, 60)) for _ in range(9)]
+    rows = [(5, text[0], "s"), (9, text[1], "s"), (None, text[0] + " end", "s"), (None, text[1], "s"), (None, text[2], "s"),
+            (None, text[3], "s"), (12, text[4], "s"), (12, text[5], "s"), (13, text[6], "s"), (14, text[6], "s"),
+            (15, text[7], "s"), (15, text[7], "s"), (16, "", "s"), (16, "", "s"), (17, "", "s")]
+    got = Counter(tuple(r)[:2] for r in corpus_pipeline.drop_near_copies(spark, table(spark, rows), "").collect())
+    want = [(None, text[0] + " end"), (None, text[1]), (None, text[2]), (None, text[3]), (12, text[4]), (12, text[5]),
+            (13, text[6]), (15, text[7]), (16, ""), (17, "")]
+    assert got == Counter(want)
