@@ -1,10 +1,11 @@
-"""Similarity join of documents on word shingles, exact, by skipping with set relations.
+"""Similarity join of documents on word shingles, exact, with prefix lists and groups.
 
 Shingles are put in one order, the rarest first, so that two sets as similar as
 asked share one of their first few (prefix filter). Lists of these shingles hold
 their sets by size and by position of the shingle. Size and position bound the
-overlap of two entries, so runs of a list are passed over. Counts of shingles in
-a fixed number of bins bound it again, before whole sets are compared.
+overlap of two entries: lists are in order of size, so an entry is done past the
+largest that fits; positions are tested on each pair up to there. Counts of
+shingles in a fixed number of bins bound it again, before whole sets are compared.
 
 Sets that are equal are one set from the start. The others are compared in two
 rounds. First each entry of a list meets the first entry of its list and its
