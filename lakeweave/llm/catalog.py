@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweave.llm import bpe, gru, idstore, langid, mixing, quality, repeats, setjoin, sharding, topk
+from lakeweave.llm import bpe, gru, idstore, langid, manifest, mixing, quality, repeats, setjoin, sharding, topk
 from lakeweave.llm.common import reach_workers
 from lakeweave.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: The same queries as functions of their table.
+BUILDS: dict[str, Callable[[DataFrame], DataFrame]] = {}
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -25,7 +27,7 @@ def query(table: str, sql: str | None = None):
             reach_workers(spark)
             return build(spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet"))
 
-        QUERIES[build.__name__] = run
+        QUERIES[build.__name__], BUILDS[build.__name__] = run, build
         if sql is not None:
             ORACLES[build.__name__] = sql
         return build
@@ -127,3 +129,55 @@ def op4_repeats(docs):
     """Passages of a hundred bytes and more that stand earlier in the corpus, cut out."""
     return repeats.remove(docs, length=100).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: CRC-32 of ASCII text as DuckDB can say it, eight shifts a byte.
+SQL_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1), lambda i: ascii({0}[i])::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+SQL_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def sql_leaf(text: str) -> str:
+    parts = [f"coalesce(octet_length(encode({v}::VARCHAR)) || ':' || {v}, '-')" for v in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+@query("documents", f"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, {sql_leaf('text')} AS leaf,
+      CASE WHEN {SQL_CRC32.format('(doc_id::VARCHAR)')} % 3 = 0 THEN {sql_leaf(SQL_LOWER.format('text'))} ELSE {sql_leaf('text')} END AS own FROM documents),
+a AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM d),
+v(lang, l, i, h, n) AS (SELECT lang, 0, i, leaf, n FROM a UNION ALL
+      SELECT lang, l + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 7) // 8) FROM v WHERE n > 1 GROUP BY lang, l, i // 8),
+s AS (SELECT lang, h, l AS top, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM v WHERE n = 1),
+w(l, i, h, n) AS (SELECT 0, i, h, n FROM s UNION ALL
+      SELECT l + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 7) // 8) FROM w WHERE n > 1 GROUP BY l, i // 8),
+r AS (SELECT h AS root, l AS top FROM w WHERE n = 1),
+steps AS (SELECT a.lang, a.i AS leaf_at, unnest(range(0, s.top)) AS l, false AS up FROM a JOIN s ON s.lang IS NOT DISTINCT FROM a.lang
+      UNION ALL SELECT s.lang, s.i, unnest(range(0, r.top)), true FROM s, r),
+p AS (SELECT t.lang, t.leaf_at, t.up, t.l, coalesce(string_agg(x.h, '' ORDER BY x.i) FILTER (x.i < t.leaf_at // (8 ** t.l)::BIGINT), '') AS lo,
+      coalesce(string_agg(x.h, '' ORDER BY x.i) FILTER (x.i > t.leaf_at // (8 ** t.l)::BIGINT), '') AS hi
+      FROM steps t JOIN (SELECT lang, l, i, h, false AS up FROM v UNION ALL SELECT NULL, l, i, h, true FROM w) x
+        ON x.up = t.up AND x.l = t.l AND x.i // 8 = t.leaf_at // (8 ** t.l)::BIGINT // 8 AND (t.up OR x.lang IS NOT DISTINCT FROM t.lang)
+      GROUP BY t.lang, t.leaf_at, t.up, t.l),
+c AS (SELECT a.doc_id, a.leaf, a.own, a.lang, a.i, s.h AS subroot, r.root,
+      coalesce((SELECT list({{'lo': lo, 'hi': hi}} ORDER BY l) FROM p WHERE NOT p.up AND p.lang IS NOT DISTINCT FROM a.lang AND p.leaf_at = a.i), [])
+      || coalesce((SELECT list({{'lo': lo, 'hi': hi}} ORDER BY l) FROM p WHERE p.up AND p.leaf_at = s.i), []) AS way
+      FROM a JOIN s ON s.lang IS NOT DISTINCT FROM a.lang CROSS JOIN r),
+f(lang, i, k, h) AS (SELECT lang, i, 0, own FROM c UNION ALL
+      SELECT f.lang, f.i, k + 1, sha256(c.way[k + 1].lo || f.h || c.way[k + 1].hi) FROM f JOIN c ON c.lang IS NOT DISTINCT FROM f.lang AND c.i = f.i
+      WHERE k < len(c.way))
+SELECT c.doc_id, c.leaf, c.subroot, c.root, sha256(list_aggregate(list_transform(c.way, lambda x: x.lo || x.hi) || [''], 'string_agg', '')) AS proof_sha256,
+       f.h AS folded_root, f.h = c.root AS verified
+FROM c JOIN f ON f.lang IS NOT DISTINCT FROM c.lang AND f.i = c.i AND f.k = len(c.way)
+""")
+def op12_manifest(docs):
+    """A proof for every document, and whether its text, lower-cased in a third of the rows, still leads to the root."""
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows = docs.select("doc_id", "lang", manifest.leaf(*fields).alias("leaf"),
+                       F.when(changed, manifest.leaf(*fields[:-1], lowered)).alias("changed"))
+    proven = manifest.prove(rows).withColumn("own", F.coalesce("changed", "leaf"))
+    folded = manifest.fold(manifest.proof_digest(proven, "path", "proof_sha256"), "own", "path", "folded_root")
+    return folded.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))

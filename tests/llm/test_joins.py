@@ -59,7 +59,7 @@ def test_pruned_search_equals_full_search():
 def test_queries_against_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for table in ("embeddings", "documents"):
+    for table in ("embeddings", "documents", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')")
     answer = con.sql(catalog.ORACLES[name])
     got = catalog.QUERIES[name](spark, folder).select(*answer.columns).collect()
