@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweave.llm import bpe, gru, idstore, langid, manifest, mixing, quality, repeats, setjoin, sharding, topk
+from lakeweave.llm import bpe, gru, idstore, langid, manifest, mixing, quality, repeats, setjoin, sharding, topk, trie
 from lakeweave.llm.common import reach_workers
 from lakeweave.session import scratch_dir
 
@@ -181,3 +181,26 @@ def op12_manifest(docs):
     folded = manifest.fold(manifest.proof_digest(proven, "path", "proof_sha256"), "own", "path", "folded_root")
     return folded.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
                          (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("conversations", f"""
+WITH t AS (SELECT conv_id AS c, sha256(octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS m, turn,
+      length(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS w FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, m, w) AS k FROM t),
+h AS (SELECT DISTINCT c, {SQL_CRC32.format('(c::VARCHAR)')} % 4 AS h FROM t),
+b AS (SELECT h.c, 0 AS own, o.k, o.m, o.w FROM h JOIN o ON o.c = h.c - h.c % 20 AND o.k <= h.h
+      UNION ALL SELECT h.c, 1, o.k, o.m, o.w FROM h JOIN o ON o.c = h.c AND o.k > h.h),
+s AS (SELECT h.c, coalesce(list(b.m ORDER BY own, k) FILTER (b.m IS NOT NULL), []) AS m, coalesce(list(b.w ORDER BY own, k) FILTER (b.m IS NOT NULL), []) AS w
+      FROM h LEFT JOIN b ON b.c = h.c GROUP BY h.c),
+e AS (SELECT c, len(m) AS size, w, m, unnest(range(0, len(m) + 1)) AS depth FROM s),
+n AS (SELECT array_to_string(m[:depth], '') AS p, depth, min(c) AS conv, count(*) AS n_convs, any_value(CASE WHEN depth > 0 THEN w[depth] END) AS words,
+      coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (size = depth), '') AS ends FROM e GROUP BY 1, 2),
+u AS (SELECT a.p, count(*) FILTER (x.depth = a.depth + 1) AS n_children, coalesce(sum((x.n_convs - 1) * x.words), 0) AS saved,
+      count(*) FILTER (NOT EXISTS (SELECT 1 FROM n y WHERE y.depth = x.depth + 1 AND left(y.p, 64 * x.depth::BIGINT) = x.p)) AS n_leaves
+      FROM n a JOIN n x ON x.depth >= a.depth AND left(x.p, 64 * a.depth::BIGINT) = a.p GROUP BY a.p)
+SELECT n.conv AS conv_id, n.depth, q.conv AS parent_conv_id, n.n_convs, u.n_children, u.n_leaves, u.saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN u ON u.p = n.p LEFT JOIN n q ON n.depth > 0 AND q.depth = n.depth - 1 AND q.p = left(n.p, 64 * (n.depth - 1)::BIGINT)
+""")
+def op11_trie(conversations):
+    """All shared starts of the conversations, each of which begins like the one at the head of its twenty."""
+    return trie.trie(trie.shared_starts(trie.conversations(conversations))).drop("chain")
