@@ -203,4 +203,4 @@ FROM n JOIN u ON u.p = n.p LEFT JOIN n q ON n.depth > 0 AND q.depth = n.depth -
 """)
 def op11_trie(conversations):
     """All shared starts of the conversations, each of which begins like the one at the head of its twenty."""
-    return trie.trie(trie.shared_starts(trie.conversations(conversations))).drop("chain")
+    return trie.trie(trie.shared_starts(trie.conversations(conversations))).drop("key")

@@ -6,7 +6,6 @@ import zlib
 from collections import defaultdict
 from hashlib import sha256
 
-import pytest
 from pyspark.sql import functions as F
 
 from lakeweave.llm import catalog, trie
@@ -85,14 +84,26 @@ def test_one_start_for_many(spark, nothing):
     assert op11(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)) == brute(rows)
 
 
-@pytest.mark.parametrize("turns", [40])
-def test_long_conversation(spark, nothing, turns):
-    rows = [(20 * c, t, "user", f"turn {t}" if t < 30 else f"{c} {t}") for c in range(3) for t in range(turns)]
+def test_long_conversations(spark, nothing):
+    """Tails of their own, with and without copies; a long start that two share; one that is the start of another."""
+    rows = [(20 * c, t, "user", f"turn {t}" if t < 6 else f"{c} {t}") for c in range(3) for t in range(90)]
+    rows += [(20 * c, t, "user", f"copy {t}") for c in range(5, 9) for t in range(45)]
+    rows += [(20 * c, t, "user", f"deep {t}" if t < 20 else f"deep {c % 2} {t}") for c in range(10, 14) for t in range(24 + c)]
+    rows += [(20 * c, t, "bot", f"start {t}") for c in (20, 21, 22) for t in range(c)]
+    rows += [(401, t, "user", f"turn {t}") for t in range(12)]
     assert op11(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")) == brute(rows)
 
 
+def test_own_tails_need_no_round(spark, nothing):
+    rows = [(20 * c, t, "user", f"{c} {t}") for c in range(4) for t in range(300)]
+    convs = trie.conversations(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    starts, tails = trie.truncated(trie.chains_of(convs))
+    assert starts.agg(F.max("depth")).first()[0] == trie.SHORTEST and tails.count() == 4 * (300 - trie.SHORTEST)
+
+
 def test_parents_of_many_children_are_spread(spark, nothing):
-    chains = spark.range(3000).select(F.col("id").alias("conv"), F.unhex(F.concat(F.lit("0" * 40), F.substring(F.sha1(F.col("id").cast("string")), 1, 40))).alias("chain"))
-    nodes = trie.peel(chains.withColumn("depth", F.lit(2)))
+    rows = [(20 * c, t, "user", "hi" if t == 0 else f"{c}") for c in range(3000) for t in range(2)]
+    convs = trie.conversations(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    nodes = trie.peel(trie.truncated(trie.chains_of(convs))[0])
     assert nodes.filter("depth = 1").select(F.expr("bit_count(salts)")).first()[0] == trie.SALTS
     assert nodes.count() == 3002
