@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweave.llm import bpe, gru, idstore, langid, manifest, mixing, quality, repeats, setjoin, sharding, topk, trie
+from lakeweave.llm import bpe, gru, idstore, langid, manifest, mixing, pages, quality, repeats, setjoin, sharding, topk, trie
 from lakeweave.llm.common import reach_workers
 from lakeweave.session import scratch_dir
 
@@ -204,3 +204,10 @@ FROM n JOIN u ON u.p = n.p LEFT JOIN n q ON n.depth > 0 AND q.depth = n.depth -
 def op11_trie(conversations):
     """All shared starts of the conversations, each of which begins like the one at the head of its twenty."""
     return trie.trie(trie.shared_starts(trie.conversations(conversations))).drop("key")
+
+
+@query("pages")
+def op13_labeller(pages_):
+    """The main text of every page."""
+    rows = pages_.select("page_id", "url", "html")
+    return pages.extract(rows, pages.fit(rows)).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
