@@ -178,7 +178,7 @@ def op12_manifest(docs):
     rows = docs.select("doc_id", "lang", manifest.leaf(*fields).alias("leaf"),
                        F.when(changed, manifest.leaf(*fields[:-1], lowered)).alias("changed"))
     proven = manifest.prove(rows).withColumn("own", F.coalesce("changed", "leaf"))
-    folded = manifest.fold(manifest.proof_digest(proven, "path", "proof_sha256"), "own", "path", "folded_root")
+    folded = manifest.follow(proven, "own", "path", "folded_root", "proof_sha256")
     return folded.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
                          (F.col("folded_root") == F.col("root")).alias("verified"))
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeweave.llm.common import named, running_totals, stored, with_columns
+from lakeweave.llm.common import named, running_totals, stored, trim, with_columns
 
 FANOUT = 8
 #: Levels of a block: 512 leaves and 73 nodes above them.
@@ -173,41 +173,25 @@ def known_paths(tiers: list[DataFrame], given: DataFrame) -> DataFrame:
     return lower
 
 
-def fold(df: DataFrame, digest: str, path: str, name: str) -> DataFrame:
-    """Add the root that a digest (hex text) and a path lead to."""
+def follow(df: DataFrame, digest: str, path: str, root: str, proof: str) -> DataFrame:
+    """Add the root that a digest (hex text) and a path lead to, and the SHA-256 of all siblings of the path, as hex text."""
     own, way = df.columns.index(digest), df.columns.index(path)
 
     def climb(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
         for batch in batches:
-            found = []
+            roots, proofs = [], []
             for node, steps in zip(batch.column(own).to_pylist(), batch.column(way).to_pylist()):
-                node, at = bytes.fromhex(node), 0
+                node, at, parts = bytes.fromhex(node), 0, []
                 while at < len(steps):
                     left, right = at + 2 + steps[at] * DIGEST, at + 2 + (steps[at] + steps[at + 1]) * DIGEST
+                    parts.append(steps[at + 2:right])
                     node, at = joined(steps[at + 2:left] + node + steps[left:right]), right
-                found.append(node.hex())
-            yield batch, [pa.array(found, pa.string())]
+                roots.append(node.hex())
+                proofs.append(joined(b"".join(parts)).hex())
+            yield batch, [pa.array(roots, pa.string()), pa.array(proofs, pa.string())]
+        trim()
 
-    return with_columns(df, climb, T.StructType([T.StructField(name, T.StringType())]))
-
-
-def proof_digest(df: DataFrame, path: str, name: str) -> DataFrame:
-    """Add the SHA-256 of the siblings of a path, as hex text."""
-    way = df.columns.index(path)
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
-        for batch in batches:
-            found = []
-            for steps in batch.column(way).to_pylist():
-                parts, at = [], 0
-                while at < len(steps):
-                    end = at + 2 + (steps[at] + steps[at + 1]) * DIGEST
-                    parts.append(steps[at + 2:end])
-                    at = end
-                found.append(joined(b"".join(parts)).hex())
-            yield batch, [pa.array(found, pa.string())]
-
-    return with_columns(df, read, T.StructType([T.StructField(name, T.StringType())]))
+    return with_columns(df, climb, T.StructType([T.StructField(root, T.StringType()), T.StructField(proof, T.StringType())]))
 
 
 def prove(rows: DataFrame, digest: str = "leaf", by: str = "lang", order: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -220,7 +204,8 @@ def prove(rows: DataFrame, digest: str = "leaf", by: str = "lang", order: Sequen
         F.struct(*[named(c) for c in rows.columns]).alias("row"), *[named(c).alias(f"o{i}") for i, c in enumerate(order)],
         F.when(named(by).isNull(), "0").otherwise(F.concat(F.lit("1"), named(by).cast("string"))).alias("tree"),
         F.unhex(named(digest)).alias("digest"))
-    leaves = stored(placed(inner, "tree", [*[f"o{i}" for i in range(len(order))], "digest"]), "placed")
+    # The digests are stored first: ranges are sampled from them, and texts are read once.
+    leaves = stored(placed(stored(inner, "digests"), "tree", [*[f"o{i}" for i in range(len(order))], "digest"]), "placed")
     tiers = build(leaves)
     crown = roots(tiers).select(F.lit("").alias("tree"), F.col("tree").alias("name"), F.col("root").alias("digest"))
     crown = stored(placed(crown, "tree", ["name"]), "subroots")
