@@ -1,19 +1,20 @@
 """From documents to token ids: five stages, each written and read again.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows of the stage
-before. All but the last return the columns of ``documents``. Rows with null
-texts have no language and leave in the first stage; an empty table passes
-through all stages.
+before. All but the last return the columns of ``documents``, and further ones
+of any name as they are. Rows with null texts have no language and leave in the
+first stage; an empty table passes through all stages. Where rows tie, a hash
+of all their columns decides; rows equal in all columns are alike to each stage.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeweave.llm import bpe, langid, mixing, repeats, setjoin
-from lakeweave.llm.common import reach_workers, running_totals, stored
+from lakeweave.llm.common import named, reach_workers, running_totals, stored
 from lakeweave.session import scratch_dir
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -25,38 +26,50 @@ NEAR_WORDS, NEAR_PCT = 5, 80
 SHARE_UNIT = 1 << 24
 
 
+def carried(docs: DataFrame, *own: str) -> DataFrame:
+    """The columns ``own``, and all others by place in the struct ``row``, out of the way of the operators."""
+    return docs.select(*own, F.struct(F.lit(0).alias("f"), *[named(c).alias(f"f{i}") for i, c in enumerate(docs.columns) if c not in own]).alias("row"))
+
+
+def restored(df: DataFrame, docs: DataFrame, **own: Column) -> DataFrame:
+    """The columns of ``docs`` again: ``own`` as given, all others from the struct that ``carried`` made."""
+    return df.select(*[own.get(c, F.col("row").getField(f"f{i}")).alias(c) for i, c in enumerate(docs.columns)])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep texts with a language; rows without one get what was found."""
     reach_workers(spark)
-    found = langid.identify(docs, F.lit(True), predicted="lang_found", score="lang_score")
-    kept = found.filter((F.col("lang_found") != langid.UNKNOWN) & (F.col("lang_score") >= LEAST_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_found")).select(docs.columns)
+    found = langid.identify(carried(docs, "text", "lang"), F.lit(True))
+    kept = found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return restored(kept, docs, text=F.col("text"), lang=F.coalesce("lang", "lang_pred"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the row with the smallest id stays, a null id before all others.
+    """Of each group of near copies the row with the smallest id stays, a null id before all others; of several, that of
+    the smallest hash of all columns.
 
     Only texts link rows: rows that share an id, or have none, are told apart. Equal rows are one, also without words.
     """
     reach_workers(spark)
     # Numbers are the ids of the join; they are stored with the rows, so that they stay.
-    rows = stored(docs.withColumn("row_number", F.monotonically_increasing_id()), "near_rows")
-    groups = setjoin.groups(rows, doc_id="row_number", words=NEAR_WORDS, pct=NEAR_PCT)
-    mark = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    own = rows.select("row_number", "doc_id", mark.alias("mark")).join(groups, "row_number")
+    rows = stored(carried(docs, "doc_id", "text").withColumn("number", F.monotonically_increasing_id()), "near_rows")
+    groups = setjoin.groups(rows, doc_id="number", words=NEAR_WORDS, pct=NEAR_PCT)
+    own = rows.select("number", "doc_id", F.xxhash64("doc_id", "text", "row").alias("mark")).join(groups, "number")
     wordless = F.col("n_shingles") == 0
     kept = own.groupBy(F.when(~wordless, F.col("component_id")), F.when(wordless, F.col("doc_id")), F.when(wordless, F.col("mark"))).agg(
-        F.min(F.struct("doc_id", "mark", "row_number")).alias("first")).select("first.row_number")
-    return rows.join(kept, "row_number", "left_semi").select(docs.columns)
+        F.min(F.struct("doc_id", "mark", "number")).alias("first")).select("first.number")
+    return restored(rows.join(kept, "number", "left_semi"), docs, doc_id=F.col("doc_id"), text=F.col("text"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of a hundred bytes that stand earlier go; a document goes if no word is left of it."""
+    """Passages of a hundred bytes that stand earlier go; a document goes if no word is left of it.
+
+    Documents are ordered by id, null first, and by a hash of the text where rows share an id; equal rows are one.
+    """
     reach_workers(spark)
-    rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    cut = repeats.remove(docs, length=100, keep=tuple(rest), as_text=True)
-    return cut.filter((F.col("n_removed") == 0) | F.col("kept").rlike("[^\\x20\\x09-\\x0D]")).withColumns(
-        {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}).select(docs.columns)
+    cut = repeats.remove(carried(docs, "doc_id", "text"), length=100, keep=("row",), as_text=True)
+    left = cut.filter((F.col("n_removed") == 0) | F.col("kept").rlike("[^\\x20\\x09-\\x0D]"))
+    return restored(left, docs, doc_id=F.col("doc_id"), text=F.col("kept"), n_chars=F.length("kept").cast("long"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +80,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Equal rows stand equally often.
     """
     reach_workers(spark)
-    rows = docs.withColumn("row_key", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    rows = carried(docs, "text", "source").withColumn("row_key", F.xxhash64("text", "source", "row"))
     mixed = mixing.mix(rows, [3, 1, 2], share=1.5, most_repeats=2, block_words=1024, shard_blocks=64, doc_id="row_key")
     taken = mixed.filter("size > 0").groupBy("row_key").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
     sources = rows.groupBy("row_key").agg(F.min("source").alias("source"))
@@ -75,11 +88,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     placed = running_totals(shares, ["source", "size", "row_key"], {"before": "share"}, "copies")
     times = placed.select("row_key", F.expr(f"(before + share) div {SHARE_UNIT} - before div {SHARE_UNIT}").cast("int").alias("times"))
     rows = rows.join(times.filter("times > 0"), "row_key")
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(docs.columns)
+    return restored(rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))), docs, text=F.col("text"), source=F.col("source"))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, with the checksum of the text that they decode to."""
+    """Token ids of every text, with the checksum of the text that they decode to; further columns end here."""
     reach_workers(spark)
     ids = bpe.encode(docs, VOCABULARY, keep=("lang", "source"))
     return bpe.decode(ids, VOCABULARY).select(
