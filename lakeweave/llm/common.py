@@ -21,11 +21,19 @@ from lakeweave.session import scratch_dir
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+#: Bytes of an Arrow batch between Spark and its workers, where the session has left them at their default of 64 MB.
+BATCH_BYTES, DEFAULT_BYTES = 8 << 20, 64 << 20
+
+
 def reach_workers(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, also if it is not installed.
 
-    On a cluster install the package on the executors or pass it with ``--py-files``.
+    On a cluster install the package on the executors or pass it with ``--py-files``. Batches of texts are held by Spark
+    and by the worker at once, several times in a chain of steps: the session's bound on their bytes is lowered.
     """
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound, "1") in (f"{DEFAULT_BYTES}b", str(DEFAULT_BYTES), "64MB", "64m"):
+        spark.conf.set(bound, str(BATCH_BYTES))
     home = str(Path(__file__).resolve().parents[2])
     own = spark.sparkContext.environment
     paths = own.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeweave.llm.common import byte_values, named, sliced, with_columns
+from lakeweave.llm.common import byte_values, named, sliced, trim, with_columns
 
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -324,8 +324,10 @@ def identify(docs: DataFrame, learn: Column, text: str = "text", lang: str = "la
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
         answer = label(model)
-        for batch in sliced(batches, column):
+        for batch in sliced(batches, column, 2 << 20):
             answers = answer(byte_values(batch.column(column)))
             yield batch, [pa.array([a for a, _ in answers], pa.string()), pa.array([s for _, s in answers], pa.float64())]
+        del answer
+        trim()
 
     return with_columns(docs, predict, T.StructType([T.StructField(predicted, T.StringType()), T.StructField(score, T.DoubleType())]))

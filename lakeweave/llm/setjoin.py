@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweave.llm.common import arrow_schema, named, shuffle_partitions, sliced, stored, utf8
+from lakeweave.llm.common import arrow_schema, named, shuffle_partitions, sliced, stored, trim, utf8
 from lakeweave.llm.components import contract
 from lakeweave.llm.shingles import mix, shingles
 from lakeweave.llm.wordblocks import pack_rows, unpack_rows
@@ -61,6 +61,7 @@ def frequent(docs: DataFrame, words: int, most: int) -> np.ndarray:
                 often = np.flatnonzero(counts >= 2)
                 often = often[np.argsort(-counts[often], kind="stable")[:most]]
                 yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["shingle", "n"])
+        trim()
 
     top = docs.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(
         F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(most)
@@ -95,6 +96,7 @@ def signatures(docs: DataFrame, common: np.ndarray, words: int, pct: int) -> Dat
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(sizes.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]),
                  pa.array(prefix, pa.binary()), pa.array([b.tobytes() for b in bins], pa.binary())], schema=made)
+        trim()
 
     return docs.mapInArrow(sign, "id long, n long, s1 long, s2 long, prefix binary, bins binary")
 
@@ -130,13 +132,15 @@ def candidates(sets: DataFrame, pct: int, every_pair: bool, list_entries: int =
                       for own in np.split(order, starts[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(bucket[order[starts]], pa.int32()), pa.array(packed, pa.binary())],
                                              ["bucket", "entries"])
+        trim()
 
     def meet(table: pa.Table) -> pa.Table:
         rows = pa.Table.from_batches([unpack_rows(p) for p in table["entries"].to_pylist()])
         key, node, root, n, place = [c.to_numpy() for c in rows.columns]
         order = np.lexsort((node, place, n, key))
         key, node, root, n, place = key[order], node[order], root[order], n[order], place[order]
-        new = np.diff(key, prepend=key[0] - 1) != 0
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
         start = np.flatnonzero(new)
         run = np.cumsum(new) - 1
         found = []
@@ -168,6 +172,8 @@ def candidates(sets: DataFrame, pct: int, every_pair: bool, list_entries: int =
                 at = np.flatnonzero((at < len(key)) & (run[np.minimum(at, len(key) - 1)] == run))
                 add(lead[start[run[at]] + step], at)
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        del rows, found
+        trim()
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     asked = sets.select("node", "root", "n", "prefix").mapInArrow(pack, "bucket int, entries binary")
@@ -204,6 +210,7 @@ def linked(pairs: DataFrame, docs: DataFrame, words: int, pct: int, most_broadca
             ends = np.cumsum(np.bincount(owner, minlength=batch.num_rows))
             sets = [found[s:e].tobytes() for s, e in zip([0, *ends[:-1].tolist()], ends.tolist())]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "set"])
+        trim()
 
     sets = stored(texts.select("id", "text").mapInArrow(made, "id long, set binary"), "sets")
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(
@@ -217,6 +224,7 @@ def linked(pairs: DataFrame, docs: DataFrame, words: int, pct: int, most_broadca
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 fits.append(100 * common >= pct * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+        trim()
 
     return joined.mapInArrow(compare, "a long, b long")
 

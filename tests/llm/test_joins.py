@@ -74,7 +74,7 @@ def sets_of(text, words=3):
     return {tuple(own[i:i + words]) for i in range(len(own) - words + 1)}
 
 
-def groups(rows, pct):
+def groups(rows, pct, words=3):
     """Components of all rows by id; rows without words are linked by their id only."""
     first = lambda i: -1 << 63 if i is None else i
     root = {first(i): first(i) for i, _ in rows}
@@ -84,7 +84,7 @@ def groups(rows, pct):
             x = root[x]
         return x
 
-    made = [(first(i), sets_of(t)) for i, t in rows]
+    made = [(first(i), sets_of(t, words)) for i, t in rows]
     for n, (i, x) in enumerate(made):
         for j, y in made[:n]:
             common = len(x & y)

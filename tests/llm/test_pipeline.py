@@ -36,7 +36,7 @@ def test_stages_do_what_they_say(spark, docs, tmp_path):
     assert set(ids) >= {r["doc_id"] for r in made[0]} - {9001, 9002, 9003} - {r["doc_id"] for r in made[0] if r["text"] and len(r["text"]) < 60}
     assert not set(ids) & {9001, 9002, 9003} and ids[3] == 2 and all(r["lang"] for r in made[1])
 
-    root = groups([(r["doc_id"], r["text"]) for r in made[1]], 90)
+    root = groups([(r["doc_id"], r["text"]) for r in made[1]], corpus_pipeline.NEAR_PCT, corpus_pipeline.NEAR_WORDS)
     assert Counter(r["doc_id"] for r in made[2]) == Counter({i: 1 for i, r in root.items() if i == r})
     assert {tuple(r) for r in made[2]} <= {tuple(r) for r in made[1]}
 

@@ -63,3 +63,24 @@ def test_only_texts_link_rows(spark, docs):
     want = [(None, text[0] + " end"), (None, text[1]), (None, text[2]), (None, text[3]), (12, text[4]), (12, text[5]),
             (13, text[6]), (15, text[7]), (16, ""), (17, "")]
     assert got == Counter(want)
+
+
+CLASHING = ["a.b", "row", "copy", "times", "number", "row_number", "row_key", "kept", "n_removed", "n_bytes", "lang_pred", "lang_found", "score",
+            "lang_score", "component_id", "n_shingles", "mark", "first", "doc", "tie", "id", "c0", "_"]
+
+
+def test_columns_of_any_name_pass(spark, docs):
+    """Each stage gives back every column with the values it came with."""
+    rng = random.Random(5)
+    text = [" ".join(rng.choice("the of and that der die das und le la les des".split()[4 * (i % 3):4 * (i % 3) + 4]) + f" word{rng.randrange(999)}"
+                     for _ in range(rng.randint(30, 60))) for i in range(24)]
+    rows = [(i, t, ["en", "de", "fr"][i % 3], f"s{i % 2}", len(t), *[f"{c} {i}" for c in CLASHING]) for i, t in enumerate(text)]
+    df = spark.createDataFrame(rows, COLUMNS + "".join(f", `{c}` string" for c in CLASHING)).repartition(3)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, df, "")
+        assert got.columns == df.columns, name
+        found = got.collect()
+        assert found and all(tuple(r)[5:] == tuple(f"{c} {r['doc_id']}" for c in CLASHING) and r["text"] == text[r["doc_id"]] for r in found), name
+        if name != "mix_sources":
+            assert len(found) == len(rows), name
+    assert corpus_pipeline.encode_texts(spark, df, "").count() == len(rows)
