@@ -31,6 +31,8 @@ from pyspark.sql import types as T
 from lakeweave.llm.common import byte_values, named, sliced, with_columns
 from lakeweave.llm.wordblocks import WordBlocks
 
+#: Words and their ids, about 200 bytes each, that a worker process keeps.
+MOST_PIECES = 500_000
 #: The pattern of the tokenizer file that ``Words`` knows.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -46,7 +48,7 @@ def byte_letters() -> dict[int, str]:
 
 
 class Words:
-    """Encodes single words; pieces between them are looked up again within a call of ``encode``.
+    """Encodes single words. About ``MOST_PIECES`` words and pieces of words are remembered from call to call, then anew.
 
     Words of Latin letters and ASCII marks are cut by the file's own pattern and
     only their pieces go to the library's model. All others, and words that may
@@ -68,8 +70,9 @@ class Words:
         self.library.no_truncation()
         self.library.no_padding()
         self.pattern = regex.compile(SPLIT)
-        self.simple = regex.compile(r"[!-~¡-ɏ]+")
-        self.special = sorted({t["content"][0] for t in described.get("added_tokens", [])})
+        special = "".join(sorted({regex.escape(t["content"][0]) for t in described.get("added_tokens", [])}))
+        self.simple = regex.compile(rf"(?V1)[[!-~¡-ɏ]--[{special}]]+" if special else r"[!-~¡-ɏ]+")
+        self.known: dict[str, bytes] = {}
         self.letters = byte_letters()
         size = max(self.library.get_vocab().values()) + 1
         self.width = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
@@ -77,22 +80,29 @@ class Words:
 
     def encode(self, words: list[bytes]) -> list[bytes]:
         """Packed ids (``width`` each) of each word."""
-        known: dict[str, bytes] = {}
-        model, width, letters = self.library.model, self.width, self.letters
+        if len(self.known) > MOST_PIECES:
+            self.known.clear()
+        known, model, width, letters = self.known, self.library.model, self.width, self.letters
         found, rest = [b""] * len(words), []
         for i, raw in enumerate(words):
             word = raw.decode("utf-8", "replace")
-            if not self.simple.fullmatch(word) or any(c in word for c in self.special):
-                rest.append((i, word))
-                continue
-            ids = []
-            for piece in self.pattern.findall(word.lower()):
-                packed = known.get(piece)
-                if packed is None:
-                    text = piece if piece.isascii() else "".join([letters[b] for b in piece.encode()])
-                    packed = known[piece] = np.array([t.id for t in model.tokenize(text)], width).tobytes()
-                ids.append(packed)
-            found[i] = b"".join(ids)
+            # A remembered piece is what it is as a word, too.
+            lowered = word.lower()
+            packed = known.get(lowered)
+            if packed is None:
+                letter = raw.isalpha()
+                if not letter and not self.simple.fullmatch(word):
+                    rest.append((i, word))
+                    continue
+                ids = []
+                for piece in [lowered] if letter else self.pattern.findall(lowered):
+                    own = known.get(piece)
+                    if own is None:
+                        text = piece if piece.isascii() else "".join([letters[b] for b in piece.encode()])
+                        own = known[piece] = np.array([t.id for t in model.tokenize(text)], width).tobytes()
+                    ids.append(own)
+                packed = known[lowered] = b"".join(ids)
+            found[i] = packed
         for start in range(0, len(rest), 4096):
             part = rest[start:start + 4096]
             encoded = self.library.encode_batch([word for _, word in part], add_special_tokens=False)

@@ -257,7 +257,7 @@ def fit(samples: list[tuple[str, str]], bits: int = 15, lexicon: int = 20_000, r
     return model
 
 
-def label(model: Model, most_words: int = 300_000):
+def label(model: Model, most_words: int = 150_000):
     """A function from texts to (language, share of the words' probability) pairs, which remembers words."""
     chain = Chain(model.start, model.steps)
     known: dict[bytes, int] = {}
@@ -324,7 +324,7 @@ def identify(docs: DataFrame, learn: Column, text: str = "text", lang: str = "la
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
         answer = label(model)
-        for batch in sliced(batches, column, 2 << 20):
+        for batch in sliced(batches, column, 1 << 20):
             answers = answer(byte_values(batch.column(column)))
             yield batch, [pa.array([a for a, _ in answers], pa.string()), pa.array([s for _, s in answers], pa.float64())]
         del answer

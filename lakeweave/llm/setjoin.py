@@ -116,7 +116,7 @@ def candidates(sets: DataFrame, pct: int, every_pair: bool, list_entries: int =
     buckets = max(shuffle_partitions(sets.sparkSession), int(entries // list_entries) + 1)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, "prefix", SLICE):
             prefix = [np.frombuffer(p, np.uint64) for p in batch.column("prefix").to_pylist()]
             sizes = np.array([len(p) for p in prefix], np.int64)
             if not sizes.sum():
