@@ -7,6 +7,7 @@ from lakeweave.catalog.quality import TAXI_NAMES, failing
 from lakeweave.catalog.registry import query
 from lakeweave.catalog.star import silver_readings, silver_trips
 from lakeweave.plans import profiles, silver
+from lakeweave.session import stored
 
 
 @query(f"""
@@ -66,7 +67,7 @@ SELECT count(*) AS rows, {failing('day IS NULL')} AS date_nulls, {failing('base
 FROM kept
 """)
 def profile_fx(t):
-    return profiles.fx(silver.fx(staging.fx_rates(t), staging.FX_FIRST, staging.FX_LAST))
+    return profiles.fx(stored(silver.fx(staging.fx_rates(t), staging.FX_FIRST, staging.FX_LAST), "silver"))
 
 
 @query(f"""
@@ -91,4 +92,4 @@ UNION ALL SELECT 'mean', CAST(sum(gdp_usd) AS DOUBLE) / count(*) FROM gdp
 UNION ALL SELECT 'max', max(gdp_usd) FROM gdp
 """)
 def gdp_summary(t):
-    return profiles.gdp_summary(silver.gdp(staging.gdp_records(t), excluded_year=2001))
+    return profiles.gdp_summary(stored(silver.gdp(staging.gdp_records(t), excluded_year=2001), "silver"))

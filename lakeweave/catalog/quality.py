@@ -8,6 +8,7 @@ from lakeweave.catalog import staging
 from lakeweave.catalog.registry import query
 from lakeweave.operators import aggregates, checks
 from lakeweave.plans import silver, suites
+from lakeweave.session import stored
 
 FIELDS = ("suite", "kind", "name", "CAST(success AS string) AS success",
           "CAST(unexpected_count AS double) AS unexpected_count", "detail")
@@ -180,7 +181,7 @@ SELECT 'Events' AS suite, section, CAST(position AS BIGINT) AS position, name, v
   UNION ALL SELECT 'summary', 3, 'Success Rate', '62.5%'
   UNION ALL SELECT 'failure', 1, 'No Nulls → grp', substr('Found ' || grp || ' null rows', 1, 12) || '... [Truncated]' FROM n
   UNION ALL SELECT 'failure', 2, 'No Nulls → event_type', substr('Found ' || typ || ' null rows', 1, 12) || '... [Truncated]' FROM n
-  UNION ALL SELECT 'failure', 3, 'Overflow Alert', 'And 1 more column validation checks failed.'
+  UNION ALL SELECT 'failure', 3, 'Overflow Alert', 'And 1 more column validation checks failed. Please check notebook console logs for details.'
   UNION ALL SELECT 'statistic', 8, 'Largest', largest FROM n
   UNION ALL SELECT 'statistic', 9, 'Missing', 'N/A'
   UNION ALL SELECT 'statistic', 10, 'Total Null Values', format('{{:,}}', grp + typ) FROM n)
@@ -213,7 +214,7 @@ TAXI_NAMES = (("pickup_datetime", "pickup"), ("dropoff_datetime", "dropoff"), ("
     "silver_taxi", "null rows"))
 def suite_taxi(t):
     trips = silver.taxi(staging.trips(t), staging.zone_lookup(t), time_type="timestamp_ntz")
-    return suites.check_table(trips, "taxi").selectExpr(*FIELDS)
+    return suites.check_table(stored(trips, "silver"), "taxi").selectExpr(*FIELDS)
 
 
 @query(f"WITH {staging.TRIPS}, raw AS (SELECT CAST(fare - 10 AS DECIMAL(10,2)) AS total_amount, CAST(location % 4 - 1 AS DOUBLE) AS trip_distance FROM once), " + f"""
@@ -249,7 +250,7 @@ AIR_COLUMNS = ("day", "location_name", "locality", "timezone", "parameter_name",
     "silver_air", "null metrics"))
 def suite_air(t):
     readings = silver.air(staging.air_tables(t), staging.AIR_YEARS)
-    return suites.check_table(readings, "air").selectExpr(*FIELDS)
+    return suites.check_table(stored(readings, "silver"), "air").selectExpr(*FIELDS)
 
 
 @query(f"""
@@ -263,7 +264,7 @@ WITH {staging.DIM_FX}, f AS (SELECT * FROM dim_fx) """ + suite_sql(
     "f", "broken fields"))
 def suite_fx(t):
     rates = silver.fx(staging.usd_rates(t), staging.USD_FIRST, staging.USD_LAST)
-    return suites.check_table(rates, "fx").selectExpr(*FIELDS)
+    return suites.check_table(stored(rates, "silver"), "fx").selectExpr(*FIELDS)
 
 
 @query(f"WITH {staging.GDP} " + suite_sql(
@@ -276,7 +277,7 @@ def suite_fx(t):
     "gdp", "empty fields"))
 def suite_gdp(t):
     records = silver.gdp(staging.gdp_records(t), excluded_year=2001)
-    return suites.check_table(records, "gdp", as_of_year=1999).selectExpr(*FIELDS)
+    return suites.check_table(stored(records, "silver"), "gdp", as_of_year=1999).selectExpr(*FIELDS)
 
 
 #: Names, bounds and texts of the published weather report.
@@ -313,7 +314,7 @@ UNION ALL SELECT 'Weather Data Quality', 'check', 'Hourly Completeness per Zone'
 def suite_weather(t):
     readings = silver.weather(staging.weather_readings(t), staging.WEATHER_FIRST, staging.WEATHER_LAST,
                               time_type="timestamp_ntz")
-    return suites.check_table(readings, "weather").selectExpr(*FIELDS)
+    return suites.check_table(stored(readings, "silver"), "weather").selectExpr(*FIELDS)
 
 
 @query("""

@@ -131,3 +131,19 @@ def stream_two_checkpoints(t):
                                    F.col("value").alias("amount"))
         sync.start_sync(readings, target, ["time", "zone"], "time", scratch_dir(t.spark, "stream-state")).awaitTermination()
     return sync.read_synced(t.spark, target, READING)
+
+
+@query(f"""
+WITH {HOURLY}
+SELECT strftime(src.time, '%Y-%m-%d %H:%M:%S.%f') AS time, zone, min(amount) AS amount FROM src WHERE zone IS NOT NULL GROUP BY src.time, zone
+""")
+def stream_two_writers(t):
+    """Two streams at the same time, each with a checkpoint of its own, over the same input into one sink."""
+    target = scratch_dir(t.spark, "stream")
+    incoming = sync.file_stream(t.spark, t.folder, t("events").schema, "events*.parquet")
+    readings = incoming.select(F.date_trunc("hour", "ts").cast("timestamp").alias("time"), F.col("event_type").alias("zone"),
+                               F.col("value").alias("amount")).filter("zone <> 'click'")
+    running = [sync.start_sync(readings, target, ["time", "zone"], "time", scratch_dir(t.spark, "stream-state")) for _ in range(2)]
+    for query_ in running:
+        query_.awaitTermination()
+    return sync.read_synced(t.spark, target, READING)

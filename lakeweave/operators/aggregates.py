@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
@@ -12,7 +10,8 @@ from pyspark.sql import functions as F
 
 from lakeweave.functions.scalars import is_missing
 from lakeweave.operators.dedupe import key_counts
-from lakeweave.operators.shape import quoted
+from lakeweave.operators.shape import for_each_column, quoted
+from lakeweave.session import stored
 
 
 def group_totals(df: DataFrame, by: Sequence[str], amount: Column,
@@ -33,10 +32,7 @@ def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
 def null_profile(df: DataFrame, nan_is_null: bool = False) -> DataFrame:
     """One row: the number of nulls (and NaNs, on request) of every column."""
     kinds = dict(df.dtypes)
-    return df.agg(*[
-        F.count_if(is_missing(F.col(quoted(c)), kinds[c] if nan_is_null else "any")).alias(c)
-        for c in df.columns
-    ])
+    return for_each_column(df, lambda c: F.count_if(is_missing(F.col(quoted(c)), kinds[c] if nan_is_null else "any")))
 
 
 def count_matching(df: DataFrame, predicates: Mapping[str, Column]) -> DataFrame:
@@ -73,40 +69,42 @@ def profile(df: DataFrame, predicates: Mapping[str, Column], day: str | None = N
     return df.agg(*parts)
 
 
-def percentiles(df: DataFrame, column: str, probabilities: Sequence[float],
-                margin: float = 1 / 256) -> DataFrame:
-    """Exact percentiles with linear interpolation: rows ``(p, value)``.
+def value_ranges(df: DataFrame, column: str) -> DataFrame:
+    """The distinct values of a column and their counts, dealt out to ranges in order: stored rows ``(v, n, range)``.
 
-    Values are reduced to ``(value, count)``, then cut a little below and above
-    each wanted percentile at approximate quantiles. The totals of the slices
-    tell which of them hold the wanted ranks, and only those are sorted, each in
-    its own task and about ``2 * margin`` of the values. The cuts only decide
-    how much is sorted; the ranks are exact wherever they lie.
+    There are as many ranges as shuffle partitions (AQE merges small ones), so a range stays one task's work.
     """
-    cut_points = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)})
     numbers = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
     counted = numbers.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    cuts = numbers.agg(F.percentile_approx("v", cut_points, 1_000)).scalar()
-    below = [(F.element_at(cuts, i + 1) < F.col("v")).cast("int") for i in range(len(cut_points))]
-    placed = counted.select("v", "n", reduce(add, below).alias("b"))
-
-    totals = placed.groupBy("b").agg(F.sum("n").alias("bn"))
-    everything = W.partitionBy(F.lit(0))  # one row per slice
-    before = F.sum("bn").over(everything.orderBy("b").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("bn")
-    located = totals.select("b", "bn", before.alias("before"), F.sum("bn").over(everything).alias("total"))
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p")
+    return stored(counted.repartitionByRange("v").withColumn("range", F.spark_partition_id()), "ranges")
+
+
+def percentiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
+    """Exact percentiles with linear interpolation: rows ``(p, value)``.
+
+    Values are counted and dealt out to ranges once. The totals of the ranges
+    tell in which of them the wanted ranks lie, and how far in; only the ranges
+    that hold one, at most two a percentile, are read again and sorted.
+    """
+    ranges = value_ranges(df, column)
+    totals = ranges.groupBy("range").agg(F.sum("n").alias("held"))
+    everything = W.partitionBy(F.lit(0))  # one row per range
+    upto = F.sum("held").over(everything.orderBy("range").rowsBetween(W.unboundedPreceding, W.currentRow))
+    located = totals.select("range", "held", (upto - F.col("held")).alias("before"), F.sum("held").over(everything).alias("total"))
     position = F.col("p") * (F.col("total") - 1)
-    targets = (located.select("b", "bn", "before", "total", wanted)
-               .select("b", "bn", "before", "p", position.alias("at"),
-                       F.explode(F.array(F.floor(position), F.ceil(position))).alias("rank"))
-               .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("bn")))
-               .groupBy("b", "before").agg(F.collect_set(F.struct("p", "at", "rank")).alias("targets")))
-
-    running = F.sum("n").over(W.partitionBy("b").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow))
-    ranked = (placed.join(targets, "b")
-              .select("v", "n", "targets", (F.col("before") + running).alias("upto"))
+    wanted = (located.select("range", "held", "before", "total", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p"))
+              .select("range", "held", "before", "p", position.alias("at"), F.explode(F.array(F.floor(position), F.ceil(position))).alias("rank"))
+              .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("held"))))
+    # At most two ranks for each percentile.
+    targets = wanted.agg(F.collect_set(F.struct("range", "before", "p", "at", "rank"))).scalar()
+
+    chosen = (ranges.withColumn("every", targets).withColumn("targets", F.filter("every", lambda t: t["range"] == F.col("range")))
+              .filter(F.size("targets") > 0))
+    running = F.sum("n").over(W.partitionBy("range").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow))
+    ranked = (chosen.select("v", "n", "targets", running.alias("upto"))
               .select("v", "n", "upto", F.explode("targets").alias("t"))
-              .filter((F.col("t.rank") < F.col("upto")) & (F.col("t.rank") >= F.col("upto") - F.col("n"))))
+              .withColumn("end", F.col("t.before") + F.col("upto"))
+              .filter((F.col("t.rank") < F.col("end")) & (F.col("t.rank") >= F.col("end") - F.col("n"))))
     return (ranked.groupBy(F.col("t.p").alias("p"), F.col("t.at").alias("at"))
             .agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
             .select("p", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))).alias("value")))
@@ -123,16 +121,22 @@ def numeric_summary(df: DataFrame, column: str) -> DataFrame:
     return rows.unionByName(quartiles)
 
 
-def one_text(rows: DataFrame, order: str, texts: Mapping[str, tuple[Column, str]]) -> DataFrame:
-    """One row; each of ``texts`` is ``(entry, separator)`` joined over all rows.
+#: So many groups are listed in a text, far more than a report line shows; ``group_values`` has any number in rows.
+LISTED = 100_000
+
+
+def one_text(rows: DataFrame, order: str, texts: Mapping[str, tuple[Column, str]], most: int = LISTED) -> DataFrame:
+    """One row; each of ``texts`` is ``(entry, separator)`` joined over the first ``most`` rows, then ``...`` for others.
 
     For lists that a report prints, one entry per group. ``group_values`` has
     the same in rows, for any number of groups.
     """
     names = list(texts)
     chosen = rows.select(F.col(order).alias("__order"), *[texts[n][0].alias(n) for n in names])
-    entries = chosen.agg(F.sort_array(F.collect_list(F.struct("__order", *names))).alias("l"))
-    return entries.select([F.concat_ws(texts[n][1], F.col("l")[n]).alias(n) for n in names])
+    first = chosen.orderBy("__order", *names).limit(most + 1)
+    entries = first.agg(F.sort_array(F.collect_list(F.struct("__order", *names))).alias("l"))
+    more = F.when(F.size("l") > most, F.array(F.lit("..."))).otherwise(F.array().cast("array<string>"))
+    return entries.select([F.concat_ws(texts[n][1], F.slice(F.col("l")[n], 1, most), more).alias(n) for n in names])
 
 
 def group_values(df: DataFrame, group: str, values: Mapping[str, Column]) -> DataFrame:
@@ -142,6 +146,12 @@ def group_values(df: DataFrame, group: str, values: Mapping[str, Column]) -> Dat
     return totals.unpivot(["group"], list(values), "name", "value").select("name", "group", "value")
 
 
+def top_texts(tops: DataFrame, group: str, top: str, name: str) -> DataFrame:
+    """One row with the largest value of each group, ``a: 1.00 | b: 2.00``; ``tops`` has a row per group."""
+    shown = F.concat(F.col(quoted(group)).cast("string"), F.lit(": "), F.coalesce(F.format_number(quoted(top), 2), F.lit("nan")))
+    return one_text(tops, quoted(group), {name: (shown, " | ")})
+
+
 def group_texts(df: DataFrame, group: str, value: str, groups_name: str = "groups",
                 tops_name: str = "tops") -> DataFrame:
     """One row with two texts from one grouping: the groups, ``a, b``, and the

@@ -1,9 +1,12 @@
 """Data-quality suites that read a table a fixed number of times, whatever the number of row checks.
 
 All row checks, row counts and statistics of a suite become one aggregate
-without a shuffle of rows. A key check and a balance check each add one grouping
-of their own columns. Nothing is pulled to the driver: the outcome is a
-DataFrame of rows ``(suite, kind, seq, name, success, unexpected_count, detail)``.
+without a shuffle of rows. Key checks, balance checks and lists of groups share
+one grouping: each row stands once for each set of keys (grouping sets), the
+copies are combined on the map side, and one shuffle serves all of them. The
+groups are stored as rows, for any number of them; report texts list the first.
+Nothing is pulled to the driver: the outcome is a DataFrame of rows
+``(suite, kind, seq, name, success, unexpected_count, detail)``.
 """
 
 from __future__ import annotations
@@ -19,8 +22,9 @@ from pyspark.sql import functions as F
 from lakeweave.functions.predicates import outside
 from lakeweave.functions.scalars import is_missing, nan_to_null
 from lakeweave.functions.text import percent, thousands, truncated
-from lakeweave.operators import dedupe
+from lakeweave.operators import aggregates
 from lakeweave.operators.shape import quoted
+from lakeweave.session import stored
 
 EXAMPLES = 5
 
@@ -74,15 +78,18 @@ class Stat:
 
 
 @dataclass(frozen=True)
-class TextStat:
-    """Statistics that need a grouping of their own. ``build`` gives one row with
-    a text column per name."""
+class GroupStat:
+    """A list of groups: ``a, b``, or with a ``value`` the largest of each, ``a: 1.00 | b: 2.00``."""
 
-    names: tuple[str, ...]
-    columns: tuple[str, ...]
-    build: Callable[[DataFrame], DataFrame]
+    name: str
+    group: str
+    value: str | None = None
     otherwise: str = "N/A"
 
+    @property
+    def columns(self) -> tuple[str, ...]:
+        return (self.group,) if self.value is None else (self.group, self.value)
+
 
 TOTAL_NULLS = "Total Null Values"
 
@@ -138,9 +145,10 @@ class Suite:
         place = len(self.stats) if self.nulls_place is None else self.nulls_place
         stats = [(len(checks) + i + (i >= place), stat) for i, stat in enumerate(self.stats)]
         branches = [self._single_pass(df, checks, stats, len(checks) + place)]
-        branches += [self._unique(df, seq, c) for seq, c in checks if isinstance(c, UniqueCheck)]
-        branches += [self._balance(df, seq, c) for seq, c in checks if isinstance(c, BalanceCheck)]
-        branches += [self._text(df, seq, s) for seq, s in stats if isinstance(s, TextStat)]
+        groups = self.groups(df)
+        branches += [self._unique(groups[c.keys], seq, c) for seq, c in checks if isinstance(c, UniqueCheck)]
+        branches += [self._balance(groups[c.group,], seq, c) for seq, c in checks if isinstance(c, BalanceCheck)]
+        branches += [self._listed(groups.get((s.group,)), df, seq, s) for seq, s in stats if isinstance(s, GroupStat)]
         rows = reduce(DataFrame.unionByName, branches)
         sampled = [(seq, c) for seq, c in checks if isinstance(c, RowCheck) and c.with_examples]
         if sampled:
@@ -182,32 +190,56 @@ class Suite:
         lines.append(_stat_line(nulls_seq, self.total_nulls, thousands(nulls)))
         return df.agg(*parts).select(F.inline(F.array(*lines)))
 
-    def _unique(self, df: DataFrame, seq: int, check: UniqueCheck) -> DataFrame:
+    def groups(self, df: DataFrame) -> dict[tuple[str, ...], DataFrame]:
+        """For each set of keys that a check or a list needs: its groups, in rows, with the count ``__n`` and, where a
+        list shows the largest of a column, ``__top_<column>``. One job makes all of them; nulls are groups too."""
+        names = set(df.columns)
+        stats = [s for s in self.stats if isinstance(s, GroupStat) and set(s.columns) <= names]
+        grouped = [c for c in self.checks_for(df) if isinstance(c, (UniqueCheck, BalanceCheck))]
+        sets = list(dict.fromkeys([*[c.keys if isinstance(c, UniqueCheck) else (c.group,) for c in grouped], *[(s.group,) for s in stats]]))
+        if not sets:
+            return {}
+        columns = list(dict.fromkeys(k for keys in sets for k in keys))
+        values = list(dict.fromkeys(s.value for s in stats if s.value is not None))
+        # Keys and values are copied to names of their own: a column may be both.
+        narrow = df.select(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(columns)],
+                           *[F.col(quoted(v)).alias(f"v{i}") for i, v in enumerate(values)])
+        own = [f"k{i}" for i in range(len(columns))]
+        counted = narrow.groupingSets([[own[columns.index(k)] for k in keys] for keys in sets], *own).agg(
+            F.grouping_id().alias("set"), F.count(F.lit(1)).alias("__n"), *[F.max(f"v{i}").alias(f"top{i}") for i in range(len(values))])
+        kept = stored(counted, "groups")
+        # A bit for each key that a set lacks, the first key the highest.
+        number = {keys: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys) for keys in sets}
+        return {keys: kept.filter(F.col("set") == number[keys]).select(
+            *[F.col(own[columns.index(k)]).alias(k) for k in keys], "__n",
+            *[F.col(f"top{i}").alias(f"__top_{v}") for i, v in enumerate(values)]) for keys in sets}
+
+    def _unique(self, groups: DataFrame, seq: int, check: UniqueCheck) -> DataFrame:
         count = F.col("duplicates")
         line = _check_line(seq, check.name, count == 0, count, _filled(check.detail, n=count.cast("string")))
-        return dedupe.duplicate_rows(df.select(*check.keys), list(check.keys)).select(F.inline(F.array(line)))
-
-    def _balance(self, df: DataFrame, seq: int, check: BalanceCheck) -> DataFrame:
-        sizes = dedupe.key_counts(df.filter(F.col(check.group).isNotNull()), [check.group], "n")
-        listed = (sizes.agg(F.sort_array(F.collect_list(F.struct(F.col(check.group).cast("string").alias("g"), "n"))).alias("l")))
-        entry = lambda e: F.concat(F.lit("'"), e["g"], F.lit("': "), e["n"].cast("string"))
-        text = F.concat(F.lit("{"), F.concat_ws(", ", F.transform("l", entry)), F.lit("}"))
-        spread = sizes.agg(F.coalesce(F.max("n") - F.min("n"), F.lit(0)).alias("spread"),
-                           F.count(F.lit(1)).alias("groups"))
-        both = spread.withColumn("l", listed.scalar())
+        beyond = groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicates"))
+        return beyond.select(F.inline(F.array(line)))
+
+    def _balance(self, groups: DataFrame, seq: int, check: BalanceCheck) -> DataFrame:
+        sizes = groups.filter(F.col(quoted(check.group)).isNotNull()).select(F.col(quoted(check.group)).cast("string").alias("g"), "__n")
+        entry = F.concat(F.lit("'"), F.col("g"), F.lit("': "), F.col("__n").cast("string"))
+        listed = aggregates.one_text(sizes, "g", {"text": (entry, ", ")}).scalar()
+        spread = sizes.agg(F.coalesce(F.max("__n") - F.min("__n"), F.lit(0)).alias("spread")).withColumn("l", listed)
+        text = F.concat(F.lit("{"), F.col("l"), F.lit("}"))
         line = _check_line(seq, check.name, F.col("spread") <= check.tolerance, F.col("spread"),
                            _filled(check.detail, n=F.col("spread").cast("string"), counts=text))
-        return both.select(F.inline(F.array(line)))
-
-    def _text(self, df: DataFrame, seq: int, stat: TextStat) -> DataFrame:
-        if set(stat.columns) <= set(df.columns):
-            built = stat.build(df)
-            values = [F.col(quoted(c)) for c in built.columns]
+        return spread.select(F.inline(F.array(line)))
+
+    def _listed(self, groups: DataFrame | None, df: DataFrame, seq: int, stat: GroupStat) -> DataFrame:
+        if groups is None or not set(stat.columns) <= set(df.columns):
+            return df.limit(0).agg(F.count(F.lit(1))).select(F.inline(F.array(_stat_line(seq, stat.name, F.lit(stat.otherwise)))))
+        group = F.col(quoted(stat.group))
+        known = groups.filter(group.isNotNull())
+        if stat.value is None:
+            text = aggregates.one_text(known, quoted(stat.group), {"text": (group.cast("string"), ", ")})
         else:
-            built = df.limit(0).agg(F.count(F.lit(1)).alias("n"))
-            values = [F.lit(stat.otherwise)] * len(stat.names)
-        lines = [_stat_line(seq, name, value) for name, value in zip(stat.names, values)]
-        return built.select(F.inline(F.array(*lines)))
+            text = aggregates.top_texts(known, stat.group, f"__top_{stat.value}", "text")
+        return text.select(F.inline(F.array(_stat_line(seq, stat.name, F.col("text")))))
 
     def _with_examples(self, rows: DataFrame, df: DataFrame, sampled: list) -> DataFrame:
         """Up to five distinct offending values per check, smallest first.
@@ -287,7 +319,7 @@ def report(rows: DataFrame, max_failures: int = 15, max_len: int = 900) -> DataF
                         label.alias("name"), value.cast("string").alias("value"))
 
     more = F.concat(F.lit("And "), (F.col("failed") - max_failures).cast("string"),
-                    F.lit(" more column validation checks failed."))
+                    F.lit(" more column validation checks failed. Please check notebook console logs for details."))
     lines = F.array(
         F.when(F.col("first"), line("summary", 0, "Total Checks", F.col("total"))),
         F.when(F.col("first"), line("summary", 1, "Passed", passed)),

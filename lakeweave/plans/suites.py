@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from lakeweave.functions.scalars import nan_to_null
 from lakeweave.functions.text import currency, span, thousands, with_unit
-from lakeweave.operators import aggregates
 from lakeweave.operators.checks import (
-    BalanceCheck, RowCountCheck, Stat, Suite, TextStat, UniqueCheck, between, dates_between, not_null,
+    BalanceCheck, GroupStat, RowCountCheck, Stat, Suite, UniqueCheck, between, dates_between, not_null,
 )
 
 RATE_BOUNDS = (0.2, 3.0)
@@ -78,10 +77,8 @@ def air_suite() -> Suite:
         stats=(
             _records("Total Readings"),
             _distinct("Unique Localities", "locality"),
-            TextStat(("Parameters Checked",), ("parameter_name",),
-                     lambda df: aggregates.distinct_text(df, "parameter_name")),
-            TextStat(("Max Value by Parameter",), ("parameter_name", "value"),
-                     lambda df: aggregates.group_texts(df, "parameter_name", "value").select("tops")),
+            GroupStat("Parameters Checked", "parameter_name"),
+            GroupStat("Max Value by Parameter", "parameter_name", "value"),
             _days("date"),
         ),
         nulls_place=4,

@@ -5,8 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import SparkSession
-
+from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1024 ** 2
 
@@ -74,6 +73,13 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows, written to the scratch folder and read back: evaluated once, with a short lineage."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove what the session has stored below its scratch root, and the tables there."""
     root = scratch_root(spark)

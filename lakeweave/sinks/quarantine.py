@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeweave.operators.shape import quoted, retype
+from lakeweave.session import stored
 from lakeweave.sinks.tables import save_table
 
 
@@ -31,7 +32,8 @@ def split(df: DataFrame, types: Mapping[str, str], keys: Sequence[str]) -> tuple
 
 
 def save_errors(bad: DataFrame, table: str, path: str | None = None) -> bool:
-    """Write ``<table>_errors`` if there is any bad record."""
+    """Write ``<table>_errors`` if there is any bad record. The records are worked out once and stored."""
+    bad = stored(bad, "errors")
     if bad.isEmpty():
         return False
     save_table(bad, f"{table}_errors", path=path)

@@ -1,7 +1,8 @@
 """High-water-mark sync, as polled chunks or as a stream.
 
 Both forms load through ``new_rows``, so a repeated or restarted load adds
-nothing twice.
+nothing twice. A stream's sink has a list of commits, so that several streams
+may run into it at once; a table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeweave.functions.predicates import open_closed
-from lakeweave.functions.scalars import utc_day
 from lakeweave.operators.shape import project
-from lakeweave.session import scratch_dir
-from lakeweave.sinks.tables import balanced, ensure_folder, insert_ignore, new_rows
+from lakeweave.session import stored
+from lakeweave.sinks.ledger import Ledger
+from lakeweave.sinks.tables import insert_ignore
 from lakeweave.sources.tables import high_watermark, latest_day
 
 # Where the sync starts, how far a chunk reaches, and the names
@@ -129,41 +130,84 @@ def sync_once(source: DataFrame, table: str, keys: Sequence[str], time: str,
             break
     else:
         return False
-    folder = scratch_dir(source.sparkSession, "chunk")
-    chunk = prepare(_between(source, time, low, constant(row.high), year))
-    chunk.write.parquet(folder)
-    insert_ignore(source.sparkSession.read.schema(chunk.schema).parquet(folder), table, keys, target)
+    chunk = stored(prepare(_between(source, time, low, constant(row.high), year)), "chunk")
+    insert_ignore(chunk, table, keys, target)
     return True
 
 
-def sync_all(source: DataFrame, table: str, keys: Sequence[str], time: str, **options) -> int:
-    """Chunks until there is nothing left. Returns the number of chunks."""
-    chunks = 0
-    while sync_once(source, table, keys, time, **options):
-        chunks += 1
-        source.sparkSession.catalog.refreshTable(table)
-    return chunks
+def chunk_bounds(source: DataFrame, sink: DataFrame, time: str, sink_time: str | None = None, span: str = SPAN,
+                 default: str = DEFAULT_START, year: str | None = None) -> DataFrame:
+    """All chunks that a sync will load, as rows ``(chunk, low, high)``, from one pass over the source.
 
+    A chunk holds the times after ``low`` up to ``high``: ``span`` from the last time of the chunk before, or further
+    over a gap. The source is reduced to the first and last time of each of its hours, and chunks are cut at these: an
+    hour goes to one chunk whole. One row per hour is gathered, some nine thousand for each year that is left to load.
+    """
+    low = _low(source, sink, time, sink_time, default)
+    later = source.filter(F.col(time) > low)
+    if year is not None:
+        later = later.filter(F.col(year) >= _year(low, -1))
+    hours = later.groupBy(F.date_trunc("hour", time).alias("hour")).agg(F.min(time).alias("first"), F.max(time).alias("last"))
+    bound = F.struct(F.col("low"), F.col("low").alias("high"))
+    kind = source.schema[time].dataType
+    start = F.struct(F.col("low").alias("top"), F.lit(None).cast(kind).alias("high"),
+                     F.filter(F.array(bound), lambda b: F.lit(False)).alias("done"))
+
+    def cut(made: Column, hour: Column) -> Column:
+        end = F.greatest(made["top"] + F.expr(f"interval {span}"), hour["last"])
+        opened = F.concat(made["done"], F.array(F.struct(made["top"].alias("low"), end.alias("high"))))
+        inside = F.coalesce(hour["last"] <= made["high"], F.lit(False))
+        return F.struct(hour["last"].alias("top"), F.when(inside, made["high"]).otherwise(end).alias("high"),
+                        F.when(inside, made["done"]).otherwise(opened).alias("done"))
+
+    listed = hours.agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("hours"))
+    folded = listed.withColumn("low", low).select(F.aggregate("hours", start, cut)["done"].alias("done"))
+    return folded.select(F.posexplode("done").alias("chunk", "bound")).select("chunk", "bound.low", "bound.high")
+
+
+def sync_all(source: DataFrame, table: str, keys: Sequence[str], time: str,
+             prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+             sink_time: str | None = None, span: str = SPAN, default: str = DEFAULT_START,
+             year: str | None = None, chunks_per_load: int | None = None) -> int:
+    """Load all chunks. Returns their number.
+
+    The bounds of all chunks come first, from one pass; what lies between them is loaded by one job, or in steps of
+    ``chunks_per_load`` chunks, each of which is complete before the next begins. A key has one time, so that it makes
+    no difference to the rows how many chunks a load has.
+    """
+    spark = source.sparkSession
+    sink = latest_day(spark, table)
+    bounds = stored(chunk_bounds(source, sink, time, sink_time, span, default, year), "bounds")
+    instant = isinstance(source.schema[time].dataType, T.TimestampType)
+
+    def carried(column: Column) -> Column:
+        return F.unix_micros(column) if instant else column.cast("string")
+
+    def constant(value) -> Column:
+        return F.timestamp_micros(F.lit(value)) if instant else F.lit(value).cast("timestamp_ntz")
 
-LOADS = T.StructType([T.StructField("day", T.DateType()), T.StructField("load_id", T.StringType())])
+    load = F.expr(f"chunk div {chunks_per_load}") if chunks_per_load else F.lit(0)
+    loads = bounds.groupBy(load.alias("load")).agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("chunks"))
+    steps = loads.select("load", carried(F.col("low")).alias("low"), carried(F.col("high")).alias("high"), "chunks").orderBy("load").collect()
+    for step in steps:
+        part = stored(prepare(_between(source, time, constant(step.low), constant(step.high), year)), "chunk")
+        insert_ignore(part, table, keys, sink_time or time)
+        spark.catalog.refreshTable(table)
+    return sum(step.chunks for step in steps)
 
 
 def load_batch(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], time: str, query: str) -> None:
-    """Write the new rows of one micro-batch to folders of its own, by day and load.
+    """Add the new rows of one micro-batch to a sink that other streams may write to at the same time.
 
     A load is a query and a batch of it. A batch that is run again after a
-    failure replaces its own folders, so rows with a null key, which never
-    conflict, are not doubled either. Another query, or one that starts anew
-    with another checkpoint, counts its batches from 0 too and adds folders.
+    failure is listed already or was never seen, so rows with a null key, which
+    never conflict, are not doubled either. Another query, or one that starts
+    anew with another checkpoint, counts its batches from 0 too and adds loads.
     """
-    own = f"{query}-{batch_id}"
-    layout = T.StructType([*batch.schema, *LOADS])
-    earlier = (batch.sparkSession.read.schema(layout).parquet(path)
-               .filter(F.col("load_id") != own))
-    stored = utc_day(F.col(time), batch.schema[time].dataType)
-    fresh = new_rows(batch, earlier, keys, time, "day").withColumns({"day": stored, "load_id": F.lit(own)})
-    (balanced(fresh, ["day"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("day", "load_id").parquet(path))
+    load = f"{query}-{batch_id}"
+    sink = Ledger(batch.sparkSession, path, batch.schema)
+    if not any(load in c.loads for c in sink.commits()):
+        sink.insert(stored(batch, "batch"), load, keys, time)
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
@@ -173,9 +217,8 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 
 def start_sync(stream: DataFrame, path: str, keys: Sequence[str], time: str, checkpoint: str,
                name: str | None = None) -> StreamingQuery:
-    """Stream into a Parquet folder until all available input is loaded."""
-    spark = stream.sparkSession
-    ensure_folder(spark, path, T.StructType([*stream.schema, *LOADS]), ["day", "load_id"])
+    """Stream into a sink with commits until all available input is loaded."""
+    Ledger(stream.sparkSession, path, stream.schema)
     writer = (stream.writeStream
               .foreachBatch(lambda batch, batch_id: load_batch(
                   batch, batch_id, path, keys, time, query_id(batch.sparkSession, checkpoint)))
@@ -185,16 +228,13 @@ def start_sync(stream: DataFrame, path: str, keys: Sequence[str], time: str, che
 
 
 def read_synced(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The rows a stream has loaded, without the layout columns."""
-    layout = T.StructType([*schema, *LOADS])
-    return spark.read.schema(layout).parquet(path).select([f.name for f in schema])
+    """The rows that streams have loaded and committed."""
+    return Ledger(spark, path, schema).rows()
 
 
 def compact_synced(spark: SparkSession, path: str, target: str, schema: T.StructType) -> None:
-    """Write the loads of each day as one to a new folder, as a load of its own; streams may go on there."""
-    layout = T.StructType([*schema, *LOADS])
-    whole = spark.read.schema(layout).parquet(path).withColumn("load_id", F.lit("compacted"))
-    balanced(whole, ["day"]).write.partitionBy("day", "load_id").parquet(target)
+    """Write all loads as one to a new sink; streams may go on there, without a batch twice."""
+    Ledger(spark, path, schema).compact(target)
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType,

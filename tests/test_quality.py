@@ -1,10 +1,11 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from lakeweave import contracts
-from lakeweave.operators import checks
+from lakeweave.operators import aggregates, checks
 from lakeweave.plans import suites
 
 AT = dt.datetime(2023, 5, 6, 13)
@@ -145,7 +146,48 @@ def test_report_limits_failures(spark):
     lines = checks.report(suite.evaluate(df)).orderBy("section", "position").collect()
     failures = [r for r in lines if r.section == "failure"]
     assert len(failures) == 16 and failures[-1]["name"] == "Overflow Alert"
-    assert failures[-1].value == "And 5 more column validation checks failed."
+    assert failures[-1].value == "And 5 more column validation checks failed. Please check notebook console logs for details."
     assert failures[0].value == "x" * 900 + "... [Truncated]"
     summary = {r["name"]: r.value for r in lines if r.section == "summary"}
     assert summary == {"Total Checks": "20", "Passed": "0", "Failed": "20", "Success Rate": "0.0%"}
+
+
+def test_one_grouping_serves_all_group_checks(spark, tmp_path):
+    """A key check, a balance check and two lists; nulls, and a key that is a value too."""
+    rows = [(1, "a", 2.0), (1, "a", 3.0), (2, "b", None), (None, "b", 1.0), (None, "b", 1.5), (3, None, 9.0), (1, None, 0.5)]
+    spark.createDataFrame(rows, "t int, g string, v double").write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    suite = checks.Suite("s", checks=(
+        checks.UniqueCheck("keys", ("t", "g"), "{n} twice"), checks.UniqueCheck("times", ("t",), "{n} twice"),
+        checks.BalanceCheck("balance", "g", 0, "{n}: {counts}"), checks.UniqueCheck("absent", ("x",), "")), stats=(
+        checks.GroupStat("groups", "g"), checks.GroupStat("tops", "g", "v"), checks.GroupStat("own", "v", "v"), checks.GroupStat("none", "x")))
+    got = {r["name"]: (r["success"], r["unexpected_count"], r["detail"]) for r in suite.evaluate(df).collect()}
+    assert got["keys"] == (False, 2, "2 twice") and got["times"] == (False, 3, "3 twice") and "absent" not in got
+    assert got["balance"] == (False, 1, "1: {'a': 2, 'b': 3}")
+    assert got["groups"][2] == "a, b" and got["tops"][2] == "a: 3.00 | b: 1.50" and got["none"][2] == "N/A"
+    assert got["own"][2].startswith("0.5: 0.50 | 1.0: 1.00")
+    groups = suite.groups(df)
+    assert {k: g.count() for k, g in groups.items()} == {("t", "g"): 5, ("t",): 4, ("g",): 3, ("v",): 7}
+    assert suite.evaluate(df.limit(0)).filter("name = 'balance'").first()["success"]
+
+
+def test_a_million_groups_need_no_long_list(spark):
+    df = spark.range(1_000_000).select(F.col("id").alias("g"), (F.col("id") % 3).cast("double").alias("v"))
+    suite = checks.Suite("s", checks=(checks.BalanceCheck("balance", "g", 0, "{counts}"), checks.UniqueCheck("keys", ("g",), "")),
+                         stats=(checks.GroupStat("tops", "g", "v"),))
+    got = {r["name"]: r["detail"] for r in suite.evaluate(df).collect()}
+    assert got["balance"] is None and got["tops"].count(" | ") == aggregates.LISTED and got["tops"].endswith("...")
+    assert suite.groups(df)["g",].count() == 1_000_000
+    text = df._sc._jvm.PythonSQLUtils.explainString(suite.evaluate(df)._jdf.queryExecution(), "formatted")
+    assert "TakeOrderedAndProject" in text or "Limit" in text
+
+
+def test_weather_groupings_take_one_exchange(spark, tmp_path):
+    from lakeweave import contracts
+    from lakeweave.plans import suites
+    spark.createDataFrame([], contracts.SILVER_WEATHER).write.parquet(str(tmp_path / "w"))
+    df = spark.read.parquet(str(tmp_path / "w"))
+    text = df._sc._jvm.PythonSQLUtils.explainString(suites.weather_suite().evaluate(df)._jdf.queryExecution(), "formatted")
+    # The rows themselves are read once more, for the row checks; the groups come from the stored grouping.
+    assert len(set(re.findall(r"Location: InMemoryFileIndex \[([^\]]+/w)\]", text))) == 1
+    assert len(re.findall(r"\) Scan parquet.*\nOutput.*\n.*\n.*Location: InMemoryFileIndex \[[^\]]+/w\]", text)) <= 1

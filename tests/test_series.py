@@ -91,9 +91,34 @@ def test_percentiles_of_a_skewed_column(spark):
     assert [got[0.25], got[0.5], got[0.75]] == pytest.approx(expected)
 
 
+def test_a_slice_of_the_values_spans_many_tasks(spark):
+    """What was one task's slice, a part in 128 of the values, is several ranges now, and the plan sorts few of them."""
+    df = spark.range(60_000).select((F.hash("id") / 7.0).alias("v"))
+    settings = {"spark.sql.shuffle.partitions": "512", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        held = sorted(r["count"] for r in aggregates.value_ranges(df, "v").groupBy("range").count().collect())
+        assert len(held) > 450 and held[-1] < 60_000 / 128 / 2
+        got = {r.p: r.value for r in aggregates.percentiles(df, "v", [0.0, 0.25, 0.5, 0.75, 1.0]).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    expected = df.select(F.percentile("v", F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)]))).first()[0]
+    assert [got[p] for p in (0.0, 0.25, 0.5, 0.75, 1.0)] == pytest.approx(expected)
+
+
 def test_text_lists_and_rows_hold_every_group(spark):
     rows = spark.range(12_000).select(F.col("id").cast("string").alias("g"), F.col("id").alias("v"))
     text = aggregates.one_text(rows, "g", {"t": (F.col("g"), ",")})
     assert len(text.first()[0].split(",")) == 12_000
     values = aggregates.group_values(rows, "g", {"top": F.max("v"), "n": F.count("v")})
     assert values.count() == 24_000 and values.filter("name = 'top' AND value = `group`").count() == 12_000
+
+
+def test_a_text_says_that_there_are_more(spark):
+    rows = spark.range(12_000).select(F.format_string("%05d", "id").alias("g"))
+    text = lambda df: aggregates.one_text(df, "g", {"t": (F.col("g"), ",")}, most=1000).first()[0].split(",")
+    assert text(rows) == [f"{i:05d}" for i in range(1000)] + ["..."]
+    assert text(rows.filter("g < '01000'"))[-1] == "00999" and text(rows.limit(0)) == [""]

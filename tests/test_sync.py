@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeweave import contracts
-from lakeweave.sinks import export, quarantine, tables
+from lakeweave.sinks import export, ledger, quarantine, tables
 from lakeweave.streaming import sync
 
 T0 = dt.datetime(2023, 1, 1)
@@ -128,7 +128,6 @@ def test_stream_restarts_and_equals_batch(spark, rows, tmp_path):
 
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     path = str(tmp_path / "sink")
-    tables.ensure_folder(spark, path, type(sync.LOADS)([*contracts.WEATHER_METRICS, *sync.LOADS]), ["day", "load_id"])
     batch = metrics(spark, reading(1), reading(2, None))
     for _ in range(2):
         sync.load_batch(batch, 0, path, KEYS, "time", "a")
@@ -194,3 +193,145 @@ def test_partitioned_table_is_replaced(spark):
     assert sorted(r.id for r in spark.table(name).collect()) == [10, 11, 12, 13]
     tables.save_gold(spark.createDataFrame([(2020, 5.0)], "YearKey int, GDP_Value double"), f"{name}_g", contracts.DIM_GDP)
     assert [f.dataType for f in spark.table(f"{name}_g").schema] == [f.dataType for f in contracts.DIM_GDP]
+
+
+# Several writers -----------------------------------------------------------------
+
+
+def loaded(spark, path):
+    return sorted((r.time, r.zone or "") for r in sync.read_synced(spark, path, contracts.WEATHER_METRICS).collect())
+
+
+def test_a_writer_that_is_overtaken_looks_again(spark, tmp_path, monkeypatch):
+    """Another load commits after this one has looked for its keys and before it commits."""
+    path, real, overtaken = str(tmp_path / "sink"), ledger.Ledger.commit, []
+    first = metrics(spark, reading(1), reading(2), reading(3, None))
+    other = metrics(spark, reading(2, temp=9.0), reading(4), reading(3, None))
+
+    def commit(self, version, folder, loads):
+        if not overtaken:
+            overtaken.append(True)
+            sync.load_batch(other, 0, path, KEYS, "time", "b")
+        return real(self, version, folder, loads)
+
+    monkeypatch.setattr(ledger.Ledger, "commit", commit)
+    sync.load_batch(first, 0, path, KEYS, "time", "a")
+    assert loaded(spark, path) == sorted((T0 + dt.timedelta(hours=h), z) for h, z in [(1, "A"), (2, "A"), (4, "A"), (3, ""), (3, "")])
+    sink = ledger.Ledger(spark, path, contracts.WEATHER_METRICS)
+    assert [c.loads for c in sink.commits()] == [("b-0",), ("a-0",)]
+    assert sink.sweep() == 1 and len(loaded(spark, path)) == 5 and sink.sweep() == 0
+    for _ in range(2):  # both are listed
+        sync.load_batch(first, 0, path, KEYS, "time", "a")
+        sync.load_batch(other, 0, path, KEYS, "time", "b")
+    assert len(sink.commits()) == 2
+
+
+def test_writers_at_once_give_each_key_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    path = str(tmp_path / "sink")
+    loads = [metrics(spark, *[reading(h, temp=float(n)) for h in range(n, n + 30)]) for n in range(5)]
+    with ThreadPoolExecutor(5) as pool:
+        list(pool.map(lambda n: sync.load_batch(loads[n], 0, path, KEYS, "time", f"w{n}"), range(5)))
+    assert loaded(spark, path) == [(T0 + dt.timedelta(hours=h), "A") for h in range(34)]
+    assert [c.version for c in ledger.Ledger(spark, path, contracts.WEATHER_METRICS).commits()] == list(range(5))
+
+
+def test_a_load_that_dies_does_not_show(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "sink")
+    sync.load_batch(metrics(spark, reading(1)), 0, path, KEYS, "time", "a")
+    monkeypatch.setattr(ledger.Ledger, "commit", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        sync.load_batch(metrics(spark, reading(2)), 1, path, KEYS, "time", "a")
+    monkeypatch.undo()
+    assert len(loaded(spark, path)) == 1
+    sync.load_batch(metrics(spark, reading(2)), 1, path, KEYS, "time", "a")
+    assert len(loaded(spark, path)) == 2
+
+
+def test_two_streams_at_once(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in range(3):
+        metrics(spark, *[reading(h) for h in range(part * 10, part * 10 + 15)]).coalesce(1).write.mode("append").parquet(source)
+    for _ in range(2):  # started again, they add nothing
+        running = [sync.start_sync(sync.file_stream(spark, source, contracts.WEATHER_METRICS, files_per_batch=1), target, KEYS, "time",
+                                   str(tmp_path / f"state{n}")) for n in range(2)]
+        for query in running:
+            query.awaitTermination()
+        assert loaded(spark, target) == [(T0 + dt.timedelta(hours=h), "A") for h in range(35)]
+    whole = str(tmp_path / "whole")
+    sync.compact_synced(spark, target, whole, contracts.WEATHER_METRICS)
+    known = ledger.Ledger(spark, target, contracts.WEATHER_METRICS).commits()
+    merged = ledger.Ledger(spark, whole, contracts.WEATHER_METRICS).commits()
+    assert loaded(spark, whole) == loaded(spark, target)
+    assert [set(c.loads) for c in merged] == [{load for c in known for load in c.loads}]
+    with pytest.raises(ValueError):
+        sync.compact_synced(spark, target, whole, contracts.WEATHER_METRICS)
+
+
+def test_a_file_is_created_once(spark, tmp_path):
+    path = f"{tmp_path}/list/1.json"
+    assert ledger.create_new(spark, path, "a") and not ledger.create_new(spark, path, "b")
+    assert open(path).read() == "a" and [p.name for p in (tmp_path / "list").iterdir() if not p.name.endswith(".crc")] == ["1.json"]
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    (tmp_path / "list" / "2").write_text("c")
+    (tmp_path / "list" / "3").write_text("d")
+    at = lambda n: hadoop(f"file://{tmp_path}/list/{n}")
+    ledger.move_new(spark, at(2), at(4))
+    with pytest.raises(FileExistsError):
+        ledger.move_new(spark, at(3), at(4))
+
+
+# All chunks at once ---------------------------------------------------------------
+
+
+def greedy(times, low, span):
+    """Chunks one after another, as ``sync_once`` cuts them."""
+    out, times = [], sorted(times)
+    while times:
+        high = max(low + span, times[0])
+        out.append((low, high))
+        own = [t for t in times if t <= high]
+        low, times = own[-1], times[len(own):]
+    return out
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_bounds_of_all_chunks(spark, kind):
+    import random
+    rng = random.Random(3)
+    hours = sorted({rng.randrange(24 * 40) for _ in range(300)} | {2000, 2001, 2050})
+    times = [T0 + dt.timedelta(hours=h) for h in hours]
+    source = spark.createDataFrame([(t,) for t in times], "time timestamp").select(F.col("time").cast(kind))
+    got = [(r.low.replace(tzinfo=None), r.high.replace(tzinfo=None)) for r in
+           sync.chunk_bounds(source, source.limit(0), "time").orderBy("chunk").collect()]
+    assert got == greedy(times, T0 - dt.timedelta(microseconds=1), dt.timedelta(hours=24))
+    assert sync.chunk_bounds(source, source, "time").count() == 0
+    assert sync.chunk_bounds(source.limit(0), source.limit(0), "time").count() == 0
+
+
+def test_rows_of_an_hour_stay_in_one_chunk(spark):
+    times = [T0 + dt.timedelta(minutes=m) for m in (0, 20, 50, 59, 60, 61, 119, 500, 505)]
+    source = spark.createDataFrame([(t,) for t in times], "time timestamp")
+    bounds = sync.chunk_bounds(source, source.limit(0), "time", span="30 minutes").orderBy("chunk").collect()
+    own = [[t for t in times if b.low < t <= b.high] for b in bounds]
+    assert [t for part in own for t in part] == times and [len(p) for p in own] == [4, 3, 2]
+
+
+@pytest.mark.parametrize("per_load", [None, 2])
+def test_chunks_in_steps_give_the_same_rows(spark, table, rows, per_load):
+    source = metrics(spark, *[reading(h, z, float(h)) for h in [*range(60), 120, 121] for z in ("A", None)])
+    assert sync.sync_all(source, table, KEYS, "time", default="2023-01-01 00:00:00", chunks_per_load=per_load) == 5
+    assert rows(spark.table(table).drop("day"), "time", "zone", "temp") == rows(source, "time", "zone", "temp")
+    assert sync.sync_all(source, table, KEYS, "time") == 0
+
+
+def test_a_thousand_chunks_take_few_jobs(spark, table):
+    source = spark.range(1000).select((F.lit(T0).cast("timestamp") + F.make_interval(hours=F.col("id").cast("int") * 2)).alias("time"),
+                                      F.lit("A").alias("zone"), *[F.lit(1.0).cast(f.dataType).alias(f.name) for f in contracts.WEATHER_METRICS[2:]])
+    spark.sparkContext.setJobGroup("chunks", "chunks")
+    try:
+        assert sync.sync_all(source, table, KEYS, "time", span="1 hour") == 1000
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("chunks")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) < 30 and spark.table(table).count() == 1000
