@@ -32,7 +32,7 @@ from lakeweave.llm.common import byte_values, named, sliced, with_columns
 from lakeweave.llm.wordblocks import WordBlocks
 
 #: Words and their ids, about 200 bytes each, that a worker process keeps.
-MOST_PIECES = 500_000
+MOST_PIECES = 400_000
 #: The pattern of the tokenizer file that ``Words`` knows.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 

@@ -48,9 +48,12 @@ GRAM = 24
 #: A byte that UTF-8 does not use.
 SEPARATOR = b"\xff"
 NO_ID = -(1 << 63)
-SLICE = 1 << 20
+#: Bytes of text whose windows are named at a time; a longer text is named in pieces that overlap by a window.
+SLICE = 1 << 19
 #: So many runs are told apart at once in a task; those of more text meet in the next step only.
-HELD_RUNS = 400_000
+HELD_RUNS = 200_000
+#: Bytes of runs that one index holds; names are dealt out to as many as it takes.
+INDEXED = 1 << 20
 INVERSE = np.uint64(pow(int(P), -1, 1 << 64))
 BYTES = np.random.default_rng(2).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 OTHER_BYTES = np.random.default_rng(3).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -262,12 +265,15 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
 
         for batch in sliced(batches, "text", SLICE):
             data, offsets = utf8(batch.column("text"))
-            start, count, names, content = runs(data, offsets, length, gram)
-            owner = np.searchsorted(offsets, start, "right") - 1
-            held.append([names, content, batch.column("doc").to_numpy()[owner], batch.column("tie").to_numpy()[owner],
-                         (start - offsets[owner]), count])
-            if sum(len(h[0]) for h in held) > HELD_RUNS:
-                yield from flush()
+            doc, tie = batch.column("doc").to_numpy(), batch.column("tie").to_numpy()
+            # A batch is one text, or many that are short together.
+            for shift in range(0, max(1, len(data)), SLICE) if len(doc) == 1 else [0]:
+                part = data[shift:shift + SLICE + length - 1] if len(doc) == 1 else data
+                start, count, names, content = runs(part, offsets if len(doc) > 1 else np.array([0, len(part)]), length, gram)
+                owner = np.searchsorted(offsets, start, "right") - 1 if len(doc) > 1 else np.zeros(len(start), np.int64)
+                held.append([names, content, doc[owner], tie[owner], start - offsets[owner] + shift, count])
+                if sum(len(h[0]) for h in held) > HELD_RUNS:
+                    yield from flush()
         yield from flush()
 
     def gather(table: pa.Table) -> pa.Table:
@@ -326,7 +332,20 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
 
     def index(table: pa.Table) -> pa.Table:
         rows = unpacked(table["rows"].to_pylist())
+        # All runs of a name are in one index.
+        parts = max(1, rows["bytes"].nbytes // INDEXED)
+        part = (rows["name"].to_numpy() // np.uint64(n)) % np.uint64(parts)
+        made = []
+        for own in range(parts):
+            made.append(indexed_spans(rows.filter(pa.array(part == own)) if parts > 1 else rows))
+            trim()
+        found = spans(*[np.concatenate([m[c] for m in made]) for c in ("doc", "tie", "start", "end")])
+        return pa.Table.from_batches([packets(block_of(found["tie"]), found, 1)])
+
+    def indexed_spans(rows: pa.Table) -> dict[str, np.ndarray]:
         doc, tie, start, count = [rows[c].to_numpy() for c in ("doc", "tie", "start", "count")]
+        if not len(doc):
+            return spans(doc, tie, start, start)
         order = np.lexsort((start, tie, doc))
         doc, tie, start, count = doc[order], tie[order], start[order], count[order]
         values = rows["bytes"].take(pa.array(order)).to_pylist()
@@ -337,9 +356,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
         again = np.flatnonzero(RunIndex(joined).repeated(place < count[owner], length))
         own = owner[again]
         at = start[own] + place[again]
-        found = spans(doc[own], tie[own], at, at + length)
-        trim()
-        return pa.Table.from_batches([packets(block_of(found["tie"]), found, 1)])
+        return spans(doc[own], tie[own], at, at + length)
 
     def texts_of(packs: pa.Table) -> dict[tuple[int, int], bytes]:
         out = {}

@@ -87,3 +87,29 @@ def test_awkward_rows(docs, cases, nothing):
         own = {(k[0], v[:3]) for result in results for k, v in result.items()}
         assert (r["doc_id"], (r["n_bytes"], r["n_removed"], r["n_spans"])) in own
     assert repeats.remove(nothing).collect() == []
+
+
+def test_one_long_text_is_named_in_pieces(spark, docs):
+    """A text of several pieces, with repeats inside it, across the borders of pieces, and in a second text cut elsewhere."""
+    rng = np.random.default_rng(12)
+    body = bytes(rng.integers(97, 123, 3 * repeats.SLICE + 12_345, dtype=np.uint8))
+    again = body[repeats.SLICE - 700:repeats.SLICE + 900]
+    texts = [body + b" " + again, b"intro " + body[5000:repeats.SLICE + 5000] + again[:99], b"none of it"]
+    df = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in repeats.remove(df, length=100).collect()}
+    tail = repeats.SLICE + 5000
+    assert got[0][:2] == (len(again), 1) and got[0][2] == body + b" "
+    assert got[1][1] == 1 and got[1][0] == repeats.SLICE and got[1][2] == b"intro " + again[:99]
+    assert got[2] == (0, 0, b"none of it") and tail > repeats.SLICE
+
+
+def test_an_index_in_parts_finds_the_same(spark, docs, monkeypatch):
+    rng = random.Random(9)
+    line = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = [line(300) for _ in range(6)]
+    rows = [(i, line(rng.randint(0, 80)) + rng.choice(shared)[rng.randint(0, 60):] + line(rng.randint(0, 80))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = lambda: sorted((r["doc_id"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in repeats.remove(df, length=100).collect())
+    whole = found()
+    monkeypatch.setattr(repeats, "INDEXED", 500)
+    assert found() == whole and sum(r[1] for r in whole)
