@@ -48,7 +48,9 @@ def byte_letters() -> dict[int, str]:
 
 
 class Words:
-    """Encodes single words. About ``MOST_PIECES`` words and pieces of words are remembered from call to call, then anew.
+    """Encodes single words; words and pieces of words are looked up again within a call of ``encode``.
+
+    With ``remember`` about ``MOST_PIECES`` of them are kept from call to call, then anew.
 
     Words of Latin letters and ASCII marks are cut by the file's own pattern and
     only their pieces go to the library's model. All others, and words that may
@@ -78,11 +80,12 @@ class Words:
         self.width = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.letters = [self.letters[b] for b in range(256)]
 
-    def encode(self, words: list[bytes]) -> list[bytes]:
+    def encode(self, words: list[bytes], remember: bool = False) -> list[bytes]:
         """Packed ids (``width`` each) of each word."""
-        if len(self.known) > MOST_PIECES:
-            self.known.clear()
-        known, model, width, letters = self.known, self.library.model, self.width, self.letters
+        if not remember or len(self.known) > MOST_PIECES:
+            self.known = {}
+        known = self.known if remember else {}
+        model, width, letters = self.library.model, self.width, self.letters
         found, rest = [b""] * len(words), []
         for i, raw in enumerate(words):
             word = raw.decode("utf-8", "replace")

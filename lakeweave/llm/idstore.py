@@ -188,7 +188,7 @@ def write_store(docs: DataFrame, folder: str, vocabulary: str, end_id: int, doc_
                 new.update(own)
             new.difference_update(known)
             fresh = list(new)
-            known.update(zip(fresh, words.encode(fresh)))
+            known.update(zip(fresh, words.encode(fresh, remember=True)))
             for key, own in zip(batch.column("key").to_pylist(), texts):
                 packed = b"".join([known[w] for w in own]) + end
                 keys.append(key)

@@ -51,7 +51,7 @@ NO_ID = -(1 << 63)
 #: Bytes of text whose windows are named at a time; a longer text is named in pieces that overlap by a window.
 SLICE = 1 << 19
 #: So many runs are told apart at once in a task; those of more text meet in the next step only.
-HELD_RUNS = 200_000
+HELD_RUNS = 120_000
 #: Bytes of runs that one index holds; names are dealt out to as many as it takes.
 INDEXED = 1 << 20
 INVERSE = np.uint64(pow(int(P), -1, 1 << 64))
