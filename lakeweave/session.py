@@ -69,7 +69,12 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """The root; on a cluster a warehouse on a local path is refused, as executors do not share it."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and base.startswith(("/", "file:")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; the warehouse is {base}")
     return f"{base.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
 
 

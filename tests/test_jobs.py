@@ -106,3 +106,22 @@ def test_sizing_grows_with_the_input():
     assert large["spark.sql.shuffle.partitions"] == "93133"
     assert sizing(100 * 10 ** 12, 4000, partition_bytes=10 ** 9)["spark.sql.shuffle.partitions"] == "25000"
     assert sizing(10 ** 9, 8, split_bytes=512)["spark.sql.files.maxPartitionBytes"] == "512b"
+
+
+def test_scratch_on_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from lakeweave.session import scratch_root
+
+    def made(master, **conf):
+        named = {k.replace("__", "."): v for k, v in conf.items()}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, default=None: named.get(k, default)),
+                               sparkContext=SimpleNamespace(master=master, applicationId="app"))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(made("spark://host:7077", spark__sql__warehouse__dir="file:/home/x/warehouse"))
+    assert scratch_root(made("spark://host:7077", spark__sql__warehouse__dir="hdfs://n/w")) == "hdfs://n/w/scratch-app"
+    assert scratch_root(made("yarn", spark__checkpoint__dir="file:///shared", spark__sql__warehouse__dir="/w")) == "file:///shared/scratch-app"
+    assert scratch_root(made("local[8]", spark__sql__warehouse__dir="/w")) == "/w/scratch-app"
