@@ -33,7 +33,8 @@ from lakeweave.llm.wordblocks import WordBlocks
 
 #: Words and their ids, about 200 bytes each, that a worker process keeps.
 MOST_PIECES = 400_000
-#: The pattern of the tokenizer file that ``Words`` knows.
+#: The normalizers and the pattern of the tokenizer file that ``Words`` knows.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -64,8 +65,10 @@ class Words:
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         pre = described.get("pre_tokenizer") or {}
-        first = (pre.get("pretokenizers") or [{}])[0]
-        if (described.get("post_processor") or described.get("decoder") or first.get("behavior") != "Removed"
+        first, *others = pre.get("pretokenizers") or [{}]
+        normal = [n.get("type") for n in (described.get("normalizer") or {}).get("normalizers") or []]
+        if (normal != NORMALIZERS or [(o.get("type"), o.get("use_regex"), o.get("add_prefix_space")) for o in others] != [("ByteLevel", False, False)]
+                or described.get("post_processor") or described.get("decoder") or first.get("behavior") != "Removed"
                 or not first.get("invert") or first.get("pattern") != {"Regex": SPLIT}):
             raise ValueError(f"{path}: not a tokenizer whose words can be encoded apart")
         self.library = Tokenizer.from_file(path)

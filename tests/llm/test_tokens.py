@@ -1,6 +1,7 @@
 """Operators 1 and 10: token ids, their text, and the store of ids."""
 
 import hashlib
+import json
 import zlib
 from collections import Counter
 
@@ -116,3 +117,21 @@ def test_digests_of_the_queries(spark, library):
         assert one[key]["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
         assert tuple(ten[key])[1:] == (at, len(ids) + 1, zlib.crc32(packed(ids + [2])))
         at += len(ids) + 1
+
+
+def test_files_of_another_kind_are_refused(tmp_path):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        described = json.load(file)
+
+    def refused(**changed):
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps({**described, **changed}), encoding="utf-8")
+        with pytest.raises(ValueError, match="encoded apart"):
+            bpe.Words(str(path))
+
+    normal, pre = described["normalizer"], described["pre_tokenizer"]
+    refused(normalizer={**normal, "normalizers": [n for n in normal["normalizers"] if n["type"] != "Lowercase"]})
+    refused(normalizer=None)
+    refused(pre_tokenizer={**pre, "pretokenizers": pre["pretokenizers"][:1]})
+    refused(pre_tokenizer={**pre, "pretokenizers": [pre["pretokenizers"][0], {**pre["pretokenizers"][1], "add_prefix_space": True}]})
+    assert bpe.Words(public_tokenizers.path("word_bpe_49k.json")).encode([b"word"])
