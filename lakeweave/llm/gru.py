@@ -59,13 +59,13 @@ class Lexicon:
         self.number = {w: i for i, (w, _) in enumerate(words)}
         self.counts = np.array([c for _, c in words], np.float64) + 0.5
         share = np.cumsum(np.sqrt(self.counts)) / np.sqrt(self.counts).sum()
-        self.word_class = np.minimum((share * FREQUENT_CLASSES * 0.999999).astype(np.int64), FREQUENT_CLASSES - 1)
-        self.members = [np.flatnonzero(self.word_class == c) for c in range(FREQUENT_CLASSES)]
-        self.place = np.zeros(len(words), np.int64)
-        for own in self.members:
-            self.place[own] = np.arange(len(own))
+        # As many classes as the root of the words: neither choice, of class or word, grows faster than that.
+        self.frequent_classes = max(FREQUENT_CLASSES, math.isqrt(len(words)))
+        self.word_class = np.minimum((share * self.frequent_classes * 0.999999).astype(np.int64), self.frequent_classes - 1)
+        #: The members of class c are the words from ``firsts[c]`` to before ``firsts[c + 1]``.
+        self.firsts = np.searchsorted(self.word_class, np.arange(self.frequent_classes + 1)).tolist()
         self.ending_mass = ending_mass
-        self.class_mass = np.concatenate([[self.counts[m].sum() for m in self.members], ending_mass])
+        self.class_mass = np.concatenate([[self.counts[a:b].sum() for a, b in zip(self.firsts, self.firsts[1:])], ending_mass])
 
     def codes(self, words: list[bytes]) -> np.ndarray:
         """The number of a frequent word; of the ending class, above those, for others."""
@@ -74,7 +74,15 @@ class Lexicon:
 
     def classes(self, codes: np.ndarray) -> np.ndarray:
         top = len(self.counts)
-        return np.where(codes < top, self.word_class[np.minimum(codes, top - 1)], FREQUENT_CLASSES + codes - top)
+        return np.where(codes < top, self.word_class[np.minimum(codes, top - 1)], self.frequent_classes + codes - top)
+
+
+def shares_of(scores: np.ndarray) -> np.ndarray:
+    """The softmax of each column, in place."""
+    scores -= scores.max(axis=0)
+    np.exp(scores, out=scores)
+    scores /= scores.sum(axis=0)
+    return scores
 
 
 class Network:
@@ -89,7 +97,7 @@ class Network:
             "embed": (0.3 * rng.normal(size=(n + ENDING_CLASSES, EMBEDDING))).astype(np.float32),
             "into": draw(EMBEDDING, 3 * STATE), "bias": np.zeros(3 * STATE, np.float32),
             "across": draw(STATE, 3 * STATE),
-            "to_class": np.zeros((STATE, FREQUENT_CLASSES + ENDING_CLASSES), np.float32),
+            "to_class": np.zeros((STATE, lexicon.frequent_classes + ENDING_CLASSES), np.float32),
             "class_bias": np.log(lexicon.class_mass + 1e-3).astype(np.float32),
             "to_word": np.zeros((n, STATE), np.float32), "word_bias": np.log(lexicon.counts).astype(np.float32)}
 
@@ -103,92 +111,135 @@ class Network:
             at += w.size
         return self
 
-    def forward(self, inputs: np.ndarray, state: np.ndarray, fresh: np.ndarray, keep: bool = False):
+    def forward(self, inputs: np.ndarray, state: np.ndarray, fresh: np.ndarray):
         """States after each word of a window (time, stream); ``fresh`` marks words before which the state is cleared."""
+        states, after, _ = self.run(inputs, state.T, fresh)
+        return states.transpose(1, 2, 0), after.T, None
+
+    def run(self, inputs: np.ndarray, state: np.ndarray, fresh: np.ndarray, keep: bool = False):
+        """``forward`` with the streams along the last axis, so that each gate of all streams is one piece of memory."""
         w, h = self.weights, STATE
-        given = w["embed"][inputs] @ w["into"] + w["bias"]
-        states = np.empty((*inputs.shape, h), np.float32)
+        across = w["across"].T
+        given = w["into"].T @ w["embed"][inputs.ravel()].T
+        given += w["bias"][:, None]
+        given = given.reshape(3 * h, *inputs.shape)
+        states = np.empty((h, *inputs.shape), np.float32)
         kept = []
         any_fresh = fresh.any(axis=1)
         for t in range(len(inputs)):
             if any_fresh[t]:
-                state = np.where(fresh[t][:, None], np.float32(0), state)
-            moved = state @ w["across"]
-            gates = 1 / (1 + np.exp(-(given[t, :, :2 * h] + moved[:, :2 * h])))
-            new = np.tanh(given[t, :, 2 * h:] + gates[:, h:] * moved[:, 2 * h:])
+                state = np.where(fresh[t], np.float32(0), state)
+            moved = across @ state
+            gates = given[:2 * h, t] + moved[:2 * h]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            new = gates[h:] * moved[2 * h:]
+            new += given[2 * h:, t]
+            np.tanh(new, out=new)
             if keep:
-                kept.append((state, moved[:, 2 * h:], gates, new))
-            state = new + gates[:, :h] * (state - new)
-            states[t] = state
+                kept.append((state, moved[2 * h:], gates, new))
+            state = state - new
+            state *= gates[:h]
+            state += new
+            states[:, t] = state
         return states, state, kept
 
     def in_class(self, states: np.ndarray, targets: np.ndarray):
-        """For each class with frequent targets: their rows, members, places and probabilities."""
+        """For each class with frequent targets (columns of ``states``): members, places and probabilities.
+
+        ``targets`` stand in the order of their classes, so that a class is a piece of the columns, and its members,
+        numbered by frequency, one of the weights.
+        """
         lexicon, w = self.lexicon, self.weights
-        rows = np.flatnonzero(targets < len(lexicon.counts))
-        classes = lexicon.word_class[targets[rows]]
-        order = np.argsort(classes, kind="stable")
-        rows, classes = rows[order], classes[order]
-        for own in np.split(rows, np.flatnonzero(np.diff(classes)) + 1) if len(rows) else []:
-            members = lexicon.members[lexicon.word_class[targets[own[0]]]]
-            scores = states[own] @ w["to_word"][members].T + w["word_bias"][members]
-            scores = np.exp(scores - scores.max(axis=1, keepdims=True))
-            yield own, members, lexicon.place[targets[own]], scores / scores.sum(axis=1, keepdims=True)
+        classes = lexicon.word_class[targets]
+        ends = np.searchsorted(classes, np.arange(lexicon.frequent_classes), "right").tolist()
+        for start, end, first, last in zip([0, *ends], ends, lexicon.firsts, lexicon.firsts[1:]):
+            if start == end:
+                continue
+            scores = w["to_word"][first:last] @ states[:, start:end]
+            scores += w["word_bias"][first:last, None]
+            yield slice(start, end), slice(first, last), targets[start:end] - first, shares_of(scores)
 
     def class_shares(self, states: np.ndarray) -> np.ndarray:
-        scores = states @ self.weights["to_class"] + self.weights["class_bias"]
-        scores = np.exp(scores - scores.max(axis=1, keepdims=True))
-        return scores / scores.sum(axis=1, keepdims=True)
+        scores = self.weights["to_class"].T @ states
+        scores += self.weights["class_bias"][:, None]
+        return shares_of(scores)
+
+    def by_class(self, targets: np.ndarray) -> np.ndarray:
+        """Places of the frequent targets, by class."""
+        frequent = np.flatnonzero(targets < len(self.lexicon.counts))
+        return frequent[np.argsort(self.lexicon.word_class[targets[frequent]].astype(np.int16), kind="stable")]
 
     def log_shares(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log probability of each target; for words outside the frequent ones, of their class."""
-        rows = np.arange(len(targets))
-        out = np.log(self.class_shares(states)[rows, self.lexicon.classes(targets)].astype(np.float64))
-        for own, _, place, shares in self.in_class(states, targets):
-            out[own] += np.log(shares[np.arange(len(own)), place].astype(np.float64))
+        states = states.T
+        out = np.log(self.class_shares(states)[self.lexicon.classes(targets), np.arange(len(targets))].astype(np.float64))
+        rows = self.by_class(targets)
+        own = np.empty(len(rows))
+        for columns, _, place, shares in self.in_class(np.take(states, rows, axis=1), targets[rows]):
+            own[columns] = shares[place, np.arange(len(place))]
+        out[rows] += np.log(own)
         return out
 
     def gradients(self, inputs: np.ndarray, targets: np.ndarray, state: np.ndarray, fresh: np.ndarray):
+        """Gradients of all weights, and the states after the window."""
         w, h, time = self.weights, STATE, len(inputs)
-        states, after, kept = self.forward(inputs, state, fresh, keep=True)
-        flat, wanted = states.reshape(-1, h), targets.ravel()
+        states, after, kept = self.run(inputs, state.T, fresh, keep=True)
+        flat, wanted = states.reshape(h, -1), targets.ravel()
         grads = {}
         errors = self.class_shares(flat)
-        errors[np.arange(len(wanted)), self.lexicon.classes(wanted)] -= 1
-        grads["to_class"], grads["class_bias"] = flat.T @ errors, errors.sum(axis=0)
-        back = errors @ w["to_class"].T
+        errors[self.lexicon.classes(wanted), np.arange(len(wanted))] -= 1
+        grads["to_class"], grads["class_bias"] = flat @ errors.T, errors.sum(axis=1)
+        back = w["to_class"] @ errors
+        rows = self.by_class(wanted)
+        frequent = np.take(flat, rows, axis=1)
+        back_frequent = np.empty_like(frequent)
         grads["to_word"], grads["word_bias"] = np.zeros_like(w["to_word"]), np.zeros_like(w["word_bias"])
-        for own, members, place, shares in self.in_class(flat, wanted):
-            shares[np.arange(len(own)), place] -= 1
-            grads["to_word"][members] += shares.T @ flat[own]
-            grads["word_bias"][members] += shares.sum(axis=0)
-            back[own] += shares @ w["to_word"][members]
+        for columns, members, place, shares in self.in_class(frequent, wanted[rows]):
+            shares[place, np.arange(len(place))] -= 1
+            np.matmul(shares, frequent[:, columns].T, out=grads["to_word"][members])
+            grads["word_bias"][members] = shares.sum(axis=1)
+            back_frequent[:, columns] = w["to_word"][members].T @ shares
+        back[:, rows] += back_frequent
         back = back.reshape(states.shape)
-        moved_back = np.zeros_like(state)
-        given_errors = np.empty((*inputs.shape, 3 * h), np.float32)
+        moved_back = np.zeros((h, inputs.shape[1]), np.float32)
+        given_errors = np.empty((3 * h, *inputs.shape), np.float32)
         grads["across"] = np.zeros_like(w["across"])
         for t in range(time - 1, -1, -1):
             before, moved, gates, new = kept[t]
-            error = back[t] + moved_back
-            update, reset = gates[:, :h], gates[:, h:]
-            d_new = error * (1 - update) * (1 - new * new)
-            own = given_errors[t]
-            own[:, :h] = error * (before - new) * update * (1 - update)
-            own[:, h:2 * h] = d_new * moved * reset * (1 - reset)
-            own[:, 2 * h:] = d_new
-            through = own.copy()
-            through[:, 2 * h:] *= reset
-            grads["across"] += before.T @ through
-            moved_back = error * update + through @ w["across"].T
-            moved_back[fresh[t]] = 0
-        flat_errors = given_errors.reshape(-1, 3 * h)
-        seen = w["embed"][inputs].reshape(-1, EMBEDDING)
-        grads["into"], grads["bias"] = seen.T @ flat_errors, flat_errors.sum(axis=0)
-        by_input = flat_errors @ w["into"].T
-        grads["embed"] = np.stack([np.bincount(inputs.ravel(), by_input[:, i], len(w["embed"])) for i in range(EMBEDDING)], axis=1)
-        return grads, after
-
-    def learn(self, tokens: np.ndarray, fresh: np.ndarray, streams: int = 96, window: int = 20, rate: float = 0.05) -> int:
+            error = back[:, t] + moved_back
+            update, reset = gates[:h], gates[h:]
+            kept_back = error * update
+            error -= kept_back
+            through = np.empty((3 * h, error.shape[1]), kept_back.dtype)
+            np.subtract(before, new, out=through[:h])
+            through[:h] *= update
+            through[:h] *= error
+            d_new = through[2 * h:]
+            np.multiply(new, new, out=d_new)
+            np.subtract(1, d_new, out=d_new)
+            d_new *= error
+            given_errors[2 * h:, t] = d_new
+            d_new *= reset
+            np.subtract(1, reset, out=through[h:2 * h])
+            through[h:2 * h] *= moved
+            through[h:2 * h] *= d_new
+            given_errors[:2 * h, t] = through[:2 * h]
+            grads["across"] += before @ through.T
+            moved_back = w["across"] @ through
+            moved_back += kept_back
+            if fresh[t].any():
+                moved_back[:, fresh[t]] = 0
+        flat_errors = given_errors.reshape(3 * h, -1)
+        number = inputs.ravel()
+        grads["into"], grads["bias"] = w["embed"][number].T @ flat_errors.T, flat_errors.sum(axis=1)
+        by_input = w["into"] @ flat_errors
+        grads["embed"] = np.stack([np.bincount(number, one, len(w["embed"])) for one in by_input], axis=1)
+        return grads, after.T
+
+    def learn(self, tokens: np.ndarray, fresh: np.ndarray, streams: int = 512, window: int = 20, rate: float = 0.05) -> int:
         """AdaGrad over parallel streams of (input, target) words; ``fresh`` marks the first of each run.
 
         The words that fill no row of all streams go on where the last stream ends. Sums of squares stay for further calls.
@@ -198,16 +249,17 @@ class Network:
         usable = ~fresh[1:]  # the word before a run is no input of it
         inputs, targets = inputs[usable], targets[usable]
         starts = starts[usable]
-        length = len(inputs) // streams
+        words = len(inputs)
+        length = words // streams
         if length == 0:
-            streams, length = 1, len(inputs)
+            streams, length = 1, words
         if length == 0:
             return 0
         whole = streams * length
         shape = lambda x: x[:whole].reshape(streams, length).T
         parts = [(shape(inputs), shape(targets), shape(starts).copy())]
         parts[0][2][0] = True
-        if whole < len(inputs):
+        if whole < words:
             parts.append(tuple(x[whole:, None] for x in (inputs, targets, starts)))
         if not self.sums:
             self.sums = {name: np.full_like(w, 1e-2) for name, w in self.weights.items()}
@@ -215,12 +267,18 @@ class Network:
         for part in parts:
             state = state[-part[0].shape[1]:]
             for t in range(0, len(part[0]), window):
-                grads, state = self.gradients(*[x[t:t + window] for x in part[:2]], state, part[2][t:t + window])
+                inputs = part[0][t:t + window]
+                grads, state = self.gradients(inputs, part[1][t:t + window], state, part[2][t:t + window])
+                met = np.zeros(len(self.weights["embed"]), bool)
+                met[inputs] = True
                 for name, g in grads.items():
-                    g = np.asarray(g, np.float32) / streams
-                    self.sums[name] += g * g
-                    self.weights[name] -= rate * g / np.sqrt(self.sums[name])
-        return len(inputs)
+                    # Words that the window does not read have no gradient.
+                    own = np.flatnonzero(met) if name == "embed" else slice(None)
+                    g = np.asarray(g[own], np.float32) / streams
+                    sums = self.sums[name][own] + g * g
+                    self.sums[name][own] = sums
+                    self.weights[name][own] -= rate * g / np.sqrt(sums)
+        return words
 
     def score(self, texts: list[np.ndarray], streams: int = 1024, window: int = 32, rows: int = 1 << 14) -> np.ndarray:
         """Natural log probability of every text's words up to the class for words that are not frequent.
@@ -232,9 +290,9 @@ class Network:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def settle() -> None:
-            states, targets, owners = [np.concatenate(c) for c in zip(*held)]
+            states, targets, owners = [np.concatenate(c, axis=-1) for c in zip(*held)]
             held.clear()
-            out[:] += np.bincount(owners, self.log_shares(states, targets), len(out))
+            out[:] += np.bincount(owners, self.log_shares(states.T, targets), len(out))
 
         sizes = np.array([len(t) for t in texts])
         order = np.argsort(-sizes, kind="stable")
@@ -243,16 +301,15 @@ class Network:
         for start in range(0, len(order), streams):
             own = order[start:start + streams]
             at, length = first[start:start + streams], sizes[own]
-            state = np.zeros((len(own), STATE), np.float32)
+            state = np.zeros((STATE, len(own)), np.float32)
             for t in range(0, int(length[0]) if len(length) else 0, window):
                 alive = int(np.searchsorted(-length, -t, "left"))
                 steps = min(window, int(length[0]) - t)
                 where = at[None, :alive] + t + np.arange(steps)[:, None]
                 inside = t + np.arange(steps)[:, None] < length[None, :alive]
                 inputs = np.where(inside, flat[np.minimum(where, len(flat) - 1)], 0)
-                states, after, _ = self.forward(inputs, state[:alive], np.zeros(inputs.shape, bool))
-                state = after
-                held.append((states[inside], flat[where[inside] + 1], own[np.nonzero(inside)[1]]))
+                states, state, _ = self.run(inputs, state[:, :alive], np.zeros(inputs.shape, bool))
+                held.append((states[:, inside], flat[where[inside] + 1], own[np.nonzero(inside)[1]]))
                 if sum(len(h[1]) for h in held) >= rows:
                     settle()
         if held:
