@@ -239,7 +239,7 @@ class Network:
         grads["embed"] = np.stack([np.bincount(number, one, len(w["embed"])) for one in by_input], axis=1)
         return grads, after.T
 
-    def learn(self, tokens: np.ndarray, fresh: np.ndarray, streams: int = 512, window: int = 20, rate: float = 0.05) -> int:
+    def learn(self, tokens: np.ndarray, fresh: np.ndarray, streams: int = 512, window: int = 20, rate: float = 0.15) -> int:
         """AdaGrad over parallel streams of (input, target) words; ``fresh`` marks the first of each run.
 
         The words that fill no row of all streams go on where the last stream ends. Sums of squares stay for further calls.
