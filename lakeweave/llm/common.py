@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import math
 import os
 from collections.abc import Callable, Iterator, Sequence
@@ -101,6 +102,21 @@ def trim() -> None:
         give_back(0)
 
 
+@functools.cache
+def one_thread() -> bool:
+    """Matrix products of this worker on one thread; true if numpy's library has such a switch.
+
+    Tasks fill the cores already. Further threads of the library take CPU time while they wait for small products.
+    """
+    for path in Path(np.__file__).parent.parent.glob("numpy.libs/*openblas*"):
+        library = ctypes.CDLL(str(path))
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                return True
+    return False
+
+
 def arrow_schema(fields: str) -> pa.Schema:
     """``"id long, ids binary"`` as an Arrow schema."""
     kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),

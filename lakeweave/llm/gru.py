@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeweave.llm.common import byte_values, named, stored
+from lakeweave.llm.common import byte_values, named, one_thread, stored
 from lakeweave.llm.wordblocks import WordBlocks
 
 END = b" "
@@ -379,6 +379,7 @@ def averaged(docs: DataFrame, network: Network, slots: int = 64) -> Network:
     start, lexicon = network.flat(), network.lexicon
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         own, runs, seen = Network(lexicon).load(start), [], 0
 
         def pass_on() -> int:
@@ -440,6 +441,7 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     end_log, end_known = float(np.log10(ends + 0.5)), int(ends > 0)
 
     def use(values: dict[bytes, bytes], parts: Iterator[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        one_thread()
         own = Network(lexicon).load(weights)
         words = list(values)
         counts = np.frombuffer(b"".join(values.values()), np.uint64).astype(np.float64)
