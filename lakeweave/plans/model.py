@@ -2,7 +2,8 @@
 
 A measure is a Spark aggregate on one fact table. ``evaluate`` adds only the
 joins that the grouping, the filters and the measure need, so a dimension that
-is not asked for is not read.
+is not asked for is not read. Where a measure says how it splits, the fact is
+grouped by its join keys first, and only these groups meet the dimensions.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.group import GroupedData
 
 from lakeweave.functions import text
@@ -30,13 +32,24 @@ class Relationship:
     to_column: str
 
 
+@dataclass(frozen=True)
+class Split:
+    """A measure in two steps. ``partial`` names aggregates of columns of the fact
+    alone; ``combine`` is an aggregate of these, by name, and of dimension columns
+    over groups that share their dimension rows. It also gets the partial types."""
+
+    partial: Mapping[str, Callable[[Callable[[str], Column]], Column]]
+    combine: Callable[[Callable[[str], Column], Mapping[str, T.DataType]], Column]
+
+
 @dataclass(frozen=True)
 class Measure:
     """``aggregate`` gets a function from ``Table.Column`` to a Spark column and
     must skip nulls, as sums and means do.
 
     ``overrides`` maps ``Table.Column`` to the one value the measure looks at;
-    it replaces whatever filter or group the query puts on that column.
+    it replaces whatever filter or group the query puts on that column. ``split``
+    gives the same value in two steps.
     """
 
     name: str
@@ -44,6 +57,7 @@ class Measure:
     uses: tuple[str, ...]
     aggregate: Callable[[Callable[[str], Column]], Column]
     overrides: Mapping[str, object] = field(default_factory=dict)
+    split: Split | None = None
 
 
 @dataclass(frozen=True)
@@ -81,6 +95,14 @@ class Model:
 
     def wide(self, base: str, columns: Sequence[str]) -> DataFrame:
         """The base table with the named columns, each called ``Table.Column``."""
+        needed, steps = self._route(base, columns)
+        return self._joined(self._columns(base, needed[base]), needed, steps)
+
+    def _columns(self, table: str, names: set[str]) -> DataFrame:
+        return self.tables[table].select([F.col(c).alias(f"{table}.{c}") for c in sorted(names)])
+
+    def _route(self, base: str, columns: Sequence[str]) -> tuple[dict[str, set[str]], list[Relationship]]:
+        """The columns needed of each table, and the joins in their order."""
         needed: dict[str, set[str]] = {base: set()}
         steps: list[Relationship] = []
         for qualified in columns:
@@ -91,7 +113,9 @@ class Model:
                 needed.setdefault(step.from_table, set()).add(step.from_column)
                 needed.setdefault(step.to_table, set())
             needed[table].add(column)
-        df = self.tables[base].select([F.col(c).alias(f"{base}.{c}") for c in sorted(needed[base])])
+        return needed, steps
+
+    def _joined(self, df: DataFrame, needed: dict[str, set[str]], steps: list[Relationship]) -> DataFrame:
         for step in steps:
             columns_of = {c: f"{step.to_table}.{c}" for c in sorted(needed[step.to_table])}
             df = _join(df, self.tables[step.to_table], step, columns_of)
@@ -136,9 +160,37 @@ class Model:
 
     def _shared(self, table: str, measures: list[Measure], by: list[str], filters: dict) -> DataFrame:
         columns = [*by, *[c for m in measures for c in (*m.uses, *m.overrides)]]
-        df = self._filtered(table, columns, self._reaching(table, filters))
+        active = self._reaching(table, filters)
+        joined = {c for c in [*columns, *active] if not c.startswith(f"{table}.")}
+        if joined and all(m.split and not joined & set(m.overrides) for m in measures):
+            return self._grouped_first(table, measures, by, active, columns)
+        df = self._filtered(table, columns, active)
         return _grouped(df, by).agg(*[_aggregate(m) for m in measures])
 
+    def _grouped_first(self, table: str, measures: list[Measure], by: list[str], filters: dict,
+                       columns: list[str]) -> DataFrame:
+        """``_shared`` with the partial aggregates below the joins."""
+        def own(names):
+            return [c for c in names if c.startswith(f"{table}.")]
+
+        needed, steps = self._route(table, [c for c in [*columns, *filters] if c not in own([c])])
+        keys = sorted({*[f"{table}.{c}" for c in needed[table]], *own(by)})
+        df = self._columns(table, {_plain(c) for c in [*keys, *own(columns), *own(filters)]})
+        for column in own(filters):
+            df = df.filter(filters[column](_named(column)))
+        groups = df.groupBy(*[_named(c) for c in keys]).agg(
+            *[_overridden(m, part).alias(f"{m.name}.{name}") for m in measures for name, part in m.split.partial.items()])
+        wide = self._joined(groups, needed, steps)
+        for column in filters:
+            if column not in own(filters):
+                wide = wide.filter(filters[column](_named(column)))
+
+        def combined(m: Measure) -> Column:
+            kinds = {name: groups.schema[f"{m.name}.{name}"].dataType for name in m.split.partial}
+            return m.split.combine(lambda c: _named(f"{m.name}.{c}" if c in kinds else c), kinds).alias(m.name)
+
+        return _grouped(wide, by).agg(*[combined(m) for m in measures])
+
     def _overriding(self, measure: Measure, by: list[str], filters: dict) -> DataFrame:
         """A group on an overridden column shows the value of the override."""
         active = self._reaching(measure.table, filters)
@@ -172,13 +224,17 @@ def _grouped(df: DataFrame, by: Sequence[str]) -> GroupedData:
 
 
 def _aggregate(measure: Measure) -> Column:
-    """The measure as an aggregate; an override turns the values of other rows
+    return _overridden(measure, measure.aggregate).alias(measure.name)
+
+
+def _overridden(measure: Measure, aggregate: Callable[[Callable[[str], Column]], Column]) -> Column:
+    """An aggregate of the measure; an override turns the values of other rows
     to null, which aggregates skip, like ``FILTER (WHERE ...)``."""
     tests = [_named(c) == F.lit(v) for c, v in measure.overrides.items()]
     if not tests:
-        return measure.aggregate(_named).alias(measure.name)
+        return aggregate(_named)
     wanted = reduce(lambda a, b: a & b, tests)
-    return measure.aggregate(lambda c: F.when(wanted, _named(c))).alias(measure.name)
+    return aggregate(lambda c: F.when(wanted, _named(c)))
 
 
 def _named(qualified: str) -> Column:
@@ -215,14 +271,29 @@ TOTAL_REVENUE_EUR = Measure(
     "Total Revenue EUR", "FactTaxiDaily",
     ("FactTaxiDaily.TotalRevenue", "DimFX.ExchangeRate"),
     lambda c: F.sum(c("FactTaxiDaily.TotalRevenue") * c("DimFX.ExchangeRate")),
+    split=Split({"revenue": lambda c: F.sum(c("FactTaxiDaily.TotalRevenue"))},
+                lambda c, kinds: F.sum(c("revenue") * c("DimFX.ExchangeRate"))),
 )
 
 
+def mean(column: str) -> Split:
+    """``avg`` of a fact's column. Of decimals the sum keeps the type of the first
+    step, as in ``avg`` itself, so that the quotient has digits enough to be rounded once."""
+    def combine(c: Callable[[str], Column], kinds: Mapping[str, T.DataType]) -> Column:
+        kind = kinds["sum"]
+        if not isinstance(kind, T.DecimalType):
+            return F.try_divide(F.sum(c("sum")), F.sum(c("count")))
+        result = T.DecimalType(min(kind.precision - 6, 38), min(kind.scale + 4, 38))
+        return F.try_divide(F.sum(c("sum")).cast(kind), F.sum(c("count"))).cast(result)
+
+    return Split({"sum": lambda c: F.sum(c(column)), "count": lambda c: F.count(c(column))}, combine)
+
+
 def average_level(name: str, pollutant: str) -> Measure:
     """Mean of the daily means of one pollutant, not weighted by readings."""
     return Measure(name, "FactAirQualityDaily", ("FactAirQualityDaily.AvgValue",),
                    lambda c: F.avg(c("FactAirQualityDaily.AvgValue")),
-                   {"FactAirQualityDaily.Pollutant": pollutant})
+                   {"FactAirQualityDaily.Pollutant": pollutant}, mean("FactAirQualityDaily.AvgValue"))
 
 
 MEASURES = {m.name: m for m in (

@@ -91,3 +91,24 @@ def test_formats(star):
     got = model.formatted(star.evaluate(["Total Revenue EUR", "Avg NO2 Level", "Avg PM2.5 Level"])).first()
     assert tuple(got) == ("€ 5.00", "2.0000 ppm", None)
     assert model.formatted(star.table("DimGDP")).first().GDP_Value == "$99.00"
+
+
+def test_fact_is_grouped_before_it_meets_a_dimension(star, rows):
+    from dataclasses import replace
+    whole = replace(star, measures={n: replace(m, split=None) for n, m in star.measures.items()})
+    names = ["Total Revenue EUR", "Avg NO2 Level", "Avg O3 Level"]
+    for by, filters in ((["DimDate.YearKey"], {}), (["DimDate.DateKey", "DimZone.StandardZone"], {}), ([], {"DimDate.DayName": lambda c: c == "Monday"}),
+                        (["DimGDP.GDP_Value"], {"DimZone.StandardZone": lambda c: c != "B", "FactTaxiDaily.HourOfDay": lambda c: c == 2}),
+                        (["DimDate.DateKey"], {"DimDate.DateKey": lambda c: c > F.lit(SUNK)})):
+        split, plain = [m.evaluate(names, by, filters, keep_blank=True) for m in (star, whole)]
+        assert rows(split) == rows(plain) and split.dtypes == plain.dtypes
+    optimized = star.evaluate("Total Revenue EUR", ["DimDate.YearKey"])._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line.lstrip(" :+-").split(" ")[0] for line in optimized.splitlines()]
+    assert "Aggregate" in lines[lines.index("Join"):], optimized
+
+
+def test_thirds_are_rounded_as_by_avg(spark):
+    facts = spark.createDataFrame([(D1 + dt.timedelta(i % 7), "NY", "A", "S", "no2", Decimal(i), 1) for i in range(1, 60)], contracts.FACT_AIR_DAILY)
+    dates = gold.dim_date(spark.createDataFrame([(D1 + dt.timedelta(i),) for i in range(7)], "date date"))
+    got = model.star_model({"FactAirQualityDaily": facts, "DimDate": dates}).evaluate("Avg NO2 Level", ["DimDate.YearKey"])
+    assert got.first()[1] == facts.agg(F.avg("AvgValue")).first()[0]
