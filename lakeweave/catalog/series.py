@@ -63,6 +63,18 @@ def forward_fill(t):
                                F.lit("2024-01-02").cast("date"), F.lit("2024-01-28").cast("date"))
 
 
+@query("""
+WITH obs AS (SELECT event_id, event_type, ts, CASE WHEN event_id % 3 = 0 THEN CAST(value AS DECIMAL(10,2)) END AS v FROM events)
+SELECT event_id, event_type, CAST(last_value(v IGNORE NULLS) OVER (
+  PARTITION BY event_type ORDER BY ts, v NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS value FROM obs
+""")
+def carry_forward(t):
+    """A few keys of many readings each, filled at the grain of the readings."""
+    observed = t("events").select("event_id", "event_type", "ts", F.when(
+        F.col("event_id") % 3 == 0, F.col("value").cast("decimal(10,2)")).alias("value"))
+    return series.carry_forward(observed, ["event_type"], "ts", "value").drop("ts")
+
+
 @query(f"""
 WITH cal AS (SELECT CAST(unnest(generate_series(
   DATE '{staging.FX_FIRST}', DATE '{staging.FX_LAST}', INTERVAL 1 DAY)) AS DATE) AS day),

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lakeweave.operators.shape import quoted
+
 # Copies of one row are carried as a count and written out again in two steps,
 # so that no array holds more than this many entries.
 COPIES_PER_CHUNK = 100_000
@@ -88,3 +90,44 @@ def forward_fill(df: DataFrame, keys: Sequence[str], date: str, value: str,
     known = observed.filter(F.col("__value").isNotNull())
     return (known.select(F.col("__day").alias(date), *keys, F.col("__value").alias(value))
             .unionByName(rows.select(F.col("day").alias(date), *keys, F.col("__value").alias(value))))
+
+
+def carry_forward(df: DataFrame, keys: Sequence[str], time: str, value: str, span_seconds: int = 3600) -> DataFrame:
+    """The rows of ``df``, each missing value filled with the last known one of its key, at any grain of time.
+
+    Rows of one time count as ordered by value, missing ones last. A value stays
+    missing where none is known yet or the row has no time; a null key is a key
+    like others.
+
+    The times of a key are cut into ranges of ``span_seconds``. What is known at
+    the end of each range, one row per key and range, is handed to the ranges
+    behind it, so that one key is filled by many tasks. Rows that have a value
+    pass through without a shuffle; each time of a key travels once.
+    """
+    names = [f"__k{i}" for i in range(len(keys))]
+    epoch = F.lit("1970-01-01").cast(df.schema[time].dataType)
+    slot = F.floor(F.timestamp_diff("SECOND", epoch, F.col(quoted(time))) / span_seconds)
+    placed = [*[F.col(quoted(k)).alias(n) for k, n in zip(keys, names)], slot.alias("__slot"), F.col(quoted(time)).alias("__time")]
+    known, timed = F.col(quoted(value)).isNotNull(), F.col(quoted(time)).isNotNull()
+    kind = df.schema[value].dataType
+
+    points = (df.filter(known & timed).select(*placed, F.col(quoted(value)).alias("__value"))
+              .groupBy(*names, "__slot", "__time").agg(F.max("__value").alias("__value")))
+    row = F.struct(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    gaps = df.filter(~known & timed).select(*placed, F.lit(None).cast(kind).alias("__value"), row.alias("__row"))
+
+    ends = points.groupBy(*names, "__slot").agg(F.max_by("__value", "__time").alias("__value"))
+    asked = gaps.select(*names, "__slot", "__value").distinct()
+    ranges = ends.unionByName(asked).groupBy(*names, "__slot").agg(F.max("__value").alias("__value"))
+    before = F.last("__value", ignorenulls=True).over(
+        W.partitionBy(*names).orderBy("__slot").rowsBetween(W.unboundedPreceding, -1))
+    carried = (ranges.select(*names, "__slot", F.lit(None).cast(df.schema[time].dataType).alias("__time"), before.alias("__value"))
+               .filter(F.col("__value").isNotNull()))
+
+    lines = points.unionByName(carried).withColumn("__row", F.lit(None).cast(gaps.schema["__row"].dataType)).unionByName(gaps)
+    # What is carried in has no time and comes first; a missing value comes after the known ones of its time.
+    ordered = W.partitionBy(*names, "__slot").orderBy(F.asc_nulls_first("__time"), F.col("__row").isNotNull())
+    last = F.last("__value", ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
+    filled = lines.select("__row", last.alias("__value")).filter(F.col("__row").isNotNull())
+    return df.filter(known | ~timed).unionByName(filled.select(*[
+        (F.col("__value") if c == value else F.col("__row").getField(f"c{i}")).alias(c) for i, c in enumerate(df.columns)]))

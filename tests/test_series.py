@@ -122,3 +122,33 @@ def test_a_text_says_that_there_are_more(spark):
     text = lambda df: aggregates.one_text(df, "g", {"t": (F.col("g"), ",")}, most=1000).first()[0].split(",")
     assert text(rows) == [f"{i:05d}" for i in range(1000)] + ["..."]
     assert text(rows.filter("g < '01000'"))[-1] == "00999" and text(rows.limit(0)) == [""]
+
+
+def test_values_are_carried_across_ranges(spark, rows):
+    rng = random.Random(4)
+    start = dt.datetime(1969, 12, 31, 20)
+    data = [(i, rng.choice(["hot", "hot", "hot", "b", None]), rng.choice([None] + [start + dt.timedelta(seconds=rng.randrange(40_000)) for _ in range(9)]),
+             rng.choice([None, None, None, rng.randrange(50)])) for i in range(800)]
+    data += [(900 + i, "early", start, v) for i, v in enumerate((None, 3, 5, None))] + [(950, "alone", start, None)]
+    last, want = {}, []
+    for i, key, time, value in sorted(data, key=lambda r: (r[2] is None, r[2] or start, r[3] is None, r[3] or 0)):
+        if time is not None:
+            last[key] = value = last.get(key) if value is None else value
+        want.append((i, key, time, value))
+    df = spark.createDataFrame(data, "id long, `a.key` string, time timestamp_ntz, `__value` long")
+    for span in (60, 3600, 10**6):
+        assert rows(series.carry_forward(df, ["a.key"], "time", "__value", span)) == sorted(want, key=repr)
+    assert series.carry_forward(df.limit(0), ["a.key"], "time", "__value").collect() == []
+
+
+def test_one_key_is_filled_by_many_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(40_000).select(F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id") * 9).alias("t"),
+                                        F.when(F.col("id") % 1000 == 0, F.col("id")).alias("v"))
+        got = series.carry_forward(df, ["k"], "t", "v", span_seconds=600).filter("v % 1000 = 0")
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().orderBy(F.desc("count")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    filled = [n for n in sizes if n > 1000]
+    assert sum(sizes) == 40_000 and len(filled) > 2 and filled[0] < 2 * sorted(filled)[len(filled) // 2]
