@@ -14,6 +14,7 @@ from lakeweave.operators import dedupe
 from lakeweave.plans import gold, silver
 from lakeweave.session import scratch_dir
 from lakeweave.sinks import export, quarantine as quarantined, tables as sinks
+from lakeweave.sinks.versions import Versioned
 from lakeweave.sources import files, nested, tables
 
 
@@ -253,6 +254,16 @@ def overwrite_schema(t):
     return tables.table(t.spark, name)
 
 
+@query("SELECT o_orderkey, o_orderstatus AS status, 2 * o_totalprice AS price FROM orders WHERE o_orderstatus <> 'P'")
+def atomic_replace(t):
+    """Replaced by what is read from itself, with other columns and partitions."""
+    sink = Versioned(t.spark, scratch_dir(t.spark, "versions"))
+    sink.replace(t("orders").select("o_orderkey", "o_orderstatus", "o_totalprice"))
+    sink.replace(sink.read().filter("o_orderstatus <> 'P'").select(
+        "o_orderkey", F.col("o_orderstatus").alias("status"), (2 * F.col("o_totalprice")).alias("price")), ["status"])
+    return sink.read()
+
+
 @query(f"""
 WITH {staging.DIM_FX} SELECT CAST(day AS VARCHAR) AS "DateKey", CAST(rate AS DOUBLE) AS "ExchangeRate" FROM dim_fx
 """)
