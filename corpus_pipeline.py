@@ -92,9 +92,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, with the checksum of the text that they decode to; further columns end here."""
+    """Token ids of every text, with the checksum of the text that they decode to; further columns end here.
+
+    The ids are stored between the two: in one chain each task would hold a worker for either.
+    """
     reach_workers(spark)
-    ids = bpe.encode(docs, VOCABULARY, keep=("lang", "source"))
+    ids = stored(bpe.encode(docs, VOCABULARY, keep=("lang", "source")), "ids")
     return bpe.decode(ids, VOCABULARY).select(
         "doc_id", "lang", "source", F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids",
         F.crc32("decoded").alias("decoded_crc32"))

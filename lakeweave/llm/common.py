@@ -47,13 +47,23 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Cut the lineage: write to the shared scratch folder and read back."""
+def stored(df: DataFrame, purpose: str, steps: list[str] | None = None) -> DataFrame:
+    """Cut the lineage: write to the shared scratch folder and read back. ``steps`` gets the path, for ``dropped``."""
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
+    if steps is not None:
+        steps.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, steps: list[str]) -> None:
+    """Remove stored steps once what was made of them is stored itself, so that nothing reads them again."""
+    for path in steps:
+        path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    steps.clear()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

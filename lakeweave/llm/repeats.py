@@ -155,29 +155,44 @@ def spans(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, end: np.ndarray)
     return {"doc": doc[first], "tie": tie[first], "start": start[first], "end": np.append(reach[first[1:] - 1], reach[-1])}
 
 
+def places(n: int) -> np.dtype:
+    """The smaller of the integers that number the bytes of a text."""
+    return np.dtype(np.int32 if n < 1 << 30 else np.int64)
+
+
+def index_parts(size: int) -> int:
+    """How many indexes it takes for so many bytes of runs, none of more than ``INDEXED`` where they are dealt evenly."""
+    return max(1, -(-size // INDEXED))
+
+
 class RunIndex:
     """Suffixes of a text in order, the run-compressed transform, and the text positions of the run heads."""
 
     def __init__(self, text: np.ndarray):
         self.text, n = text, len(text)
+        kind = places(n)
         padded = np.concatenate([text, np.zeros(16, np.uint8)])
         eight = np.zeros(n, np.uint64)
         for i in range(8):
-            eight = (eight << np.uint64(8)) | padded[i:i + n]
-        order = np.argsort(eight, kind="stable")
+            eight <<= np.uint64(8)
+            eight |= padded[i:i + n]
+        order = np.argsort(eight, kind="stable").astype(kind)
         new = np.ones(n, bool)
-        new[1:] = eight[order[1:]] != eight[order[:-1]]
-        start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        rank = np.empty(n, np.int64)
-        rank[order] = start
+        eight = eight[order]
+        new[1:] = eight[1:] != eight[:-1]
+        del eight, padded
+        rank = np.empty(n, kind)
+        rank[order] = np.maximum.accumulate(np.where(new, np.arange(n, dtype=kind), kind.type(0)))
         depth = 8
         # Prefixes double; only suffixes that still tie are sorted on.
-        open_ = np.flatnonzero(~new | np.append(~new[1:], False))
+        open_ = np.flatnonzero(~new | np.append(~new[1:], False)).astype(kind)
+        del new
         while len(open_):
             at = order[open_]
-            ahead = np.where(at + depth < n, rank[np.minimum(at + depth, n - 1)] + 1, 0)
+            ahead = np.where(at + depth < n, rank[np.minimum(at + depth, n - 1)] + 1, kind.type(0))
             own = np.lexsort((ahead, rank[at]))
             at, ahead = at[own], ahead[own]
+            del own
             group = rank[at]
             order[open_] = at
             fresh = np.ones(len(at), bool)
@@ -186,40 +201,45 @@ class RunIndex:
             open_ = open_[~fresh | np.append(~fresh[1:], False)]
             depth *= 2
         self.order = order
-        before = np.where(order > 0, text[order - 1], 256)
-        self.heads = np.flatnonzero(np.diff(before.astype(np.int64), prepend=-1))
+        before = np.where(order > 0, text[order - 1], np.int16(256))
+        self.heads = np.flatnonzero(np.diff(before, prepend=np.int16(-1))).astype(kind)
         # A suffix that begins the text has no byte before it, so its neighbours head runs of their own.
 
     def matches(self) -> np.ndarray:
         """Length of the match of each text position with the suffix before it in order, streamed from the heads."""
         n, order = len(self.text), self.order
+        kind = places(n)
         padded = np.concatenate([self.text, np.zeros(16, np.uint8)])
         heads = self.heads[self.heads > 0]
         x, y = order[heads], order[heads - 1]
-        size = np.zeros(len(heads), np.int64)
-        open_ = np.arange(len(heads))
+        size = np.zeros(len(heads), kind)
+        open_ = np.arange(len(heads), dtype=kind)
+        del heads
         while len(open_):
             a, b = x[open_] + size[open_], y[open_] + size[open_]
             inside = (a < n) & (b < n)
             open_, a, b = open_[inside], a[inside], b[inside]
             agree = np.ones(len(open_), bool)
-            grown = np.zeros(len(open_), np.int64)
+            grown = np.zeros(len(open_), np.int8)
             for i in range(8):
                 agree &= (padded[a + i] == padded[b + i]) & (a + i < n) & (b + i < n)
                 grown += agree
             size[open_] += grown
             open_ = open_[agree]
-        reach = np.zeros(n, np.int64)
+        reach = np.zeros(n, kind)
         reach[x] = size + x
         reach[order[0]] = order[0]
-        return np.maximum(np.maximum.accumulate(reach) - np.arange(n), 0)
+        np.maximum.accumulate(reach, out=reach)
+        reach -= np.arange(n, dtype=kind)
+        return np.maximum(reach, 0, out=reach)
 
     def repeated(self, valid: np.ndarray, length: int) -> np.ndarray:
         """Valid positions at which ``length`` bytes begin that also begin at an earlier valid position."""
         match = self.matches()[self.order]
         first = np.flatnonzero(match < length)
         first = first if len(first) and first[0] == 0 else np.concatenate([[0], first])
-        at = np.where(valid[self.order], self.order, len(self.text))
+        del match
+        at = np.where(valid[self.order], self.order, places(len(self.text)).type(len(self.text)))
         least = np.repeat(np.minimum.reduceat(at, first), np.diff(np.append(first, len(at))))
         out = np.zeros(len(self.text), bool)
         out[self.order] = valid[self.order] & (self.order != least)
@@ -333,7 +353,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     def index(table: pa.Table) -> pa.Table:
         rows = unpacked(table["rows"].to_pylist())
         # All runs of a name are in one index.
-        parts = max(1, rows["bytes"].nbytes // INDEXED)
+        parts = index_parts(rows["bytes"].nbytes)
         part = (rows["name"].to_numpy() // np.uint64(n)) % np.uint64(parts)
         made = []
         for own in range(parts):
@@ -351,8 +371,10 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
         values = rows["bytes"].take(pa.array(order)).to_pylist()
         sizes = np.array([len(v) + 1 for v in values])
         joined = np.frombuffer(b"".join([v + SEPARATOR for v in values]), np.uint8)
-        owner = np.repeat(np.arange(len(values)), sizes)
-        place = np.arange(len(joined)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        del values
+        kind = places(len(joined))
+        owner = np.repeat(np.arange(len(sizes), dtype=kind), sizes)
+        place = np.arange(len(joined), dtype=kind) - np.repeat((np.cumsum(sizes) - sizes).astype(kind), sizes)
         again = np.flatnonzero(RunIndex(joined).repeated(place < count[owner], length))
         own = owner[again]
         at = start[own] + place[again]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweave.llm.common import arrow_schema, named, shuffle_partitions, sliced, stored, trim, utf8
+from lakeweave.llm.common import arrow_schema, dropped, named, shuffle_partitions, sliced, stored, trim, utf8
 from lakeweave.llm.components import contract
 from lakeweave.llm.shingles import mix, shingles
 from lakeweave.llm.wordblocks import pack_rows, unpack_rows
@@ -198,8 +198,9 @@ def bounded(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
 
 
 def linked(pairs: DataFrame, docs: DataFrame, words: int, pct: int, most_broadcast: int) -> DataFrame:
-    """The pairs whose sets, made again from the texts, are as similar as asked."""
-    nodes = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "nodes")
+    """The pairs whose sets, made again from the texts, are as similar as asked; they are stored, the sets are not kept."""
+    steps: list[str] = []
+    nodes = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "nodes", steps)
     # Ids are eight bytes each: up to the bound they go to every task, beyond it both sides are shuffled.
     asked = F.broadcast(nodes) if nodes.count() <= most_broadcast else nodes
     texts = docs.join(asked, "id", "left_semi")
@@ -212,7 +213,7 @@ def linked(pairs: DataFrame, docs: DataFrame, words: int, pct: int, most_broadca
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "set"])
         trim()
 
-    sets = stored(texts.select("id", "text").mapInArrow(made, "id long, set binary"), "sets")
+    sets = stored(texts.select("id", "text").mapInArrow(made, "id long, set binary"), "sets", steps)
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
 
@@ -226,7 +227,9 @@ def linked(pairs: DataFrame, docs: DataFrame, words: int, pct: int, most_broadca
             yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
         trim()
 
-    return joined.mapInArrow(compare, "a long, b long")
+    found = stored(joined.mapInArrow(compare, "a long, b long"), "links")
+    dropped(docs.sparkSession, steps)
+    return found
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, pct: int = 90,
@@ -234,23 +237,27 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     """``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links, for every row.
 
     ``most_frequent`` bounds the shingles that get a place in the order by
-    frequency, ``most_broadcast`` the ids that are sent to every task.
+    frequency, ``most_broadcast`` the ids that are sent to every task. The result
+    is stored; the larger steps before it are gone by then.
     """
+    spark, steps = docs.sparkSession, []
     docs = docs.select(F.coalesce(named(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), named(text).alias("text"))
     common = frequent(docs, words, most_frequent)
-    rows = stored(signatures(docs, common, words, pct), "signatures")
+    rows = stored(signatures(docs, common, words, pct), "signatures", steps)
     own = ["s1", "s2", "n"]
     classes = rows.filter("n > 0").groupBy(*own).agg(F.min(F.struct("id", "prefix", "bins")).alias("first"))
-    sets = stored(classes.select(*own, F.col("first.id").alias("node"), "first.prefix", "first.bins"), "sets")
+    sets = stored(classes.select(*own, F.col("first.id").alias("node"), "first.prefix", "first.bins"), "sets", steps)
     # One class each for the rows that share an id.
     ids = rows.filter("n > 0").select("id", *own).join(sets.select(*own, "node"), own).select("id", "node")
     links = ids.filter("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
 
     first = stored(bounded(candidates(sets.withColumn("root", F.col("node")), pct, False), sets, pct), "pairs")
-    near = stored(linked(first, docs, words, pct, most_broadcast), "links")
+    near = linked(first, docs, words, pct, most_broadcast)
     roots = contract(near)
-    merged = stored(sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "merged")
+    rooted: list[str] = []
+    merged = stored(sets.select("node", "n", "prefix").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "merged", rooted)
     second = stored(bounded(candidates(merged, pct, True), sets, pct).join(first, ["a", "b"], "left_anti"), "pairs")
+    dropped(spark, rooted)
     if not second.isEmpty():
         near = near.unionByName(linked(second, docs, words, pct, most_broadcast))
     # Rows with one id tie their classes together.
@@ -261,4 +268,6 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
     done = rows.join(sets.select(*own, "node"), own, "left").join(found, "node", "left")
     root = F.coalesce("root", "node", "id")
     shown = lambda c: F.when(c != NO_ID, c)
-    return done.select(shown(F.col("id")).alias(doc_id), F.col("n").alias("n_shingles"), shown(root).alias("component_id"))
+    made = stored(done.select(shown(F.col("id")).alias(doc_id), F.col("n").alias("n_shingles"), shown(root).alias("component_id")), "groups")
+    dropped(spark, steps)
+    return made
