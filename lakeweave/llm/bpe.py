@@ -19,6 +19,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,9 +54,9 @@ class Words:
 
     With ``remember`` about ``MOST_PIECES`` of them are kept from call to call, then anew.
 
-    Words of Latin letters and ASCII marks are cut by the file's own pattern and
-    only their pieces go to the library's model. All others, and words that may
-    hold a special token, go through the whole library.
+    Words of Latin letters and ASCII marks are cut by the file's own pattern (letters
+    with marks behind them need no search) and only their pieces go to the library's
+    model. All others, and words that may hold a special token, go through the whole library.
     """
 
     def __init__(self, path: str):
@@ -77,6 +78,7 @@ class Words:
         self.pattern = regex.compile(SPLIT)
         special = "".join(sorted({regex.escape(t["content"][0]) for t in described.get("added_tokens", [])}))
         self.simple = regex.compile(rf"(?V1)[[!-~¡-ɏ]--[{special}]]+" if special else r"[!-~¡-ɏ]+")
+        self.marks = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c not in special)
         self.known: dict[str, bytes] = {}
         self.letters = byte_letters()
         size = max(self.library.get_vocab().values()) + 1
@@ -88,7 +90,7 @@ class Words:
         if not remember or len(self.known) > MOST_PIECES:
             self.known = {}
         known = self.known if remember else {}
-        model, width, letters = self.library.model, self.width, self.letters
+        model, width, letters, code = self.library.model, self.width, self.letters, self.width.char
         found, rest = [b""] * len(words), []
         for i, raw in enumerate(words):
             word = raw.decode("utf-8", "replace")
@@ -96,16 +98,22 @@ class Words:
             lowered = word.lower()
             packed = known.get(lowered)
             if packed is None:
-                letter = raw.isalpha()
-                if not letter and not self.simple.fullmatch(word):
+                stem = lowered.rstrip(self.marks)
+                plain = stem.isalpha()
+                if not (plain and raw.isascii()) and not self.simple.fullmatch(word):
                     rest.append((i, word))
                     continue
                 ids = []
-                for piece in [lowered] if letter else self.pattern.findall(lowered):
+                # The pattern keeps letters together, and the marks behind them, which no letters follow.
+                if not plain:
+                    pieces = self.pattern.findall(lowered)
+                else:
+                    pieces = [stem] if len(stem) == len(lowered) else [stem, lowered[len(stem):]]
+                for piece in pieces:
                     own = known.get(piece)
                     if own is None:
                         text = piece if piece.isascii() else "".join([letters[b] for b in piece.encode()])
-                        own = known[piece] = np.array([t.id for t in model.tokenize(text)], width).tobytes()
+                        own = known[piece] = array(code, [t.id for t in model.tokenize(text)]).tobytes()
                     ids.append(own)
                 packed = known[lowered] = b"".join(ids)
             found[i] = packed

@@ -26,12 +26,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeweave.llm.bpe import words_of_file
+from lakeweave.llm.bpe import Words, words_of_file
 from lakeweave.llm.common import arrow_schema, byte_values, named, pieces
 
 MAGIC = np.uint32(0x31534449)
@@ -49,6 +50,28 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
 
 # Files
 
+def ids_of_texts(texts: pa.Array, words: Words, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts behind one another, each with its end id, and how many each has.
+
+    The words of the texts are numbered together, so that each distinct one is encoded once and ids are dealt out by number.
+    """
+    split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    numbered = split.flatten().dictionary_encode()
+    distinct = words.encode(byte_values(numbered.dictionary), remember=True)
+    pool = np.frombuffer(b"".join(distinct), words.width)
+    sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) // words.width.itemsize
+    firsts = np.cumsum(sizes) - sizes
+    number = numbered.indices.to_numpy()
+    counts = sizes[number]
+    ends = np.cumsum(counts)
+    # Each word takes the ids from its first one on; every text before it has put one end id between.
+    bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+    per_text = np.diff(np.concatenate([np.zeros(1, np.int64), ends])[bounds])
+    ids = pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(firsts[number] - (ends - counts), counts)]
+    ids = np.insert(ids, np.cumsum(per_text), words.width.type(end_id))
+    return ids, per_text + 1
+
+
 def write_shard(folder: str, number: int, width: np.dtype, keys: list[int], sizes: list[int], ids: list[bytes]) -> None:
     system, base = opened(folder)
     system.create_dir(base, recursive=True)
@@ -165,7 +188,7 @@ def write_store(docs: DataFrame, folder: str, vocabulary: str, end_id: int, doc_
     """Encode every text, append ``end_id``, and write files, list and index below ``folder``.
 
     Shards are ranges of the key, so a shard is one task's sorted rows. They are
-    made of ids only: a distinct word of a shard is encoded once.
+    made of ids only: a distinct word of a batch is encoded once, and remembered.
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(named(doc_id).cast("long"), F.lit(NULL_KEY)).alias("key"), named(text).alias("text"))
@@ -177,23 +200,14 @@ def write_store(docs: DataFrame, folder: str, vocabulary: str, end_id: int, doc_
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of_file(vocabulary)
-        end = np.array([end_id], words.width).tobytes()
-        known: dict[bytes, bytes] = {}
         keys, sizes, ids = [], [], []
         number = TaskContext.get().partitionId()
         for batch in batches:
-            texts = [value.split() for value in byte_values(batch.column("text"))]
-            new: set[bytes] = set()
-            for own in texts:
-                new.update(own)
-            new.difference_update(known)
-            fresh = list(new)
-            known.update(zip(fresh, words.encode(fresh, remember=True)))
-            for key, own in zip(batch.column("key").to_pylist(), texts):
-                packed = b"".join([known[w] for w in own]) + end
-                keys.append(key)
-                sizes.append(len(packed) // words.width.itemsize)
-                ids.append(packed)
+            if batch.num_rows:
+                found, counts = ids_of_texts(batch.column("text"), words, end_id)
+                keys.extend(batch.column("key").to_pylist())
+                sizes.extend(counts.tolist())
+                ids.append(found.tobytes())
         if keys:
             write_shard(files, number, words.width, keys, sizes, ids)
             yield pa.RecordBatch.from_arrays(

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -44,6 +45,32 @@ def test_words_of_every_kind(library):
         assert np.frombuffer(ids, encoder.width).tolist() == library.encode(word.decode(), add_special_tokens=False).ids, word
 
 
+def test_words_with_marks_behind_them(library):
+    words = [stem + tail for stem in ["don", "Don't", "été", "K", "x1", "ſ", "İ", "a.b", "_", "42", "'s", ""]
+             for tail in [".", "...", "'s", "'", "_", "<", "|>", "<|endoftext|>", "!é", "'LL", ",'"]]
+    encoder = bpe.Words(PATH)
+    for word, ids in zip(words, encoder.encode([w.encode() for w in words], remember=True)):
+        assert np.frombuffer(ids, encoder.width).tolist() == library.encode(word, add_special_tokens=False).ids, word
+
+
+def test_words_of_a_batch_are_numbered_and_encoded_once(library):
+    texts = [None, "", " \n\t\x0b", "Don't, don't x.y z...", " a  b\x85ć \x1f<|endoftext|>q ", "日本語 テキスト a", "'s''s 42.", "a"]
+    asked = []
+
+    class Counting(bpe.Words):
+        def encode(self, words, remember=False):
+            asked.append(list(words))
+            return super().encode(words, remember)
+
+    encoder = Counting(PATH)
+    for batch in (pa.array(texts, pa.string()), pa.array(texts, pa.string()).slice(3, 4), pa.array([None], pa.string())):
+        ids, counts = idstore.ids_of_texts(batch, encoder, 2)
+        want = [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in batch.to_pylist()]
+        assert ids.dtype == encoder.width and ids.tolist() == [i for own in want for i in own]
+        assert counts.tolist() == [len(own) for own in want]
+    assert len(asked) == 3 and all(len(words) == len(set(words)) for words in asked)
+
+
 def test_other_tokenizers_are_refused():
     with pytest.raises(ValueError):
         bpe.Words(public_tokenizers.path("byte_bpe_50k.json"))
