@@ -320,6 +320,8 @@ def identify(docs: DataFrame, learn: Column, text: str = "text", lang: str = "la
     at nothing but the text.
     """
     model = fit(sample(docs, text, lang, learn, most_docs))
+    # The driver, too, outlives the step: what learning took is half of what its Python holds.
+    trim()
     column = f"c{docs.columns.index(text)}"
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:

@@ -4,9 +4,10 @@ import os
 import tracemalloc
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakeweave.llm import repeats, setjoin
+from lakeweave.llm import langid, repeats, setjoin
 from lakeweave.session import scratch_root
 
 
@@ -44,3 +45,11 @@ def test_near_copies_leave_only_what_is_small(spark, docs):
 def test_the_last_stage_has_one_worker_for_each_task(spark, docs):
     plan = corpus_pipeline.encode_texts(spark, docs.select("doc_id", "text", "lang", "source"), "")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("InArrow") == 1 and "CoGroups" not in plan
+
+
+def test_the_driver_gives_back_what_learning_took(docs, monkeypatch):
+    steps, fit = [], langid.fit
+    monkeypatch.setattr(langid, "fit", lambda *a: (fit(*a), steps.append("fit"))[0])
+    monkeypatch.setattr(langid, "trim", lambda: steps.append("trim"))
+    langid.identify(docs.select("text", "lang"), F.lit(True))
+    assert steps == ["fit", "trim"]
