@@ -35,6 +35,8 @@ GRAMS = (2, 3, 4)
 AFFIXES = (1, 2, 3)
 MARKS = b".,;:!?\"'()[]{}|-_*#/\\"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+#: So many words that a task has not met before are looked at together, as their features take far more room than what is kept.
+FRESH_WORDS = 1 << 13
 
 
 def hashed(parts: np.ndarray, salt: int, bits: int) -> np.ndarray:
@@ -275,10 +277,14 @@ def label(model: Model, most_words: int = 150_000):
             table, lettered = table[:1], lettered[:1]
         fresh = list({w for own in split for w in own} - known.keys())
         if fresh:
-            features = Features(fresh, model.bits)
             known.update(zip(fresh, range(len(table), len(table) + len(fresh))))
-            table = np.concatenate([table, model.emissions(features)])
-            lettered = np.concatenate([lettered, features.letters])
+            rows, letters = [table], [lettered]
+            for start in range(0, len(fresh), FRESH_WORDS):
+                features = Features(fresh[start:start + FRESH_WORDS], model.bits)
+                rows.append(model.emissions(features))
+                letters.append(features.letters)
+            table, lettered = np.concatenate(rows), np.concatenate(letters)
+            del features, rows, letters
         coded = [np.array([known[w] for w in own], np.int64) for own in split]
         heard = [i for i, own in enumerate(coded) if len(own) and lettered[own].any()]
         if heard:

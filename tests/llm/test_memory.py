@@ -53,3 +53,19 @@ def test_the_driver_gives_back_what_learning_took(docs, monkeypatch):
     monkeypatch.setattr(langid, "trim", lambda: steps.append("trim"))
     langid.identify(docs.select("text", "lang"), F.lit(True))
     assert steps == ["fit", "trim"]
+
+
+def test_words_met_for_the_first_time_are_looked_at_in_pieces(monkeypatch):
+    model = langid.fit([("le chat est dans la maison", "fr"), ("the cat is in the house", "en")], rounds=3)
+    words = [b"%x" % (i * 2654435761 % (1 << 40)) for i in range(60_000)]
+    texts = [b" ".join(words[i:i + 200]) for i in range(0, len(words), 200)]
+    tracemalloc.start()
+    found = langid.label(model)(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 600 * len(words)
+    # The size of the pieces changes no language, and scores at most by rounding.
+    monkeypatch.setattr(langid, "FRESH_WORDS", 7)
+    few = langid.label(model)(texts[:3])
+    assert [lang for lang, _ in few] == [lang for lang, _ in found[:3]]
+    assert np.allclose([score for _, score in few], [score for _, score in found[:3]], rtol=0, atol=1e-6)
