@@ -112,6 +112,17 @@ def trim() -> None:
         give_back(0)
 
 
+@functools.cache
+def keep_memory(block_bytes: int = 32 << 20, free_bytes: int = 64 << 20) -> bool:
+    """Let this worker use freed arrays again instead of giving each back to the system; true if the C library can.
+
+    Arrays of a few MB that are made and dropped all the time are else mapped anew, page by page. ``trim`` gives back.
+    """
+    bound = getattr(ctypes.CDLL(None), "mallopt", None)
+    # M_MMAP_THRESHOLD and M_TRIM_THRESHOLD of glibc.
+    return bound is not None and bool(bound(-3, block_bytes)) and bool(bound(-1, free_bytes))
+
+
 @functools.cache
 def one_thread() -> bool:
     """Matrix products of this worker on one thread; true if numpy's library has such a switch.

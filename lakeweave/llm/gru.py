@@ -31,8 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeweave.llm.common import byte_values, named, one_thread, stored
-from lakeweave.llm.wordblocks import WordBlocks
+from lakeweave.llm.common import keep_memory, named, one_thread, stored, trim
+from lakeweave.llm.wordblocks import WordBlocks, distinct_words, split_words
 
 END = b" "
 FREQUENT, FREQUENT_CLASSES, ENDING_CLASSES = 2000, 40, 32
@@ -64,6 +64,8 @@ class Lexicon:
         self.word_class = np.minimum((share * self.frequent_classes * 0.999999).astype(np.int64), self.frequent_classes - 1)
         #: The members of class c are the words from ``firsts[c]`` to before ``firsts[c + 1]``.
         self.firsts = np.searchsorted(self.word_class, np.arange(self.frequent_classes + 1)).tolist()
+        self.class_of = np.concatenate([self.word_class, self.frequent_classes + np.arange(ENDING_CLASSES)]).astype(
+            np.int16 if self.frequent_classes < 1 << 14 else np.int64)
         self.ending_mass = ending_mass
         self.class_mass = np.concatenate([[self.counts[a:b].sum() for a, b in zip(self.firsts, self.firsts[1:])], ending_mass])
 
@@ -72,17 +74,148 @@ class Lexicon:
         top = len(self.counts)
         return np.array([self.number[w] if w in self.number else top + ending_class(w) for w in words], np.int64)
 
-    def classes(self, codes: np.ndarray) -> np.ndarray:
-        top = len(self.counts)
-        return np.where(codes < top, self.word_class[np.minimum(codes, top - 1)], self.frequent_classes + codes - top)
 
+def runs_of(lexicon: Lexicon, column: pa.Array) -> Iterator[np.ndarray]:
+    """The numbers of the words of each text, in lower case, between two ends; each distinct word is looked up once."""
+    words, sizes = split_words([column], lower=True)
+    distinct, numbers = distinct_words(words)
+    codes = lexicon.codes(distinct).astype(np.int32)[numbers]
+    for start, end in zip((np.cumsum(sizes) - sizes).tolist(), np.cumsum(sizes).tolist()):
+        run = np.full(end - start + 2, lexicon.number[END], np.int32)
+        run[1:-1] = codes[start:end]
+        yield run
+
+
+def layer(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Weights of one output a row with the bias behind them, shifted so that scores lie around zero."""
+    out = np.empty((len(weights), weights.shape[1] + 1), weights.dtype)
+    out[:, :-1] = weights
+    out[:, -1] = bias - (bias.min() + bias.max()) / 2
+    return out
+
+
+def in_range(sums: np.ndarray) -> bool:
+    """Whether sums of exponentials neither overflowed nor came near to vanishing in 32 bits."""
+    return not len(sums) or bool(sums.min() > 1e-30 and sums.max() < 1e30)
+
+
+class ByClass:
+    """States of words, one a row, in the order of their targets' classes, and the choices they lead to.
+
+    A class is then a piece of the rows, and its members, numbered by frequency, one of the weights. Frequent
+    targets come first. Exponentials and their sums are kept apart: rows are divided, not the many shares of each.
+    """
+
+    #: So many rows at a time have the scores of all classes, which then stay in the processor's cache.
+    ROWS = 1024
+
+    def __init__(self, network: Network, states: np.ndarray, targets: np.ndarray):
+        lexicon, w = network.lexicon, network.weights
+        classes = lexicon.class_of[targets]
+        self.order = np.argsort(classes, kind="stable")
+        self.classes, self.targets = classes[self.order], targets[self.order]
+        self.states = np.ones((len(states), states.shape[1] + 1), states.dtype)
+        self.states[:, :-1] = np.take(states, self.order, axis=0)
+        self.to_class, self.to_word = layer(w["to_class"].T, w["class_bias"]), layer(w["to_word"], w["word_bias"])
+        ends = np.searchsorted(self.classes, np.arange(lexicon.frequent_classes), "right")
+        starts = np.concatenate([[0], ends[:-1]])
+        self.frequent = int(ends[-1])
+        firsts = np.array(lexicon.firsts)
+        members, counts = np.diff(firsts), ends - starts
+        offsets = np.concatenate([[0], np.cumsum(members * counts)])
+        #: Of each class with targets: its rows, its members, and where its scores stand.
+        self.pieces = [(slice(a, b), slice(c, d), slice(e, f), (b - a, d - c)) for a, b, c, d, e, f in zip(
+            starts.tolist(), ends.tolist(), lexicon.firsts, lexicon.firsts[1:], offsets.tolist(), offsets[1:].tolist()) if b > a]
+        own = self.classes[:self.frequent]
+        self.begins = offsets[own] + members[own] * (np.arange(self.frequent) - starts[own])
+        self.places = self.begins + self.targets[:self.frequent] - firsts[own]
+        self.size = int(offsets[-1])
+
+    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For frequent targets: exponentials of the scores of their classes' members, class by class, their sums, and the targets' scores.
+
+        Only where exponentials leave the range of 32 bits are the scores lessened by their greatest first, here and
+        in ``of_classes``.
+        """
+        out = np.empty(self.size, self.to_word.dtype)
+        for shifted in (False, True):
+            for rows, members, scores, shape in self.pieces:
+                np.matmul(self.states[rows], self.to_word[members].T, out=out[scores].reshape(shape))
+            if shifted:
+                out -= np.repeat(np.maximum.reduceat(out, self.begins), np.diff(self.begins, append=len(out)))
+            wanted = out[self.places]
+            with np.errstate(over="ignore"):
+                np.exp(out, out=out)
+                sums = np.add.reduceat(out, self.begins) if len(out) else wanted
+            if in_range(sums):
+                break
+        return out, sums, wanted
+
+    def of_classes(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """For some rows at a time: exponentials of the scores of all classes, their sums, and the targets' scores."""
+        ones = np.ones(len(self.to_class), self.to_class.dtype)
+        for start in range(0, len(self.states), self.ROWS):
+            rows = slice(start, start + self.ROWS)
+            for shifted in (False, True):
+                out = self.states[rows] @ self.to_class.T
+                if shifted:
+                    out -= out.max(axis=1, keepdims=True)
+                wanted = out[np.arange(len(out)), self.classes[rows]]
+                with np.errstate(over="ignore"):
+                    np.exp(out, out=out)
+                    sums = out @ ones
+                if in_range(sums):
+                    break
+            yield rows, out, sums, wanted
+
+    def logs(self) -> np.ndarray:
+        """Natural log probability of each target, of its class alone where it is not frequent, in the order of the rows given."""
+        logs = np.empty(len(self.states))
+        for rows, _, sums, wanted in self.of_classes():
+            logs[rows] = wanted - np.log(sums.astype(np.float64))
+        _, sums, wanted = self.words()
+        logs[:self.frequent] += wanted - np.log(sums.astype(np.float64))
+        out = np.empty_like(logs)
+        out[self.order] = logs
+        return out
 
-def shares_of(scores: np.ndarray) -> np.ndarray:
-    """The softmax of each column, in place."""
-    scores -= scores.max(axis=0)
-    np.exp(scores, out=scores)
-    scores /= scores.sum(axis=0)
-    return scores
+    def errors(self) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        """Gradients of the weights, and of the states in the order of the rows given."""
+        h = self.states.shape[1] - 1
+        to_class, to_word = np.zeros_like(self.to_class), np.zeros_like(self.to_word)
+        back = np.empty((len(self.states), h), self.to_class.dtype)
+        for rows, out, sums, _ in self.of_classes():
+            out[np.arange(len(out)), self.classes[rows]] -= sums
+            share = (1 / sums)[:, None]
+            to_class += out.T @ (self.states[rows] * share)
+            np.multiply(out @ self.to_class[:, :h], share, out=back[rows])
+        out, sums, _ = self.words()
+        out[self.places] -= sums
+        share = (1 / sums)[:, None]
+        states, own = self.states[:self.frequent] * share, np.empty((self.frequent, h), self.to_word.dtype)
+        for rows, members, scores, shape in self.pieces:
+            errors = out[scores].reshape(shape)
+            np.matmul(errors.T, states[rows], out=to_word[members])
+            np.matmul(errors, self.to_word[members, :h], out=own[rows])
+        own *= share
+        back[:self.frequent] += own
+        unsorted = np.empty_like(back)
+        unsorted[self.order] = back
+        return {"to_class": to_class[:, :h].T, "class_bias": to_class[:, h], "to_word": to_word[:, :h],
+                "word_bias": to_word[:, h]}, unsorted
+
+
+def descend(weights: np.ndarray, sums: np.ndarray, gradient: np.ndarray, streams: int, rate: float, rows: int = 2048) -> None:
+    """A step of AdaGrad in place, by the mean gradient of the streams; some rows at a time stay in the processor's cache."""
+    for start in range(0, len(weights), rows):
+        part = slice(start, start + rows)
+        step = gradient[part] * np.float32(1 / streams)
+        square = step * step
+        sums[part] += square
+        np.sqrt(sums[part], out=square)
+        step /= square
+        step *= np.float32(rate)
+        weights[part] -= step
 
 
 class Network:
@@ -119,9 +252,11 @@ class Network:
     def run(self, inputs: np.ndarray, state: np.ndarray, fresh: np.ndarray, keep: bool = False):
         """``forward`` with the streams along the last axis, so that each gate of all streams is one piece of memory."""
         w, h = self.weights, STATE
-        across = w["across"].T
-        given = w["into"].T @ w["embed"][inputs.ravel()].T
-        given += w["bias"][:, None]
+        # The gates' sign is turned beforehand, as they are 1 / (1 + exp(-x)).
+        sign = np.repeat(np.array([-1, 1], np.float32), [2 * h, h])[:, None]
+        across = w["across"].T * sign
+        given = (w["into"].T * sign) @ np.take(w["embed"], inputs.ravel(), axis=0).T
+        given += w["bias"][:, None] * sign
         given = given.reshape(3 * h, *inputs.shape)
         states = np.empty((h, *inputs.shape), np.float32)
         kept = []
@@ -130,8 +265,8 @@ class Network:
             if any_fresh[t]:
                 state = np.where(fresh[t], np.float32(0), state)
             moved = across @ state
-            gates = given[:2 * h, t] + moved[:2 * h]
-            np.negative(gates, out=gates)
+            gates = moved[:2 * h]
+            gates += given[:2 * h, t]
             np.exp(gates, out=gates)
             gates += 1
             np.reciprocal(gates, out=gates)
@@ -146,64 +281,16 @@ class Network:
             states[:, t] = state
         return states, state, kept
 
-    def in_class(self, states: np.ndarray, targets: np.ndarray):
-        """For each class with frequent targets (columns of ``states``): members, places and probabilities.
-
-        ``targets`` stand in the order of their classes, so that a class is a piece of the columns, and its members,
-        numbered by frequency, one of the weights.
-        """
-        lexicon, w = self.lexicon, self.weights
-        classes = lexicon.word_class[targets]
-        ends = np.searchsorted(classes, np.arange(lexicon.frequent_classes), "right").tolist()
-        for start, end, first, last in zip([0, *ends], ends, lexicon.firsts, lexicon.firsts[1:]):
-            if start == end:
-                continue
-            scores = w["to_word"][first:last] @ states[:, start:end]
-            scores += w["word_bias"][first:last, None]
-            yield slice(start, end), slice(first, last), targets[start:end] - first, shares_of(scores)
-
-    def class_shares(self, states: np.ndarray) -> np.ndarray:
-        scores = self.weights["to_class"].T @ states
-        scores += self.weights["class_bias"][:, None]
-        return shares_of(scores)
-
-    def by_class(self, targets: np.ndarray) -> np.ndarray:
-        """Places of the frequent targets, by class."""
-        frequent = np.flatnonzero(targets < len(self.lexicon.counts))
-        return frequent[np.argsort(self.lexicon.word_class[targets[frequent]].astype(np.int16), kind="stable")]
-
     def log_shares(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log probability of each target; for words outside the frequent ones, of their class."""
-        states = states.T
-        out = np.log(self.class_shares(states)[self.lexicon.classes(targets), np.arange(len(targets))].astype(np.float64))
-        rows = self.by_class(targets)
-        own = np.empty(len(rows))
-        for columns, _, place, shares in self.in_class(np.take(states, rows, axis=1), targets[rows]):
-            own[columns] = shares[place, np.arange(len(place))]
-        out[rows] += np.log(own)
-        return out
+        return ByClass(self, states, targets).logs()
 
     def gradients(self, inputs: np.ndarray, targets: np.ndarray, state: np.ndarray, fresh: np.ndarray):
         """Gradients of all weights, and the states after the window."""
         w, h, time = self.weights, STATE, len(inputs)
         states, after, kept = self.run(inputs, state.T, fresh, keep=True)
-        flat, wanted = states.reshape(h, -1), targets.ravel()
-        grads = {}
-        errors = self.class_shares(flat)
-        errors[self.lexicon.classes(wanted), np.arange(len(wanted))] -= 1
-        grads["to_class"], grads["class_bias"] = flat @ errors.T, errors.sum(axis=1)
-        back = w["to_class"] @ errors
-        rows = self.by_class(wanted)
-        frequent = np.take(flat, rows, axis=1)
-        back_frequent = np.empty_like(frequent)
-        grads["to_word"], grads["word_bias"] = np.zeros_like(w["to_word"]), np.zeros_like(w["word_bias"])
-        for columns, members, place, shares in self.in_class(frequent, wanted[rows]):
-            shares[place, np.arange(len(place))] -= 1
-            np.matmul(shares, frequent[:, columns].T, out=grads["to_word"][members])
-            grads["word_bias"][members] = shares.sum(axis=1)
-            back_frequent[:, columns] = w["to_word"][members].T @ shares
-        back[:, rows] += back_frequent
-        back = back.reshape(states.shape)
+        grads, back = ByClass(self, np.ascontiguousarray(states.reshape(h, -1).T), targets.ravel()).errors()
+        back = np.ascontiguousarray(back.T).reshape(states.shape)
         moved_back = np.zeros((h, inputs.shape[1]), np.float32)
         given_errors = np.empty((3 * h, *inputs.shape), np.float32)
         grads["across"] = np.zeros_like(w["across"])
@@ -234,11 +321,24 @@ class Network:
                 moved_back[:, fresh[t]] = 0
         flat_errors = given_errors.reshape(3 * h, -1)
         number = inputs.ravel()
-        grads["into"], grads["bias"] = w["embed"][number].T @ flat_errors.T, flat_errors.sum(axis=1)
-        by_input = w["into"] @ flat_errors
-        grads["embed"] = np.stack([np.bincount(number, one, len(w["embed"])) for one in by_input], axis=1)
+        read = np.ones((len(number), w["embed"].shape[1] + 1), w["embed"].dtype)
+        read[:, :-1] = np.take(w["embed"], number, axis=0)
+        into = flat_errors @ read
+        grads["into"], grads["bias"] = into[:, :-1].T, into[:, -1]
+        own = self.read_words(inputs)
+        place = np.empty(len(w["embed"]), np.intp)
+        place[own] = np.arange(len(own))
+        number = place[number]
+        grads["embed"] = np.zeros_like(w["embed"])
+        grads["embed"][own] = np.stack([np.bincount(number, one, len(own)) for one in (flat_errors.T @ w["into"].T).T], axis=1)
         return grads, after.T
 
+    def read_words(self, inputs: np.ndarray) -> np.ndarray:
+        """The distinct numbers of the words that a window reads, in order."""
+        met = np.zeros(len(self.weights["embed"]), bool)
+        met[inputs] = True
+        return np.flatnonzero(met)
+
     def learn(self, tokens: np.ndarray, fresh: np.ndarray, streams: int = 512, window: int = 20, rate: float = 0.15) -> int:
         """AdaGrad over parallel streams of (input, target) words; ``fresh`` marks the first of each run.
 
@@ -269,15 +369,15 @@ class Network:
             for t in range(0, len(part[0]), window):
                 inputs = part[0][t:t + window]
                 grads, state = self.gradients(inputs, part[1][t:t + window], state, part[2][t:t + window])
-                met = np.zeros(len(self.weights["embed"]), bool)
-                met[inputs] = True
                 for name, g in grads.items():
-                    # Words that the window does not read have no gradient.
-                    own = np.flatnonzero(met) if name == "embed" else slice(None)
-                    g = np.asarray(g[own], np.float32) / streams
-                    sums = self.sums[name][own] + g * g
-                    self.sums[name][own] = sums
-                    self.weights[name][own] -= rate * g / np.sqrt(sums)
+                    if name == "embed":
+                        # Words that the window does not read have no gradient.
+                        own = self.read_words(inputs)
+                        weights, sums = self.weights[name][own], self.sums[name][own]
+                        descend(weights, sums, g[own], streams, rate)
+                        self.weights[name][own], self.sums[name][own] = weights, sums
+                    else:
+                        descend(self.weights[name], self.sums[name], g, streams, rate)
         return words
 
     def score(self, texts: list[np.ndarray], streams: int = 1024, window: int = 32, rows: int = 1 << 14) -> np.ndarray:
@@ -290,9 +390,9 @@ class Network:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def settle() -> None:
-            states, targets, owners = [np.concatenate(c, axis=-1) for c in zip(*held)]
+            states, targets, owners = [np.concatenate(c) for c in zip(*held)]
             held.clear()
-            out[:] += np.bincount(owners, self.log_shares(states.T, targets), len(out))
+            out[:] += np.bincount(owners, self.log_shares(states, targets), len(out))
 
         sizes = np.array([len(t) for t in texts])
         order = np.argsort(-sizes, kind="stable")
@@ -309,7 +409,10 @@ class Network:
                 inside = t + np.arange(steps)[:, None] < length[None, :alive]
                 inputs = np.where(inside, flat[np.minimum(where, len(flat) - 1)], 0)
                 states, state, _ = self.run(inputs, state[:, :alive], np.zeros(inputs.shape, bool))
-                held.append((states[:, inside], flat[where[inside] + 1], own[np.nonzero(inside)[1]]))
+                inner = np.flatnonzero(inside)
+                rows_of = np.ascontiguousarray(states.reshape(STATE, -1).T)
+                held.append((rows_of if len(inner) == len(rows_of) else np.take(rows_of, inner, axis=0),
+                             flat[where.ravel()[inner] + 1], own[inner % alive]))
                 if sum(len(h[1]) for h in held) >= rows:
                     settle()
         if held:
@@ -380,6 +483,7 @@ def averaged(docs: DataFrame, network: Network, slots: int = 64) -> Network:
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one_thread()
+        keep_memory()
         own, runs, seen = Network(lexicon).load(start), [], 0
 
         def pass_on() -> int:
@@ -391,9 +495,9 @@ def averaged(docs: DataFrame, network: Network, slots: int = 64) -> Network:
 
         held = 0
         for batch in batches:
-            for raw in byte_values(batch.column("text")):
-                runs.append(lexicon.codes([END, *raw.lower().split(), END]).astype(np.int32))
-                held += len(runs[-1])
+            for run in runs_of(lexicon, batch.column("text")):
+                runs.append(run)
+                held += len(run)
                 if held >= HELD_WORDS:
                     seen += pass_on()
                     held = 0
@@ -402,6 +506,8 @@ def averaged(docs: DataFrame, network: Network, slots: int = 64) -> Network:
         if not seen:
             return
         parts = np.array_split(own.flat() * np.float32(seen), slots)
+        del own
+        trim()
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(slots), pa.int32()), pa.array([seen] * slots, pa.int64()),
              pa.array([p.astype("<f4").tobytes() for p in parts], pa.binary())], ["slot", "seen", "weights"])
@@ -426,7 +532,7 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     texts side by side.
     """
     rows = docs.select(named(doc_id).alias("id"), learn.alias("learn"), named(text).alias("text"))
-    blocks = WordBlocks(rows, "text", lower=True, block_bytes=block_bytes)
+    blocks = WordBlocks(rows, "text", lower=True, block_bytes=block_bytes, numbered=True)
     ends = rows.filter("learn").count()
     answers = stored(blocks.answers(
         lambda words, counts: [np.uint64(c).tobytes() for c in counts], counted="learn", summary=summarize), "counts")
@@ -440,27 +546,28 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     fixed = float(np.log10(n + 0.5 * (v + 1)))
     end_log, end_known = float(np.log10(ends + 0.5)), int(ends > 0)
 
-    def use(values: dict[bytes, bytes], parts: Iterator[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    def use(values: dict[bytes, bytes], parts: Iterator[pa.RecordBatch], numbers: np.ndarray, sizes: np.ndarray) -> list[pa.RecordBatch]:
         one_thread()
+        keep_memory()
         own = Network(lexicon).load(weights)
-        words = list(values)
         counts = np.frombuffer(b"".join(values.values()), np.uint64).astype(np.float64)
-        codes = lexicon.codes(words)
+        codes = lexicon.codes(list(values))
         base = np.log10(counts + 0.5)
         rare = codes >= len(lexicon.counts)
-        within = np.zeros(len(words))
+        within = np.zeros(len(codes))
         within[rare] = np.log((counts[rare] + 0.5) / lexicon.ending_mass[codes[rare] - len(lexicon.counts)])
-        number = dict(zip(words, range(len(words))))
         batches = list(parts)
-        texts = [np.array([number[w] for w in raw.lower().split()], np.int64)
-                 for batch in batches for raw in byte_values(batch.column("text"))]
-        logs = own.score([np.concatenate([codes[t], [0]]) for t in texts])
-        full = np.array([x + within[t].sum() for x, t in zip(logs, texts)]) / LN10
-        plain = np.array([base[t].sum() + end_log - (len(t) + 1) * fixed for t in texts])
+        owners = np.repeat(np.arange(len(sizes)), sizes)
+        summed = lambda of: np.bincount(owners, of[numbers], len(sizes))
+        ends = np.cumsum(sizes)
+        coded = codes[numbers]
+        texts = [np.concatenate([coded[a:b], [0]]) for a, b in zip((ends - sizes).tolist(), ends.tolist())]
+        full = (own.score(texts) + summed(within)) / LN10
+        plain = summed(base) + end_log - (sizes + 1) * fixed
         return [pa.RecordBatch.from_arrays([
             pa.concat_arrays([b.column("id") for b in batches]), pa.concat_arrays([b.column("learn") for b in batches]),
-            pa.array([len(t) + 1 for t in texts], pa.int64()),
-            pa.array([int((counts[t] > 0).sum()) + end_known for t in texts], pa.int64()),
+            pa.array(sizes + 1, pa.int64()),
+            pa.array(summed(counts > 0).astype(np.int64) + end_known, pa.int64()),
             pa.array(plain, pa.float64()), pa.array(full, pa.float64())],
             ["id", "learn", "n_tokens", "n_known", "base_score", "score"])]
 

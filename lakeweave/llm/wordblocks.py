@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +37,36 @@ def dealt_words(words, buckets: int) -> list[list[bytes]]:
     return lists
 
 
+def split_words(columns: list[pa.Array], lower: bool) -> tuple[pa.Array, np.ndarray]:
+    """All words of string columns one behind another, and how many each value has; null has none.
+
+    Words are cut where ``bytes.split()`` cuts; ``lower`` puts A-Z in lower case first.
+    """
+    words, sizes = [], []
+    for column in columns:
+        # A view, as bytes need not be UTF-8 to be cut at ASCII white space.
+        column = column.cast(pa.large_binary()).view(pa.large_string()).fill_null("")
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(column) if lower else column)
+        found, ends = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+        ends -= ends[0] if len(ends) else 0
+        # White space at either end, or a text without words, leaves empty ones.
+        real = pc.not_equal(pc.binary_length(found), 0)
+        if pc.all(real).as_py() is False:
+            ends = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False), dtype=np.int64)])[ends]
+            found = found.filter(real)
+        words.append(found.cast(pa.large_string()))
+        sizes.append(np.diff(ends))
+    if not words:
+        return pa.array([], pa.large_string()), np.zeros(0, np.int64)
+    return pa.concat_arrays(words), np.concatenate(sizes)
+
+
+def distinct_words(words: pa.Array) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words as bytes, and the number among them of each word."""
+    coded = words.dictionary_encode()
+    return coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy()
+
+
 def pack_values(values: list[bytes]) -> bytes:
     sizes = np.fromiter(map(len, values), np.uint32, len(values))
     return zlib.compress(np.uint32(len(values)).tobytes() + sizes.tobytes() + b"".join(values))
@@ -63,13 +94,16 @@ def unpack_rows(packed: bytes) -> pa.RecordBatch:
 class WordBlocks:
     """The rows of ``docs`` in blocks by hash of the row, and the words of their ``text`` column.
 
-    ``lower`` puts A-Z in lower case first. Block and packet numbers follow the
+    ``lower`` puts A-Z in lower case first. ``numbered`` cuts all words of a
+    block at once in Arrow, which is quicker and holds them all; ``join`` then
+    hands out their numbers too. Block and packet numbers follow the
     size of the input, so a packet of a larger corpus holds no more words. A
     word that a third of all rows use is one entry per block.
     """
 
-    def __init__(self, docs: DataFrame, text: str, lower: bool = False, block_bytes: int = BLOCK_BYTES):
-        self.text, self.names, self.lower = text, docs.columns, lower
+    def __init__(self, docs: DataFrame, text: str, lower: bool = False, block_bytes: int = BLOCK_BYTES,
+                 numbered: bool = False):
+        self.text, self.names, self.lower, self.numbered = text, docs.columns, lower, numbered
         self.n = n = pieces(docs, text, block_bytes)
         names = docs.columns
         dealt = docs.withColumn("block", F.pmod(F.xxhash64(*names), F.lit(n)).cast("int"))
@@ -98,11 +132,19 @@ class WordBlocks:
         documents with a true ``counted`` column (0 if none is named). What
         ``summary`` makes of a packet stands in a row of block -1.
         """
-        n, text, words_of = self.n, self.text, self.words_of()
+        n, text, lower, numbered, words_of = self.n, self.text, self.lower, self.numbered, self.words_of()
 
         def ask(packs: pa.Table) -> pa.Table:
-            own: Counter = Counter()
-            for rows in map(unpack_rows, packs["rows"].to_pylist()):
+            own: dict[bytes, int] = Counter()
+            if numbered:
+                rows = list(map(unpack_rows, packs["rows"].to_pylist()))
+                words, sizes = split_words([r.column(text) for r in rows], lower)
+                distinct, numbers = distinct_words(words)
+                if counted:
+                    numbers = numbers[np.repeat([bool(c) for r in rows for c in r.column(counted).to_pylist()], sizes)]
+                own = dict(zip(distinct, np.bincount(numbers, minlength=len(distinct)).tolist()))
+                del rows, words, distinct, numbers
+            for rows in [] if numbered else map(unpack_rows, packs["rows"].to_pylist()):
                 count = rows.column(counted).to_pylist() if counted else [False] * rows.num_rows
                 for value, counts in zip(byte_values(rows.column(text)), count):
                     words = words_of(value)
@@ -142,25 +184,37 @@ class WordBlocks:
         asks = self.blocks.groupBy("block").applyInArrow(ask, "bucket int, block int, words binary, counts binary")
         return asks.groupBy("bucket").applyInArrow(answer, "block int, bucket int, values binary")
 
-    def join(self, answers: DataFrame, use: Callable[[dict[bytes, bytes], Iterator[pa.RecordBatch]], list[pa.RecordBatch]],
-             schema: T.StructType) -> DataFrame:
-        """Call ``use`` on the rows of each block with the values of its words."""
-        n, text, words_of = self.n, self.text, self.words_of()
+    def join(self, answers: DataFrame, use: Callable[..., list[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+        """Call ``use`` on the rows of each block with the values of its words, as a dictionary.
+
+        Where blocks are ``numbered`` it gets besides all words of the block's texts, as numbers of the dictionary's entries, and
+        how many of them each text has.
+        """
+        n, text, lower, numbered, words_of = self.n, self.text, self.lower, self.numbered, self.words_of()
 
         def finish(packs: pa.Table, known_values: pa.Table) -> pa.Table:
             packed = packs["rows"].to_pylist() if packs.num_rows else []
             known: set[bytes] = set()
-            for one in packed:
-                for value in byte_values(unpack_rows(one).column(text)):
-                    known.update(words_of(value))
-            lists = dealt_words(known, n)
-            del known
             values: dict[bytes, bytes] = {}
+            more: tuple[np.ndarray, ...] = ()
+            if numbered:
+                words, sizes = split_words([unpack_rows(one).column(text) for one in packed], lower)
+                distinct, numbers = distinct_words(words)
+                # Entries stand by number, whichever packet holds their values.
+                values, more = dict.fromkeys(distinct, b""), (numbers, sizes)
+                lists = dealt_words(distinct, n)
+                del words, distinct, numbers
+            else:
+                for one in packed:
+                    for value in byte_values(unpack_rows(one).column(text)):
+                        known.update(words_of(value))
+                lists = dealt_words(known, n)
+            del known
             for bucket, one in zip(known_values["bucket"].to_pylist(), known_values["values"].to_pylist()):
                 values.update(zip(lists[bucket], unpack_values(one)))
             del lists
-            made = use(values, map(unpack_rows, packed)) if packed else []
-            del values
+            made = use(values, map(unpack_rows, packed), *more) if packed else []
+            del values, more
             trim()
             return pa.Table.from_batches(made) if made else to_arrow_schema(schema).empty_table()
 
